@@ -16,6 +16,7 @@ from gradeworks.spec import TableSpec
 class FillValues:
     medians: Mapping[str, float]
     modes: Mapping[str, object]
+    levels: Mapping[str, list[str]]
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -46,13 +47,28 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fit_fill_values(df: DataFrame, spec: TableSpec) -> FillValues:
+    """Medians and modes by column role, and the levels of the listed categories."""
     roles = spec.roles(df)
     medians = exact_quantiles(df, list(roles.continuous), [0.5])
-    listed = list(roles.binary + roles.categorical)
-    frequent = {r["column"]: r["value"] for r in modes(df, listed).collect()} if listed else {}
+    columns = list(roles.binary + roles.categorical)
+    listed = [c for c in spec.domains if c in columns]
+    modes_, levels = {}, {c: [] for c in listed}
+    if columns:
+        # only columns with a listed domain give back their values
+        level = F.when(F.col("column").isin(listed), F.col("value"))
+        found = (
+            value_counts(df, columns)
+            .groupBy("column")
+            .agg(F.min_by("value", smallest_on_tie()).alias("mode"), F.collect_set(level).alias("levels"))
+        )
+        for row in found.collect():
+            modes_[row["column"]] = int(row["mode"]) if row["column"] in roles.binary else row["mode"]
+            if row["column"] in levels:
+                levels[row["column"]] = sorted(row["levels"])
     return FillValues(
         medians={c: medians[None, c][0] for c in roles.continuous if (None, c) in medians},
-        modes={c: int(v) if c in roles.binary else v for c, v in frequent.items()},
+        modes=modes_,
+        levels=levels,
     )
 
 
