@@ -33,5 +33,5 @@ def nearest(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """A list<double> column as a rows x width array."""
+    """A list<double> column as a rows x width array, nulls as NaN."""
     return column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(-1, width)

@@ -118,8 +118,16 @@ def distinct_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def clean_training(df: DataFrame, spec: TableSpec) -> DataFrame:
-    unique = distinct_rows(df, spec)
-    return keep_in_domain(drop_unlabelled(nullify_out_of_range(unique, spec), spec), spec)
+    """Distinct labelled rows inside their domains, impossible numbers turned to null.
+
+    The row filters look at content alone, so they run ahead of the shuffle that folds
+    copies, except where a range rule first makes a listed value null.
+    """
+    if set(spec.ranges) & (set(spec.domain_of(df)) | set(spec.geo)):
+        unique = nullify_out_of_range(distinct_rows(df, spec), spec)
+        return keep_in_domain(drop_unlabelled(unique, spec), spec)
+    kept = keep_in_domain(drop_unlabelled(df, spec), spec)
+    return nullify_out_of_range(distinct_rows(kept, spec), spec)
 
 
 def clean_other(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gradeworks.operators.learner import in_parallel
 from gradeworks.operators.neighbors import row_distance, vector
 from gradeworks.operators.sampling import sample_rows
+from gradeworks.session import spread
 
 POINT = "_point"
 
@@ -74,7 +75,7 @@ def _fit_once(points: DataFrame, k: int, seed: int) -> KMeansModel:
 
 def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4) -> Clusters:
     """K-means from several starts; the one with the least cost is kept."""
-    points = _assembled(df.select(*columns), columns).select(POINT).persist()
+    points = spread(_assembled(df.select(*columns), columns).select(POINT))
     try:
         starts = [lambda s=s: _fit_once(points, k, s) for s in range(seed, seed + restarts)]
         best = min(in_parallel(starts, parallelism), key=lambda m: m.summary.trainingCost)
@@ -89,7 +90,7 @@ def elbow(
 ) -> DataFrame:
     """``(k, inertia)`` for k = 2 .. max_k, one start each, on a fixed-size sample."""
     sample = sample_rows(df.select(key, *columns), key, sample_size, seed)
-    points = _assembled(sample, columns).select(POINT).persist()
+    points = spread(_assembled(sample, columns).select(POINT))
     try:
         costs = []
         for k in range(2, max_k + 1):

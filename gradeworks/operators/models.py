@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gradeworks.operators.learner import TableParams, class_sizes
 from gradeworks.operators.neighbors import knn_join, knn_votes
-from gradeworks.session import checkpointed, stage
+from gradeworks.session import checkpointed, spread, stage
 
 DEEPEST = 30  # deepest tree Spark ML grows; stands for "no limit"
 MAX_BINS = 128
@@ -41,7 +41,12 @@ def class_value(classes: list[int], index: Column) -> Column:
 
 
 def class_index(classes: list[int], label: str) -> Column:
-    return (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("double")
+    """Position of the class as the column trees are trained on.
+
+    The number of classes goes along as metadata, which spares every fit a scan for it.
+    """
+    index = (F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1).cast("double")
+    return index.alias(CLASS, metadata={"ml_attr": {"type": "nominal", "name": CLASS, "num_vals": len(classes)}})
 
 
 def assembled(df: DataFrame, features: list[str]) -> DataFrame:
@@ -145,11 +150,23 @@ class _TreeParams(TableParams):
         if wanted not in (None, "balanced"):
             raise ValueError("class_weight must be None or 'balanced'")
         rows = assembled(df.where(F.col(self.label).isNotNull()), features)
-        columns = [POINT, class_index(list(sizes), self.label).alias(CLASS)]
+        columns = [POINT, class_index(list(sizes), self.label)]
         if wanted:
             columns.append(balanced_weight(sizes, self.label).alias(WEIGHT))
         return rows.select(*columns), features, list(sizes), bool(wanted)
 
+    def _fit_inner(self, estimator, df: DataFrame) -> TreeModel:
+        rows, features, classes, weighted = self._training_rows(df)
+        if weighted:
+            estimator = estimator.setWeightCol(WEIGHT)
+        # the count, the split candidates and the growing of the trees each read the rows
+        rows = spread(rows)
+        try:
+            inner = estimator.fit(rows)
+        finally:
+            rows.unpersist()
+        return TreeModel(inner, key=self.key, label=self.label, features=features, classes=classes)
+
 
 class Forest(Estimator, _TreeParams):
     n_estimators = _param("n_estimators", "number of trees", TypeConverters.toInt)
@@ -163,13 +180,10 @@ class Forest(Estimator, _TreeParams):
                          class_weight=None, seed=42)
 
     def _fit(self, df: DataFrame) -> TreeModel:
-        rows, features, classes, weighted = self._training_rows(df)
         forest = RandomForestClassifier(
             numTrees=self.getOrDefault(self.n_estimators), featureSubsetStrategy="sqrt", **self._tree_settings()
         )
-        if weighted:
-            forest = forest.setWeightCol(WEIGHT)
-        return TreeModel(forest.fit(rows), key=self.key, label=self.label, features=features, classes=classes)
+        return self._fit_inner(forest, df)
 
 
 class Tree(Estimator, _TreeParams):
@@ -180,11 +194,7 @@ class Tree(Estimator, _TreeParams):
         self._setDefault(keyCol="key", labelCol="label", max_depth=None, min_samples_leaf=1, class_weight=None, seed=42)
 
     def _fit(self, df: DataFrame) -> TreeModel:
-        rows, features, classes, weighted = self._training_rows(df)
-        tree = DecisionTreeClassifier(**self._tree_settings())
-        if weighted:
-            tree = tree.setWeightCol(WEIGHT)
-        return TreeModel(tree.fit(rows), key=self.key, label=self.label, features=features, classes=classes)
+        return self._fit_inner(DecisionTreeClassifier(**self._tree_settings()), df)
 
 
 class BoostedModel(_Fitted):
@@ -254,12 +264,20 @@ class BoostedTrees(Estimator, TableParams):
 
     def _fit(self, df: DataFrame) -> BoostedModel:
         features, sizes = self.features_of(df), class_sizes(df, self.label)
-        classes, k, rate = list(sizes), len(sizes), self.getOrDefault(self.learning_rate)
-        weights = checkpointed(
+        classes = list(sizes)
+        rows = spread(
             assembled(df.where(F.col(self.label).isNotNull()), features).select(
-                POINT, class_index(classes, self.label).alias(CLASS), F.lit(1.0 / sum(sizes.values())).alias(WEIGHT)
+                POINT, class_index(classes, self.label), F.lit(1.0 / sum(sizes.values())).alias(WEIGHT)
             )
         )
+        try:
+            trees, votes = self._boost(rows, len(classes))
+        finally:
+            rows.unpersist()
+        return BoostedModel(trees, votes, key=self.key, label=self.label, features=features, classes=classes)
+
+    def _boost(self, weights: DataFrame, k: int) -> tuple[list, list[float]]:
+        rate = self.getOrDefault(self.learning_rate)
         trees, votes = [], []
         for round_ in range(self.getOrDefault(self.n_estimators)):
             tree = DecisionTreeClassifier(
@@ -289,7 +307,7 @@ class BoostedTrees(Estimator, TableParams):
             )
             if (round_ + 1) % self.getOrDefault(self.checkpoint_every) == 0:
                 weights = checkpointed(weights)
-        return BoostedModel(trees, votes, key=self.key, label=self.label, features=features, classes=classes)
+        return trees, votes
 
 
 class NeighborsModel(_Fitted):

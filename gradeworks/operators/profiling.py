@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeworks.functions.blocks import matrix
 from gradeworks.functions.order_stats import exact_quantiles
 from gradeworks.operators.cleaning import null_counts
 from gradeworks.operators.target_encoding import fit_target_encoder
 from gradeworks.spec import TableSpec
 
-PAIRS_PER_SCAN = 150
-
 
 def class_shares(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, share_pct)`` per class, one decimal, in class order."""
@@ -48,25 +49,48 @@ def missing_shares(df: DataFrame, flag_above: float = 40.0) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(a, b, r)`` for each pair of columns, from rows where both are present.
 
-    Pairs are computed inside one aggregation per ``PAIRS_PER_SCAN`` pairs; nothing
-    but partial sums is shuffled.
+    Built-in ``corr`` for every pair makes an aggregation far too wide for generated
+    code, so tasks add up the cross products of whole Arrow batches and each emits
+    one small row per pair. Values are taken relative to the column mean, which
+    keeps the sums well conditioned.
     """
-    pairs = [(a, b) for i, b in enumerate(columns) for a in columns[:i]]
-    scans = []
-    for start in range(0, len(pairs), PAIRS_PER_SCAN):
-        part = pairs[start : start + PAIRS_PER_SCAN]
-        values = [
-            F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}")
-            for i, (a, b) in enumerate(part)
-        ]
-        entries = F.array(
-            *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-                for i, (a, b) in enumerate(part)
-            ]
+    columns, width = list(columns), len(columns)
+    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    means = data.agg(*[F.coalesce(F.avg(f"c{i}"), F.lit(0.0)) for i in range(width)]).first()
+    centered = data.select(F.array(*[F.col(f"c{i}") - F.lit(m) for i, m in enumerate(means)]).alias("v"))
+    low, high = np.triu_indices(width, 1)
+
+    def cross_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, len(low)))
+        for batch in batches:
+            x = matrix(batch.column("v"), width)
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            there = there.astype(float)
+            products = (there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x)
+            sums += np.array([p[low, high] for p in products])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(low.astype("int32")), pa.array(high.astype("int32")), *[pa.array(s) for s in sums]],
+            names=["i", "j", "n", "x", "y", "xx", "yy", "xy"],
         )
-        scans.append(df.agg(*values).select(F.inline(entries)))
-    return reduce(DataFrame.unionByName, scans)
+
+    fields = ", ".join(f"{c} double" for c in ("n", "x", "y", "xx", "yy", "xy"))
+    totals = (
+        centered.mapInArrow(cross_products, f"i int, j int, {fields}")
+        .groupBy("i", "j")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    )
+    n = F.col("n")
+    covariance = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n)
+    spread = F.sqrt(
+        (F.col("xx") - F.try_divide(F.col("x") * F.col("x"), n)) * (F.col("yy") - F.try_divide(F.col("y") * F.col("y"), n))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return totals.select(
+        F.get(names, F.col("i")).alias("a"),
+        F.get(names, F.col("j")).alias("b"),
+        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.try_divide(covariance, spread))).alias("r"),
+    )
 
 
 def correlation_table(

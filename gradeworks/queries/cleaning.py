@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradeworks.operators import cleaning as ops
 from gradeworks.operators.encoding import align
 from gradeworks.queries.registry import query
-from gradeworks.sources.cases import CASES, CASES_SQL, FLAWED_SQL, case_labels, case_values, cases, flawed_cases
+from gradeworks.sources.cases import CASES, CASES_SQL, FLAWED_SQL, case_labels, case_values, cases, flawed_cases, stored_cases
 
 SOUND = "WITH " + CASES_SQL
 FLAWED = "WITH " + FLAWED_SQL
@@ -74,7 +74,7 @@ def key_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pf05_drop_learned_columns", FLAWED + f"SELECT case_id, {CONTENT}, grade FROM flawed")
 def drop_learned_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = flawed_cases(spark, sf_dir)
+    table = stored_cases(spark, sf_dir)
     return ops.drop_learned(table, ops.sparse_columns(table, CASES))
 
 
@@ -179,14 +179,14 @@ VIOLATIONS = {
     ),
 )
 def violation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = flawed_cases(spark, sf_dir)
+    table = stored_cases(spark, sf_dir)
     counts = ops.count_out_of_range(table, CASES).unionByName(ops.count_out_of_domain(table, CASES))
     return counts.withColumnRenamed("column", "column_name")
 
 
 @query("ml21_cleaning_sequence", FLAWED + "," + CLEAN_SQL + "SELECT * FROM cleaned")
 def cleaning_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = ops.drop_sparse_rows(flawed_cases(spark, sf_dir), CASES)
+    table = ops.drop_sparse_rows(stored_cases(spark, sf_dir), CASES)
     return ops.clean_training(table.drop("rare_note"), CASES)
 
 

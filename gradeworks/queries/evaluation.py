@@ -9,7 +9,7 @@ from gradeworks.operators import evaluation as ops
 from gradeworks.operators.search import ranked, summarize_folds
 from gradeworks.queries.cleaning import SOUND
 from gradeworks.queries.registry import query, rounded
-from gradeworks.queries.sampling import MD5
+from gradeworks.session import stage
 from gradeworks.sources.cases import CASES, cases
 from gradeworks.sources.writers import class_table, summary_table
 
@@ -188,7 +188,8 @@ def metrics_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT concat('support_', class), support::DOUBLE FROM scores""",
 )
 def evaluation_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = ops.evaluate(predictions(spark, sf_dir), "grade", "called", "scores", ["low", "middle", "high"])
+    # written once, as every table of the bundle reads them
+    tables = ops.evaluate(stage(predictions(spark, sf_dir), "predictions"), "grade", "called", "scores", ["low", "middle", "high"])
     return rounded(
         summary_table(tables.summary)
         .unionByName(tables.auc.select(F.concat(F.lit("auc_"), "class").alias("metric"), F.col("auc").alias("value")))
@@ -233,6 +234,3 @@ def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rank_configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(summarize_folds(_fold_scores(spark, sf_dir)))
-
-
-__all__ = ["MD5", "predictions"]

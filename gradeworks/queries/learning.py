@@ -14,7 +14,7 @@ from gradeworks.plans.preparation import fit_preparation
 from gradeworks.queries.cleaning import CLEAN_SQL, FLAWED, NULLIFIED, PRIORITIES, RANGED, SEGMENTS, SOUND
 from gradeworks.queries.registry import query, rounded
 from gradeworks.queries.sampling import MD5, split_sql
-from gradeworks.sources.cases import CASES, cases, flawed_cases, table
+from gradeworks.sources.cases import CASES, cases, flawed_cases, stored_cases, table
 
 CONTINUOUS = list(CASES.continuous)
 BINARY = ["has_return", "has_open", "has_bulk"]
@@ -27,7 +27,7 @@ GEO = list(CASES.geo)
     FLAWED + " UNION ALL ".join(f"SELECT '{c}' AS column_name, round(median({c}::DOUBLE), 6) AS median FROM flawed" for c in CONTINUOUS + GEO),
 )
 def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_quantiles(flawed_cases(spark, sf_dir), CONTINUOUS + GEO, [0.5])
+    found = exact_quantiles(stored_cases(spark, sf_dir), CONTINUOUS + GEO, [0.5])
     return rounded(spark.createDataFrame([(c, v[0]) for (_, c), v in found.items()], "column_name string, median double"))
 
 
@@ -173,7 +173,7 @@ def dummies_sql(source_column: str) -> str:
     FROM flawed""",
 )
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flawed_cases(spark, sf_dir).select("case_id", "priority", "segment")
+    rows = stored_cases(spark, sf_dir).select("case_id", "priority", "segment")
     return encoding.one_hot(rows, encoding.learn_levels(rows, CASES))
 
 
@@ -202,7 +202,7 @@ def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " FROM flawed",
 )
 def fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = flawed_cases(spark, sf_dir).drop("rare_note")
+    rows = stored_cases(spark, sf_dir).drop("rare_note")
     return imputation.fill(rows, imputation.fit_fill_values(rows, CASES))
 
 
@@ -538,7 +538,7 @@ FINISH_SQL = (
     LEFT JOIN by_customer_id k ON customer_id = k.category""",
 )
 def prepare_other_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table_ = flawed_cases(spark, sf_dir)
+    table_ = stored_cases(spark, sf_dir)
     preparation, _ = fit_preparation(table_, CASES)
     return rounded(preparation.apply(table_))
 
@@ -555,5 +555,5 @@ def prepare_other_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     JOIN by_customer_id k ON customer_id = k.category AND f.fold = k.fold""",
 )
 def prepare_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, prepared = fit_preparation(flawed_cases(spark, sf_dir), CASES)
+    _, prepared = fit_preparation(stored_cases(spark, sf_dir), CASES)
     return rounded(prepared)

@@ -11,7 +11,7 @@ from gradeworks.operators.sampling import split_three
 from gradeworks.operators.search import SelectionSearch, Trial, compare_selectors
 from gradeworks.plans.training import predict_only, train_final
 from gradeworks.queries.registry import query
-from gradeworks.session import staged_path
+from gradeworks.session import stage, staged_path
 from gradeworks.sources.cases import CASES, cases
 from gradeworks.sources.checkpoint import load_best
 from gradeworks.sources.writers import write_search_results
@@ -26,11 +26,12 @@ TRIALS = (
 
 
 def numeric_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key, gap-free numeric features and grade."""
+    """Key, gap-free numeric features and grade, stored because fitting reads them many times."""
     numbers = ["region_id", "nation_id", "total_price", "balance", "n_lines", "sum_qty", "avg_discount", "has_return", "has_open", "has_bulk"]
-    return cases(spark, sf_dir).select(
+    rows = cases(spark, sf_dir).select(
         "case_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numbers], "grade"
     )
+    return stage(rows, "numeric-cases")
 
 
 def _scores(predicted: DataFrame) -> DataFrame:

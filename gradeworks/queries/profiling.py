@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradeworks.operators import profiling as ops
 from gradeworks.queries.cleaning import CONTENT, FLAWED, SOUND
 from gradeworks.queries.registry import query, rounded
-from gradeworks.sources.cases import CASES, cases, flawed_cases, table
+from gradeworks.sources.cases import CASES, cases, flawed_cases, stored_cases, table
 
 COLUMNS = [x.strip() for x in CONTENT.split(",")]
 
@@ -198,7 +198,7 @@ def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
       / count(*) FILTER (WHERE grade IS NOT NULL), 6) FROM flawed WHERE segment IS NOT NULL GROUP BY segment""",
 )
 def profile_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = ops.profile(flawed_cases(spark, sf_dir), CASES, age="total_price", tail=300000)
+    tables = ops.profile(stored_cases(spark, sf_dir), CASES, age="total_price", tail=300000)
 
     def rows(name: str, item: str, value: str) -> DataFrame:
         return tables[name].select(

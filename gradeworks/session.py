@@ -53,6 +53,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Persisted rows in at least one partition per core, for work that is bound by computing.
+
+    A small table often sits in one file and would be trained on by one task.
+    """
+    rows = df.persist()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    even = rows.repartition(cores).persist()
+    even.count()
+    rows.unpersist()
+    return even
+
+
 def broadcast_if_small(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     """Broadcast hint only when the known row count proves the side small.
 

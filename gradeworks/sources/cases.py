@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeworks.session import stage
 from gradeworks.spec import Range, TableSpec
 
 CASES = TableSpec(
@@ -130,6 +131,15 @@ def flawed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flawed.withColumn("case_id", F.explode(copies))
 
 
+def stored_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flawed case table written once, as a run reads it: for work that scans it more than once.
+
+    Its columns are then plain attributes. A filter over many computed columns, pushed
+    into their definitions, would cost the optimizer far more than the write.
+    """
+    return stage(flawed_cases(spark, sf_dir), "cases")
+
+
 # The same tables as SQL common table expressions.
 CASES_SQL = """
 lines AS (
