@@ -129,29 +129,32 @@ def _positions(data: DataFrame, targets: list[_Target]) -> list[float]:
     return [row[f"t{i}"] for i in range(len(targets))]
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """Ends that cut a column into ranges of similar size."""
+
+    ends: tuple[float, ...]
+
+    @classmethod
+    def expression(cls, order: str, n_ranges: int = 256) -> Column:
+        """Aggregate whose result gives the ends; a sketch is enough, as ends only balance the work."""
+        return F.percentile_approx(order, [i / n_ranges for i in range(1, n_ranges)], ACCURACY)
+
+
 def running_totals(
-    df: DataFrame,
-    order: str,
-    totals: Sequence[str],
-    by: str,
-    n_ranges: int = 256,
-    direct_rows: int = 2_000_000,
+    df: DataFrame, order: str, totals: Sequence[str], by: str, ranges: Ranges | None = None
 ) -> DataFrame:
     """Add ``cum_<column>``: totals over rows of the group with a larger-or-equal ``order``.
 
-    ``df`` holds one row per (group, order). Many rows are cut into value ranges:
-    each range is summed on its own, and the few range totals carry the sums over.
-    The range ends only balance the work and never change the result.
+    ``df`` holds one row per (group, order). With ``ranges`` each value range is summed
+    on its own and the few range totals carry the sums over, so a group is no longer
+    one task; the result is the same.
     """
     window = Window.partitionBy(by).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    shape = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(order, [i / n_ranges for i in range(1, n_ranges)], ACCURACY).alias("ends"),
-    ).first()
-    if shape["n"] <= direct_rows:
+    if ranges is None:
         return df.withColumns({f"cum_{c}": F.sum(c).over(window) for c in totals})
 
-    splits = [float("-inf"), *sorted(set(shape["ends"])), float("inf")]
+    splits = [float("-inf"), *sorted(set(ranges.ends)), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol=order, outputCol="_range").transform(df)
     carry = Window.partitionBy(by).orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     before = (

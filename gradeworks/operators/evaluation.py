@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeworks.functions.order_stats import running_totals
+from gradeworks.functions.order_stats import Ranges, running_totals
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -158,21 +158,27 @@ def one_vs_rest(df: DataFrame, true: str, scores: str, classes: Sequence[int], k
 def roc_curve(
     df: DataFrame, true: str, scores: str, classes: Sequence[int], n_ranges: int = 256, direct_rows: int = 2_000_000
 ) -> DataFrame:
-    """``(class, score, tp, fp, cum_tp, cum_fp, tpr, fpr)``; equal scores make one step."""
-    steps = (
-        one_vs_rest(df, true, scores, classes)
-        .groupBy("class", "score")
-        .agg(F.sum("is_positive").alias("tp"), F.sum(1 - F.col("is_positive")).alias("fp"))
-    )
-    summed = running_totals(steps, "score", ["tp", "fp"], "class", n_ranges, direct_rows)
-    sides = df.agg(
-        *[F.count_if(F.col(true) == F.lit(c)).alias(f"p{i}") for i, c in enumerate(classes)],
-        F.count(F.col(true)).alias("n"),
+    """``(class, score, tp, fp, cum_tp, cum_fp, tpr, fpr)``; equal scores make one step.
+
+    Equal scores are added up before the shuffle. Beyond ``direct_rows`` scores the
+    running totals are cut into score ranges, so that no class is one task.
+    """
+    rows = one_vs_rest(df, true, scores, classes)
+    facts = rows.agg(
+        *[F.count_if((F.col("class") == c) & (F.col("is_positive") == 1)).alias(f"p{i}") for i, c in enumerate(classes)],
+        *[F.count_if((F.col("class") == c) & (F.col("is_positive") == 0)).alias(f"n{i}") for i, c in enumerate(classes)],
+        F.count("score").alias("n"),
+        Ranges.expression("score", n_ranges).alias("ends"),
     ).first()
+    ranges = Ranges(tuple(facts["ends"])) if facts["n"] > direct_rows else None
+    steps = rows.groupBy("class", "score").agg(
+        F.sum("is_positive").alias("tp"), F.sum(1 - F.col("is_positive")).alias("fp")
+    )
+    summed = running_totals(steps, "score", ["tp", "fp"], "class", ranges)
     positives, negatives = F.lit(None), F.lit(None)
     for i, c in enumerate(classes):
-        positives = F.when(F.col("class") == c, F.lit(sides[f"p{i}"])).otherwise(positives)
-        negatives = F.when(F.col("class") == c, F.lit(sides["n"] - sides[f"p{i}"])).otherwise(negatives)
+        positives = F.when(F.col("class") == c, F.lit(facts[f"p{i}"])).otherwise(positives)
+        negatives = F.when(F.col("class") == c, F.lit(facts[f"n{i}"])).otherwise(negatives)
     return summed.withColumns({"tpr": ratio(F.col("cum_tp"), positives), "fpr": ratio(F.col("cum_fp"), negatives)})
 
 

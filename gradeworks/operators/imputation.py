@@ -47,15 +47,18 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fit_fill_values(df: DataFrame, spec: TableSpec) -> FillValues:
-    """Medians and modes by column role, and the levels of the listed categories."""
+    """Medians and modes by column role, and the allowed levels each listed category has."""
     roles = spec.roles(df)
     medians = exact_quantiles(df, list(roles.continuous), [0.5])
     columns = list(roles.binary + roles.categorical)
     listed = [c for c in spec.domains if c in columns]
     modes_, levels = {}, {c: [] for c in listed}
     if columns:
-        # only columns with a listed domain give back their values
-        level = F.when(F.col("column").isin(listed), F.col("value"))
+        # a category gives back at most its listed domain, never an unbounded set of values
+        level = F.lit(None).cast("string")
+        for c in listed:
+            allowed = (F.col("column") == c) & F.col("value").isin(*spec.domains[c])
+            level = F.when(allowed, F.col("value")).otherwise(level)
         found = (
             value_counts(df, columns)
             .groupBy("column")

@@ -222,7 +222,9 @@ def nearest_to_anchors(
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor_ids, anchor_points = shipped.value
         best: dict[object, pd.DataFrame] = {}
+        types: dict[str, pa.DataType] = {}
         for batch in batches:
+            types = {f.name: f.type for f in batch.schema}
             row_ids = batch.column("id").to_numpy(zero_copy_only=False)
             labels = batch.column("label").to_numpy(zero_copy_only=False)
             values = matrix(batch.column("v"), width)
@@ -239,9 +241,9 @@ def nearest_to_anchors(
         for c, kept in best.items():
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(anchor_ids[kept["at"].to_numpy()]),
-                    pa.array([c] * len(kept), type=pa.int32() if isinstance(c, (int, np.integer)) else None),
-                    pa.array(kept["neighbor"].to_numpy()),
+                    pa.array(anchor_ids[kept["at"].to_numpy()], type=types["id"]),
+                    pa.array([c] * len(kept), type=types["label"]),
+                    pa.array(kept["neighbor"].to_numpy(), type=types["id"]),
                     pa.array(kept["distance"].to_numpy()),
                 ],
                 names=["anchor", "label", "neighbor", "distance"],
@@ -249,8 +251,7 @@ def nearest_to_anchors(
 
     order = Window.partitionBy("anchor", "label").orderBy("distance", "neighbor")
     return (
-        rows.withColumn("label", F.col("label").cast("int"))
-        .mapInArrow(best_of_partition, schema.simpleString().removeprefix("struct<").removesuffix(">"))
+        rows.mapInArrow(best_of_partition, schema)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
     )

@@ -153,9 +153,9 @@ def relief_scores(
         for y in sizes
         for c in sizes
     ]
-    weights = spark.createDataFrame(coefficients, "y int, label int, weight double")
-    key_type = rows.schema[key].dataType.simpleString()
-    anchor_rows = spark.createDataFrame(anchors, f"anchor {key_type}, y int, anchor_v array<double>")
+    key_type, class_type = (rows.schema[c].dataType.simpleString() for c in (key, label))
+    weights = spark.createDataFrame(coefficients, f"y {class_type}, label {class_type}, weight double")
+    anchor_rows = spark.createDataFrame(anchors, f"anchor {key_type}, y {class_type}, anchor_v array<double>")
     picked = (
         found.join(F.broadcast(anchor_rows), "anchor")
         .join(F.broadcast(weights), ["y", "label"])

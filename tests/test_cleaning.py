@@ -109,10 +109,10 @@ def test_row_threshold_is_rounded_down_and_ignores_the_key(spark):
 
 def test_sparse_columns_are_remembered(spark):
     spec = TableSpec(key="id", label="y", classes=(1,))
-    rows = spark.createDataFrame([(1, None), (2, None), (3, None), (4, 1)], "buona int, pessima int")
+    rows = spark.createDataFrame([(1, None), (2, None), (3, None), (4, 1)], "good int, poor int")
     found = cleaning.sparse_columns(rows, spec, 0.5)
-    assert found == ["pessima"]
-    assert cleaning.drop_learned(rows, [*found, "absent"]).columns == ["buona"]
+    assert found == ["poor"]
+    assert cleaning.drop_learned(rows, [*found, "absent"]).columns == ["good"]
 
 
 def test_a_column_exactly_at_the_limit_stays(spark):
