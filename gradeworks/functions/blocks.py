@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -9,12 +11,17 @@ import pyarrow as pa
 DECIMALS = 9
 
 
+# Entries of a distance table computed at a time, few enough to stay in the cache.
+TABLE = 250_000
+
+
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """Distances of every row of ``a`` to every row of ``b``, one row of ``a`` at a time."""
     out = np.empty((len(a), len(b)))
+    columns = np.ascontiguousarray(b.T)
     for i, row in enumerate(a):
-        gap = b - row
-        out[i] = np.abs(gap).sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
+        gap = columns - row[:, None]
+        out[i] = np.abs(gap).sum(axis=0) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=0))
     return np.round(out, DECIMALS)
 
 
@@ -25,11 +32,46 @@ def nearest(dist: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
         rows, cols = np.nonzero(dist <= limit)
     else:
         rows, cols = np.nonzero(np.isfinite(dist))
-    order = np.lexsort((ids[cols], dist[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.searchsorted(rows, rows)
-    keep = np.arange(len(rows)) - starts < k
-    return rows[keep], cols[keep]
+    return _first(rows, cols, dist[rows, cols], ids, k)[:2]
+
+
+def _first(rows: np.ndarray, cols: np.ndarray, dist: np.ndarray, ids: np.ndarray, k: int):
+    """The ``k`` first candidates of every row by distance, then id."""
+    order = np.lexsort((ids[cols], dist, rows))
+    rows, cols, dist = rows[order], cols[order], dist[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], cols[keep], dist[keep]
+
+
+def nearest_rows(
+    a: np.ndarray, b: np.ndarray, ids: np.ndarray, k: int, metric: str
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row of ``a``, row of ``b`` and distance for the ``k`` nearest, some rows of ``a`` at a time.
+
+    Euclidean candidates come from one matrix product. Its small error is covered by a
+    margin, and the distances that decide are then computed plainly.
+    """
+    step = max(1, TABLE // max(1, len(b)))
+    b_squares = (b * b).sum(axis=1)
+    for start in range(0, len(a), step):
+        part = a[start : start + step]
+        if metric == "manhattan" or len(b) <= k:
+            dist = distances(part, b, metric)
+            rows, cols = nearest(dist, ids, k)
+            yield rows + start, cols, dist[rows, cols]
+            continue
+        a_squares = (part * part).sum(axis=1)
+        squares = a_squares[:, None] + b_squares[None, :] - 2.0 * (part @ b.T)
+        margin = 1e-8 * (1.0 + a_squares + b_squares.max())
+        limit = np.partition(squares, k - 1, axis=1)[:, k - 1] + margin
+        rows, cols = np.nonzero(squares <= limit[:, None])
+        dist = np.empty(len(rows))
+        slice_ = max(1, 4 * TABLE // b.shape[1])
+        for i in range(0, len(rows), slice_):
+            gap = b[cols[i : i + slice_]] - part[rows[i : i + slice_]]
+            dist[i : i + slice_] = np.sqrt((gap * gap).sum(axis=1))
+        rows, cols, dist = _first(rows, cols, np.round(dist, DECIMALS), ids, k)
+        yield rows + start, cols, dist
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:

@@ -33,7 +33,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: str | None = None,
-    direct_rows: int = 2_000_000,
+    direct_rows: int = 500_000,
 ) -> dict[tuple[object, str], list[float]]:
     """``{(group, column): [quantile, ...]}`` with linear interpolation, nulls left out.
 

@@ -19,11 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradeworks.functions.blocks import DECIMALS, distances, matrix, nearest
+from gradeworks.functions.blocks import DECIMALS, TABLE, distances, matrix, nearest, nearest_rows
 from gradeworks.operators.sampling import sample_rows
 from gradeworks.session import stage
 
 METRICS = ("euclidean", "manhattan")
+BLOCK_BYTES = 8 * 1024 * 1024
+
+
+def _block_rows(n_rows: int, width: int, cores: int) -> int:
+    return max(256, min(BLOCK_BYTES // (8 * width), -(-n_rows // (2 * cores))))
 
 
 def vector(columns: Sequence[str]) -> Column:
@@ -45,11 +50,15 @@ def knn_join(
     k: int,
     metric: str = "euclidean",
     label: str | None = None,
-    block_rows: int = 2048,
+    block_rows: int | None = None,
     cell_rows: int = 250_000,
-    max_cells: int = 256,
+    max_cells: int = 1024,
 ) -> DataFrame:
-    """``(query, neighbor, distance, rank[, label])``: the k nearest training rows per query."""
+    """``(query, neighbor, distance, rank[, label])``: the k nearest training rows per query.
+
+    Blocks hold up to ``BLOCK_BYTES`` of values; a small table is cut finer, so that
+    every core gets some.
+    """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     width = len(features)
@@ -66,8 +75,11 @@ def knn_join(
     else:
         q, t, query_rows, train_rows = _into_cells(q, t, train, features, key, k, metric, cells)
 
-    blocks = {c: max(1, -(-train_rows.get(c, 0) // block_rows)) for c in query_rows}
-    q_blocks = {c: max(1, -(-n // block_rows)) for c, n in query_rows.items()}
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    t_size = block_rows or _block_rows(sum(train_rows.values()), width, cores)
+    q_size = block_rows or _block_rows(sum(query_rows.values()), width, cores)
+    blocks = {c: max(1, -(-train_rows.get(c, 0) // t_size)) for c in query_rows}
+    q_blocks = {c: max(1, -(-n // q_size)) for c, n in query_rows.items()}
     packed_queries = (
         _packed(q, q_blocks, with_label=False)
         .withColumn("block", F.explode(F.sequence(F.lit(0), _per_cell(blocks) - 1)))
@@ -95,14 +107,12 @@ def knn_join(
                 q_ids, ids, labels = (columns[n][i].values for n in ("q_ids", "ids", "labels"))
                 a, b = (matrix_of(columns[n][i].values, width) for n in ("q_values", "values"))
                 id_values = ids.to_numpy(zero_copy_only=False)
-                for start in range(0, len(a), 256):
-                    dist = distances(a[start : start + 256], b, metric)
-                    rows, cols = nearest(dist, id_values, k)
+                for rows, cols, dist in nearest_rows(a, b, id_values, k, metric):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            q_ids.take(pa.array(rows + start)),
+                            q_ids.take(pa.array(rows)),
                             ids.take(pa.array(cols)),
-                            pa.array(dist[rows, cols]),
+                            pa.array(dist),
                             labels.take(pa.array(cols)),
                         ],
                         names=["query", "neighbor", "distance", "label"],
@@ -223,7 +233,8 @@ def nearest_to_anchors(
         anchor_ids, anchor_points = shipped.value
         best: dict[object, pd.DataFrame] = {}
         types: dict[str, pa.DataType] = {}
-        for batch in batches:
+        step = max(1, 16 * TABLE // len(anchor_ids))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             types = {f.name: f.type for f in batch.schema}
             row_ids = batch.column("id").to_numpy(zero_copy_only=False)
             labels = batch.column("label").to_numpy(zero_copy_only=False)

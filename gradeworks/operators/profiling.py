@@ -125,7 +125,7 @@ def strongest(table: DataFrame, label: str, n: int = 10) -> DataFrame:
     )
 
 
-def box_statistics(df: DataFrame, columns: Sequence[str], label: str, direct_rows: int = 2_000_000) -> DataFrame:
+def box_statistics(df: DataFrame, columns: Sequence[str], label: str, direct_rows: int = 500_000) -> DataFrame:
     """``(class, feature, q1, median, q3, low, high)`` with whiskers inside 1.5 box heights.
 
     Quartiles come first; the whiskers are then conditional extremes of one more scan.
