@@ -28,7 +28,7 @@ BLOCK_BYTES = 8 * 1024 * 1024
 
 
 def _block_rows(n_rows: int, width: int, cores: int) -> int:
-    return max(256, min(BLOCK_BYTES // (8 * width), -(-n_rows // (2 * cores))))
+    return max(256, min(BLOCK_BYTES // (8 * width), -(-n_rows // (4 * cores))))
 
 
 def vector(columns: Sequence[str]) -> Column:
@@ -85,7 +85,9 @@ def knn_join(
         .withColumn("block", F.explode(F.sequence(F.lit(0), _per_cell(blocks) - 1)))
         .select("cell", "block", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     )
-    packed_train = _packed(t, blocks, with_label=True)
+    # both sides move to the block pairs: with a broadcast the pairs would stay in the
+    # few tasks that hold the packed queries, and the work is in the pairs
+    packed_train = _packed(t, blocks, with_label=True).hint("merge")
     pairs = packed_queries.join(packed_train, ["cell", "block"]).select(
         "q_ids", "q_values", "ids", "labels", "values"
     )
