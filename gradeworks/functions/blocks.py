@@ -16,7 +16,9 @@ TABLE = 250_000
 
 
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of every row of ``a`` to every row of ``b``, one row of ``a`` at a time."""
+    """Distances of every row of ``a`` to every row of ``b``, one row of the shorter at a time."""
+    if len(a) > len(b):
+        return distances(b, a, metric).T
     out = np.empty((len(a), len(b)))
     columns = np.ascontiguousarray(b.T)
     for i, row in enumerate(a):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeworks.functions.order_stats import exact_quantiles
+from gradeworks.operators.learner import in_parallel
 from gradeworks.spec import TableSpec
 
 
@@ -49,29 +50,27 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 def fit_fill_values(df: DataFrame, spec: TableSpec) -> FillValues:
     """Medians and modes by column role, and the allowed levels each listed category has."""
     roles = spec.roles(df)
-    medians = exact_quantiles(df, list(roles.continuous), [0.5])
     columns = list(roles.binary + roles.categorical)
     listed = [c for c in spec.domains if c in columns]
-    modes_, levels = {}, {c: [] for c in listed}
-    if columns:
-        # a category gives back at most its listed domain, never an unbounded set of values
-        level = F.lit(None).cast("string")
-        for c in listed:
-            allowed = (F.col("column") == c) & F.col("value").isin(*spec.domains[c])
-            level = F.when(allowed, F.col("value")).otherwise(level)
-        found = (
-            value_counts(df, columns)
-            .groupBy("column")
-            .agg(F.min_by("value", smallest_on_tie()).alias("mode"), F.collect_set(level).alias("levels"))
-        )
-        for row in found.collect():
-            modes_[row["column"]] = int(row["mode"]) if row["column"] in roles.binary else row["mode"]
-            if row["column"] in levels:
-                levels[row["column"]] = sorted(row["levels"])
+    # a category gives back at most its listed domain, never an unbounded set of values
+    level = F.lit(None).cast("string")
+    for c in listed:
+        allowed = (F.col("column") == c) & F.col("value").isin(*spec.domains[c])
+        level = F.when(allowed, F.col("value")).otherwise(level)
+
+    def frequent_values():
+        if not columns:
+            return []
+        most = F.min_by("value", smallest_on_tie()).alias("mode")
+        return value_counts(df, columns).groupBy("column").agg(most, F.collect_set(level).alias("levels")).collect()
+
+    medians, frequent = in_parallel([lambda: exact_quantiles(df, list(roles.continuous), [0.5]), frequent_values], 2)
+    modes_ = {r["column"]: int(r["mode"]) if r["column"] in roles.binary else r["mode"] for r in frequent}
+    levels = {r["column"]: sorted(r["levels"]) for r in frequent}
     return FillValues(
         medians={c: medians[None, c][0] for c in roles.continuous if (None, c) in medians},
         modes=modes_,
-        levels=levels,
+        levels={c: levels.get(c, []) for c in listed},
     )
 
 

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -41,8 +41,9 @@ def class_sizes(df: DataFrame, label: str) -> dict[int, int]:
 
 
 def in_parallel(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
-    """Results of independent fits, submitted from a few driver threads."""
+    """Results of independent jobs or fits, submitted from a few driver threads."""
     if parallelism <= 1 or len(tasks) <= 1:
         return [task() for task in tasks]
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
+        return [f.result() for f in [pool.submit(inherit(task)) for task in tasks]]

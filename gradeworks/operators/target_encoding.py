@@ -113,12 +113,13 @@ def category_statistics(folded: DataFrame, columns: Sequence[str], label: str) -
 
 
 def fit_target_encoder(
-    df: DataFrame, columns: Sequence[str], label: str, key: str, seed: int = 42
+    df: DataFrame, columns: Sequence[str], label: str, key: str, seed: int = 42, cuts: Cuts | None = None
 ) -> TargetEncoder:
+    """Learn the statistics; ``cuts`` are those of the labelled rows' folds where already known."""
     if label not in df.columns:
         raise ValueError(f"target encoding needs the label column {label!r}")
     labelled = df.select(key, label, *columns).where(F.col(label).isNotNull())
-    cuts = fold_cuts(labelled, key, N_FOLDS, seed)
+    cuts = cuts or fold_cuts(labelled, key, N_FOLDS, seed)
     folded = labelled.withColumn("fold", segment(cuts, key, seed=seed))
     statistics = stage(category_statistics(folded, columns, label), "target-statistics")
     rows = (

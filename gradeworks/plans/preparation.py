@@ -13,8 +13,10 @@ from gradeworks.operators import cleaning
 from gradeworks.operators.clustering import Clusters, fit_clusters
 from gradeworks.operators.encoding import align, one_hot
 from gradeworks.operators.imputation import FillValues, fill, fit_fill_values
+from gradeworks.operators.learner import in_parallel
+from gradeworks.operators.sampling import fold_cuts
 from gradeworks.operators.scaling import fit_standard, standardize
-from gradeworks.operators.target_encoding import TargetEncoder, fit_target_encoder
+from gradeworks.operators.target_encoding import N_FOLDS, TargetEncoder, fit_target_encoder
 from gradeworks.session import stage
 from gradeworks.spec import TableSpec
 
@@ -102,11 +104,22 @@ def fit_preparation(df: DataFrame, spec: TableSpec, seed: int = 42) -> tuple[Pre
     cleaned, dropped = clean_for_fit(df, spec)
     # written once: every statistic below reads a few of its columns
     cleaned = stage(cleaned, "cleaned")
-    fills = fit_fill_values(cleaned, spec)
-    filled = fill(cleaned, fills)
     geo = spec.geo_columns(cleaned)
-    encoder = fit_target_encoder(filled, geo, spec.label, spec.key, seed) if geo else None
-    moments = fit_standard(filled, spec.continuous)
+    fills, cuts = in_parallel(
+        [
+            lambda: fit_fill_values(cleaned, spec),
+            lambda: fold_cuts(cleaned, spec.key, N_FOLDS, seed) if geo else None,
+        ],
+        2,
+    )
+    filled = fill(cleaned, fills)
+    encoder, moments = in_parallel(
+        [
+            lambda: fit_target_encoder(filled, geo, spec.label, spec.key, seed, cuts) if geo else None,
+            lambda: fit_standard(filled, spec.continuous),
+        ],
+        2,
+    )
     hot = one_hot(filled, fills.levels)
     columns = tuple(c for c in hot.columns if c not in (spec.key, spec.label))
     preparation = Preparation(spec, dropped, fills, encoder, moments, columns)
