@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from gradeworks.operators import profiling as ops
 from gradeworks.queries.cleaning import CONTENT, FLAWED, SOUND
+from gradeworks.queries.learning import cross_fit_sql
 from gradeworks.queries.registry import query, rounded
+from gradeworks.queries.sampling import MD5
 from gradeworks.sources.cases import CASES, cases, flawed_cases, stored_cases, table
 
 COLUMNS = [x.strip() for x in CONTENT.split(",")]
@@ -55,7 +57,25 @@ def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.correlation_table(table_, CASES), ["r"])
 
 
-@query("ag07_correlations_with_geo")
+ENCODED = [*CORRELATED[:5], *CASES.geo, *CORRELATED[5:]]
+
+
+@query(
+    "ag07_correlations_with_geo",
+    SOUND
+    + f", folded AS (SELECT *, ntile(5) OVER (ORDER BY {MD5}) - 1 AS fold FROM cases),"
+    + ",".join(cross_fit_sql("folded", c, f"by_{c}") for c in CASES.geo)
+    + """, encoded AS (SELECT f.* REPLACE (r.encoding AS region_id, n.encoding AS nation_id, k.encoding AS customer_id)
+      FROM folded f JOIN by_region_id r ON region_id = r.category AND f.fold = r.fold
+      JOIN by_nation_id n ON nation_id = n.category AND f.fold = n.fold
+      JOIN by_customer_id k ON customer_id = k.category AND f.fold = k.fold), pairs AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, corr({a}::DOUBLE, {b}::DOUBLE) AS r FROM encoded"
+        for i, b in enumerate(ENCODED)
+        for a in ENCODED[:i]
+    )
+    + ") SELECT a, b, round(r, 6) AS r, abs(r) >= 0.3 AS shown FROM pairs",
+)
 def correlations_with_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ops.correlation_table(cases(spark, sf_dir), CASES), ["r"])
 
