@@ -96,28 +96,30 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
 
     own_cuts = F.get(F.array(*[cut_list(c) for c in features]), F.col("ordinal"))
     passed = F.size(F.filter(own_cuts, lambda cut: cut < F.col("value"))).cast("double")
-    joint = (
+    classes = list(class_sizes(df, label))
+    per_bin = (
         df.where(F.col(label).isNotNull())
         .select(
             F.col(label).alias("class"),
             F.posexplode(F.array(*[F.col(f"`{c}`").cast("double") for c in features])).alias("ordinal", "value"),
         )
         .where(F.col("value").isNotNull())
-        .groupBy("ordinal", F.when(own_cuts.isNull(), F.col("value")).otherwise(passed).alias("bin"), "class")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("ordinal", F.when(own_cuts.isNull(), F.col("value")).otherwise(passed).alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("class") == c).alias(f"n{i}") for i, c in enumerate(classes)])
     )
-    total = F.sum("n").over(Window.partitionBy("ordinal"))
-    of_bin = F.sum("n").over(Window.partitionBy("ordinal", "bin"))
-    of_class = F.sum("n").over(Window.partitionBy("ordinal", "class"))
+
+    def weighted_log(count: Column) -> Column:
+        return F.when(count > 0, count * F.log(count)).otherwise(0.0)
+
+    # the sum over cells of n log(n N / (bin class)), split so that no feature is gathered in one place
+    cells = sum((F.sum(weighted_log(F.col(f"n{i}"))) for i in range(len(classes))), F.lit(0.0))
+    of_class = sum((weighted_log(F.sum(f"n{i}")) for i in range(len(classes))), F.lit(0.0))
+    total = F.sum("n")
+    score = (cells - F.sum(weighted_log(F.col("n"))) - of_class + weighted_log(total)) / total
     names = F.array(*[F.lit(c) for c in features])
     return (
-        joint.select("ordinal", "n", total.alias("total"), of_bin.alias("b"), of_class.alias("c"))
-        .groupBy("ordinal")
-        .agg(
-            F.sum(F.col("n") / F.col("total") * F.log(F.col("n") * F.col("total") / (F.col("b") * F.col("c")))).alias(
-                "score"
-            )
-        )
+        per_bin.groupBy("ordinal")
+        .agg(score.alias("score"))
         .select(F.get(names, F.col("ordinal")).alias("feature"), "ordinal", "score")
     )
 
