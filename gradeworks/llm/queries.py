@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeworks.llm import quality, toxicity
+from gradeworks.llm import quality, token_counts, toxicity
 from gradeworks.llm.common import table
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -18,6 +18,11 @@ def _register(function):
     return function
 
 
+@_register
+def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
+
+
 @_register
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)

@@ -47,10 +47,10 @@ class ToxicityOptions:
     max_rows: int = 20_000
     max_bytes: int = 64 * 1024 * 1024
     prior: float = 100.0
-    margin: float = 1.0
-    density: float = 0.05
+    margin: float = 0.5
+    density: float = 0.01
     min_z: float = 3.0
-    max_e: float = 0.05
+    max_e: float = 0.5
     threshold: float = 0.3
 
 
