@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from gradeworks.session import broadcast_if_small
 
-MAX_HEAVY_KEYS = 1000
+MAX_HEAVY_KEYS, MIN_HEAVY_ROWS = 1000, 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +62,7 @@ def split_heavy_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
     small = broadcast_if_small(right, keys, row_bytes)
     if small is not right:
         return left.join(small.drop("n"), on, how)
-    limit = max(10_000, math.ceil(rows / MAX_HEAVY_KEYS))
+    limit = max(MIN_HEAVY_ROWS, math.ceil(rows / MAX_HEAVY_KEYS))
     heavy = F.broadcast(right.where(F.col("n") > limit).drop("n"))
     marks = F.broadcast(right.where(F.col("n") > limit).select(*on))
     hot = left.join(heavy, on, "inner")

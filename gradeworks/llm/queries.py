@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeworks.llm import quality, token_counts, toxicity
+from gradeworks.llm import quality, token_counts, toxicity, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -18,6 +18,29 @@ def _register(function):
     return function
 
 
+@_register
+def op2_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("file", "offset")
+
+
+# base 32 of the 20 digest bytes: each digit is five bits of one of four runs of ten hex digits
+LLM_ORACLES["op2_warc_boundary_chain"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS code,
+           min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+    FROM pages
+)
+SELECT page_id,
+       CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           (CAST('0x' || substr(code, CAST(1 + 10 * (k // 8) AS INTEGER), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS INTEGER)) & 31
+           AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p
+"""
+
+
 @_register
 def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
