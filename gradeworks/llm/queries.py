@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeworks.llm import quality, token_counts, toxicity, warc
+from gradeworks.llm import packing, quality, token_counts, toxicity, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -18,6 +18,11 @@ def _register(function):
     return function
 
 
+@_register
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @_register
 def op2_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("file", "offset")
