@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeworks.llm import packing, quality, token_counts, toxicity, warc
+from gradeworks.llm import packing, quality, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -51,6 +51,29 @@ def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
 
 
+@_register
+def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"))
+
+
+LLM_ORACLES["op6_vector_approximation"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
 @_register
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
