@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeworks.llm import packing, quality, token_counts, toxicity, vectors, warc
+from gradeworks.llm import decontamination, packing, quality, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -51,6 +51,12 @@ def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
 
 
+@_register
+def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_hash")
+
+
 @_register
 def op6_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(table(spark, sf_dir, "embeddings"))
