@@ -24,7 +24,7 @@ from gradeworks.llm.common import arrow_schema, as_batch, map_batches
 from gradeworks.session import broadcast_if_small, stage
 
 TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[%$€£°]|[.!?\n]")
-SENTENCE_MARKS = frozenset(".!?\n")
+SENTENCE_MARKS, SYMBOLS = frozenset(".!?\n"), frozenset("%$€£°")
 UNITS = frozenset(
     "% $ € £ ° mm cm m km in ft yd mi mg g kg lb oz ml cl l gal ms s sec min h hr hrs kb mb gb tb hz khz mhz ghz w kw kwh v "
     "percent cent cents dollar dollars euro euros pound pounds meter meters metre metres kilometer kilometers kilometre "
@@ -59,7 +59,7 @@ PLACEHOLDERS = {NUMBER: _hash("<number>"), NAME: _hash("<name>"), UNIT: _hash("<
 
 
 class Words(dict):
-    """Number of a token as written, with its kind and hash inside and at the start of a sentence."""
+    """Number of a token as written, with its kind and hash inside a sentence, at its start, and as a plain word."""
 
     def __init__(self):
         super().__init__()
@@ -67,8 +67,8 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.kinds: list[tuple[int, int]] = []
-        self.hashes: list[tuple[int, int]] = []
+        self.kinds: list[tuple[int, int, int]] = []
+        self.hashes: list[tuple[int, int, int]] = []
 
     def __missing__(self, token: str) -> int:
         number = self[token] = len(self.kinds)
@@ -83,8 +83,8 @@ class Words(dict):
             kind = WORD
         plain = PLACEHOLDERS.get(kind, 0) or _hash(low)
         named = kind == WORD and len(token) > 1 and token[0].isupper() and not token.isupper()
-        self.kinds.append((NAME if named else kind, kind))
-        self.hashes.append((PLACEHOLDERS[NAME] if named else plain, plain))
+        self.kinds.append((NAME if named else kind, kind, UNIT if token in SYMBOLS else WORD))
+        self.hashes.append((PLACEHOLDERS[NAME] if named else plain, plain, _hash(low)))
         return number
 
 
@@ -100,8 +100,8 @@ class Reader:
 
     def __init__(self):
         self.words = Words()
-        self.kinds = np.empty((0, 2), np.int8)
-        self.hashes = np.empty((0, 2), np.uint64)
+        self.kinds = np.empty((0, 3), np.int8)
+        self.hashes = np.empty((0, 3), np.uint64)
 
     def read(self, text: str) -> Template:
         words = self.words
@@ -118,6 +118,10 @@ class Reader:
         # column 1 holds what a token is at the start of a sentence, where names look like words
         starts = np.ones(len(tokens), np.int64)
         starts[1:] = marks[:-1]
+        # a word like "m" or "in" is a unit only right after a number; symbols always are
+        after_number = np.zeros(len(tokens), bool)
+        after_number[1:] = self.kinds[numbers[:-1], 1] == NUMBER
+        starts[(self.kinds[numbers, 1] == UNIT) & ~after_number & (self.kinds[numbers, 2] == WORD)] = 2
         keep = np.nonzero(~marks)[0]
         chosen, column = numbers[keep], starts[keep]
         return Template([tokens[i] for i in keep] if len(keep) < len(tokens) else tokens, self.kinds[chosen, column], self.hashes[chosen, column])
@@ -142,7 +146,7 @@ def bit_of(windows: np.ndarray) -> np.ndarray:
 
 
 def window_rows(texts: DataFrame, sizes: list[int], bitmap: np.ndarray | None, shorter: bool) -> DataFrame:
-    """Windows of ``texts`` (id, text), of all ``sizes``, that the bitmap lets through.
+    """Windows of ``texts`` (id, text, text_hash), of all ``sizes``, that the bitmap lets through.
 
     With ``shorter``, a text of fewer tokens than the only size is one window of its length.
     Slots carry the values of the placeholders and their places in the window.
@@ -153,17 +157,14 @@ def window_rows(texts: DataFrame, sizes: list[int], bitmap: np.ndarray | None, s
         reader = Reader()
         for batch in batches:
             out = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text, text_hash in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not text:
                     continue
                 t = reader.read(text)
-                text_hash = None
                 for size in [min(sizes[0], len(t.kinds))] if shorter else sizes:
                     windows = window_hashes(t.hashes, size) if size else np.empty(0, np.int64)
                     places = range(len(windows)) if bitmap is None else np.nonzero(bitmap[bit_of(windows)])[0].tolist()
                     for place in places:
-                        if text_hash is None:
-                            text_hash = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                         at = [j for j in range(size) if t.kinds[place + j] != WORD]
                         # the kind goes with the value, since only names must differ from each other
                         slots = [f"{'N' if t.kinds[place + j] == NAME else 'V'}{t.tokens[place + j]}" for j in at]
@@ -182,9 +183,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     null and empty texts hold nothing and rows with a null item_id are left out. Equal items
     are found each; repeated documents give one row; null ids of documents are kept.
     """
-    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("id"), "text")
-    literals = F.least(F.lit(options.min_literals), F.col("size"))
-    known = stage(window_rows(items, [options.width], None, True).where(F.col("literals") >= literals), "benchmark-windows")
+    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("id"), "text", F.lit(0).cast("bigint").alias("text_hash"))
+    known = stage(window_rows(items, [options.width], None, True).where(F.col("literals") >= options.min_literals), "benchmark-windows")
     totals = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("place").alias("item_windows"))
     sizes = sorted((r["size"] for r in known.select("size").distinct().collect()), reverse=True) or [options.width]
     bits = known.select(F.shiftrightunsigned("window", 64 - BITMAP_BITS).alias("bit")).distinct().toPandas()["bit"]
@@ -192,7 +192,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     bitmap[bits.to_numpy(np.int64)] = True
     n_known = known.count()
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", F.xxhash64("text").alias("text_hash"))
     held = window_rows(texts, sizes, bitmap, False).select(
         F.col("id").alias("doc_id"), "text_hash", F.col("place").alias("doc_place"), "size", "window", F.col("slots").alias("doc_slots")
     )
@@ -213,7 +213,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     torn = forth.where("n > 1").select(*line).unionByName(back.where("n > 1").select(*line)).distinct()
     whole = met.alias("m").join(
         torn.alias("t"),
-        F.col("m.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.expr("m.text_hash = t.text_hash and m.item_id = t.item_id and m.diagonal = t.diagonal")),
+        F.expr("m.doc_id <=> t.doc_id and m.text_hash = t.text_hash and m.item_id = t.item_id and m.diagonal = t.diagonal"),
         "left_anti",
     )
     found = whole.groupBy("doc_id", "text_hash", "item_id").agg(F.countDistinct("item_place").alias("n_windows"))
@@ -227,6 +227,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """Rows of ``docs`` whose text holds no item of the benchmark, all columns kept."""
-    leaks = stage(find_leaks(docs, benchmark, options).select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    known = leaks.where("_id is not null")
-    return docs.join(broadcast_if_small(known, known.count(), 8), F.col("doc_id") == F.col("_id"), "left_anti")
+    leaks = find_leaks(docs, benchmark, options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    leaks = stage(leaks, "leaks")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(broadcast_if_small(leaks, leaks.count(), 16), same, "left_anti")
