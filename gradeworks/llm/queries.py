@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gradeworks.llm import decontamination, packing, quality, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
+from gradeworks.llm.near_duplicates import near_duplicates
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
 
@@ -46,6 +47,44 @@ FROM p
 """
 
 
+@_register
+def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op3_bbit_minhash"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+),
+s AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) = 1 THEN [words[1]]
+        ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingles
+    FROM w
+),
+c AS (SELECT shingles, min(doc_id) AS rep, len(shingles) AS n FROM (SELECT doc_id, list_sort(shingles) AS shingles FROM s) WHERE len(shingles) > 0 GROUP BY shingles),
+e AS (SELECT rep, n, unnest(shingles) AS shingle FROM c),
+links AS (
+    SELECT a.rep AS a, b.rep AS b
+    FROM e a JOIN e b ON a.shingle = b.shingle AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.rep, b.rep, a.n, b.n
+    HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, sides.b FROM reach r JOIN sides ON r.b = sides.a),
+roots AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(len(d.shingles) AS BIGINT) AS n_shingles,
+       coalesce(roots.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(roots.component_id, d.doc_id) AS kept
+FROM (SELECT doc_id, list_sort(shingles) AS shingles FROM s) d
+LEFT JOIN c ON c.shingles = d.shingles
+LEFT JOIN roots ON roots.rep = c.rep
+"""
+
+
 @_register
 def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary())
