@@ -227,7 +227,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """Rows of ``docs`` whose text holds no item of the benchmark, all columns kept."""
-    leaks = find_leaks(docs, benchmark, options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    leaks = find_leaks(docs, benchmark, options).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     leaks = stage(leaks, "leaks")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(broadcast_if_small(leaks, leaks.count(), 16), same, "left_anti")

@@ -387,6 +387,14 @@ def shingle_sets(texts: DataFrame, options: NearDuplicateOptions) -> DataFrame:
 def keep_one_per_group(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:
     """Rows of ``docs`` that stand for their group, all columns kept; of repeated rows one stays."""
     found = near_duplicates(docs, options)
-    dropped = stage(found.where("not kept").select(F.col("doc_id").alias("_id")).distinct(), "dropped")
-    left = docs.join(broadcast_if_small(dropped, dropped.count(), 8), F.col("doc_id") == F.col("_id"), "left_anti")
-    return left
+    dropped = stage(found.where("not kept").select(F.col("doc_id").alias("__id")).distinct(), "dropped")
+    left = docs.join(broadcast_if_small(dropped, dropped.count(), 8), F.col("doc_id") == F.col("__id"), "left_anti")
+    # rows that repeat id and text are few or none; only they are shuffled
+    same = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")]
+    again = stage(left.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
+    if again.isEmpty():
+        return left
+    is_again = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    again = broadcast_if_small(again, again.count(), 16)
+    one_each = left.join(again, is_again, "left_semi").withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
+    return left.join(again, is_again, "left_anti").unionByName(one_each.drop("__hash"))

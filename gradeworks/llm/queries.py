@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from gradeworks.llm import decontamination, packing, quality, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.near_duplicates import near_duplicates
@@ -139,3 +140,8 @@ def op9_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
