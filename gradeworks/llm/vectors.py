@@ -104,7 +104,7 @@ def approximations(vectors: DataFrame, edges: np.ndarray) -> DataFrame:
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
 
 
 def bounded_candidates(cells: DataFrame, ids: np.ndarray, queries: np.ndarray, edges: np.ndarray, k: int, block_rows: int) -> DataFrame:
@@ -131,7 +131,7 @@ def bounded_candidates(cells: DataFrame, ids: np.ndarray, queries: np.ndarray, e
         for batch in batches:
             for part in (batch.slice(i, block_rows) for i in range(0, batch.num_rows, block_rows)):
                 vec_ids = part.column(0).to_numpy()
-                c = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, dims)
+                c = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, dims)
                 low_edge, high_edge = lower[np.arange(dims), c], upper[np.arange(dims), c]
                 low = up @ low_edge.T + down @ high_edge.T
                 high = up @ high_edge.T + down @ low_edge.T
