@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_STRATA = 1000
 DIGITS = 3  # hex digits resolved per counting pass: 4096 ranges per stratum
 BEFORE_ALL = ""
 AFTER_ALL = "~"
@@ -38,11 +39,16 @@ def find_cuts(
 
     ``ranks`` maps the stratum sizes to cumulative ranks. Each counting pass narrows
     every wanted rank to one hash range; rows are ranked only inside ranges of at
-    most ``rank_rows`` rows.
+    most ``rank_rows`` rows. Every row must have a key, and at most ``MAX_STRATA`` strata
+    are cut, since their counts go to the driver.
     """
+    if by is not None and df.select(by).distinct().limit(MAX_STRATA + 1).count() > MAX_STRATA:
+        raise ValueError(f"column {by!r} has more than {MAX_STRATA} values; it cannot be cut by stratum")
     rows = df.select((F.col(by) if by else F.lit(0)).alias("stratum"), row_hash(key, seed).alias("hash"))
     first = _count_ranges(rows, 1)
     sizes: dict[Stratum, int] = {}
+    if any(hash_range is None for _, hash_range in first):
+        raise ValueError(f"column {key!r} has null keys, which have no place in the order")
     for (stratum, _), n in first.items():
         sizes[stratum] = sizes.get(stratum, 0) + n
     wanted = ranks(sizes)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000  # rank error of the sketch is at most rows / ACCURACY
+MAX_PASSES = 40
 
 
 @dataclass
@@ -35,27 +36,28 @@ def exact_quantiles(
     by: str | None = None,
     direct_rows: int = 500_000,
 ) -> dict[tuple[object, str], list[float]]:
-    """``{(group, column): [quantile, ...]}`` with linear interpolation, nulls left out.
-
-    Up to ``direct_rows`` values per group the built-in exact percentile answers.
-    Beyond it, a quantile sketch gives an interval around each wanted position, an
-    exact count checks it, and only the values inside reach the exact percentile;
-    an interval that still holds too many values is narrowed again. Every pass is a
-    map-side aggregation: no row is shuffled.
+    """``{(group, column): [quantile, ...]}`` with linear interpolation; null and NaN are left out.
+
+    ``direct_rows`` is how many values one reducer may hold, over all wanted quantiles. If
+    every group has that few, the built-in exact percentile answers. Beyond it, a quantile
+    sketch gives an interval around each wanted position, an exact count checks it, and only
+    the values inside reach the exact percentile; an interval that still holds too many
+    values is narrowed again. Tables are only aggregated; what is shuffled are sketches and
+    the percentiles' value counts.
     """
     columns = list(columns)
     if not columns:
         return {}
     data = df.select(
         (F.col(by) if by else F.lit(None).cast("string")).alias("g"),
-        *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)],
+        *[F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(columns)],
     )
     names = [f"c{i}" for i in range(len(columns))]
     sizes = {
         r["g"]: [r[f"n{i}"] for i in range(len(columns))]
         for r in data.groupBy("g").agg(*[F.count(c).alias(f"n{c[1:]}") for c in names]).collect()
     }
-    largest = max((n for counts in sizes.values() for n in counts), default=0)
+    largest = max((sum(counts) for counts in sizes.values()), default=0)
     if largest <= direct_rows:
         rows = (
             data.groupBy("g")
@@ -71,7 +73,7 @@ def exact_quantiles(
         if counts[i]
         for p in probabilities
     ]
-    _narrow(data, targets, direct_rows)
+    _narrow(data, targets, max(direct_rows // max(len(targets), 1), 1))
     values = _positions(data, targets)
     found: dict[tuple[object, str], list[float]] = {}
     for target, value in zip(targets, values, strict=True):
@@ -85,7 +87,11 @@ def _inside(t: _Target) -> Column:
 
 def _narrow(data: DataFrame, targets: list[_Target], direct_rows: int) -> None:
     pending = [t for t in targets if t.inside > direct_rows]
+    passes = 0
     while pending:
+        passes += 1
+        if passes > MAX_PASSES:
+            raise RuntimeError(f"no exact quantile of {[t.column for t in pending]} after {MAX_PASSES} passes")
         sketches = []
         for i, t in enumerate(pending):
             share = (t.position - t.before) / (t.inside - 1)

@@ -11,18 +11,18 @@ from gradeworks.operators.imputation import value_counts
 from gradeworks.spec import TableSpec
 
 
-# Every level becomes a column, so a table with more of them has an identifier among its categories.
-MAX_LEVELS = 10_000
+def learn_levels(df: DataFrame, spec: TableSpec, max_levels: int = 10_000) -> dict[str, list[str]]:
+    """Sorted values present per listed categorical column, found in one scan.
 
-
-def learn_levels(df: DataFrame, spec: TableSpec) -> dict[str, list[str]]:
-    """Sorted values present per listed categorical column, found in one scan."""
+    Every level becomes a column, so a table with more than ``max_levels`` has an identifier
+    among its categories; that raises.
+    """
     columns = [c for c in spec.domains if c in df.columns]
     levels: dict[str, list[str]] = {c: [] for c in columns}
     if columns:
-        found = value_counts(df, columns).limit(MAX_LEVELS + 1).collect()
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"more than {MAX_LEVELS} levels in {columns}")
+        found = value_counts(df, columns).limit(max_levels + 1).collect()
+        if len(found) > max_levels:
+            raise ValueError(f"more than {max_levels} levels in {columns}")
         for row in found:
             levels[row["column"]].append(row["value"])
     return {c: sorted(v) for c, v in levels.items()}

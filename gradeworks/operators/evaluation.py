@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeworks.functions.order_stats import Ranges, running_totals
+from gradeworks.session import stage
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -156,29 +157,31 @@ def one_vs_rest(df: DataFrame, true: str, scores: str, classes: Sequence[int], k
 
 
 def roc_curve(
-    df: DataFrame, true: str, scores: str, classes: Sequence[int], n_ranges: int = 256, direct_rows: int = 2_000_000
+    df: DataFrame, true: str, scores: str, classes: Sequence[int], direct_rows: int = 2_000_000
 ) -> DataFrame:
     """``(class, score, tp, fp, cum_tp, cum_fp, tpr, fpr)``; equal scores make one step.
 
-    Equal scores are added up before the shuffle. Beyond ``direct_rows`` scores the
-    running totals are cut into score ranges, so that no class is one task.
+    Rows whose label or score is null or NaN have no place on a curve and are left out,
+    score by score. Equal scores are added up and stored once, and all else is taken from
+    these steps. Beyond ``direct_rows`` steps the running totals are cut into score ranges
+    of about a quarter of that, so that no class is one task.
     """
-    rows = one_vs_rest(df, true, scores, classes)
-    facts = rows.agg(
-        *[F.count_if((F.col("class") == c) & (F.col("is_positive") == 1)).alias(f"p{i}") for i, c in enumerate(classes)],
-        *[F.count_if((F.col("class") == c) & (F.col("is_positive") == 0)).alias(f"n{i}") for i, c in enumerate(classes)],
-        F.count("score").alias("n"),
-        Ranges.expression("score", n_ranges).alias("ends"),
-    ).first()
-    ranges = Ranges(tuple(facts["ends"])) if facts["n"] > direct_rows else None
+    rows = one_vs_rest(df, true, scores, classes).where("is_positive is not null and score is not null and not isnan(score)")
     steps = rows.groupBy("class", "score").agg(
         F.sum("is_positive").alias("tp"), F.sum(1 - F.col("is_positive")).alias("fp")
     )
+    steps = stage(steps, "roc-steps")
+    sums = {r["class"]: r for r in steps.groupBy("class").agg(F.sum("tp").alias("p"), F.sum("fp").alias("n"), F.count("score").alias("steps")).collect()}
+    n_steps = sum(r["steps"] for r in sums.values())
+    ranges = None
+    if n_steps > direct_rows:
+        n_ranges = max(2, 4 * n_steps // direct_rows)
+        ranges = Ranges(tuple(steps.agg(Ranges.expression("score", n_ranges)).first()[0]))
     summed = running_totals(steps, "score", ["tp", "fp"], "class", ranges)
-    positives, negatives = F.lit(None), F.lit(None)
-    for i, c in enumerate(classes):
-        positives = F.when(F.col("class") == c, F.lit(facts[f"p{i}"])).otherwise(positives)
-        negatives = F.when(F.col("class") == c, F.lit(facts[f"n{i}"])).otherwise(negatives)
+    positives, negatives = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
+    for c, r in sums.items():
+        positives = F.when(F.col("class") == c, F.lit(r["p"])).otherwise(positives)
+        negatives = F.when(F.col("class") == c, F.lit(r["n"])).otherwise(negatives)
     return summed.withColumns({"tpr": ratio(F.col("cum_tp"), positives), "fpr": ratio(F.col("cum_fp"), negatives)})
 
 

@@ -65,7 +65,7 @@ def fit_fill_values(df: DataFrame, spec: TableSpec) -> FillValues:
         return value_counts(df, columns).groupBy("column").agg(most, F.collect_set(level).alias("levels")).collect()
 
     medians, frequent = in_parallel([lambda: exact_quantiles(df, list(roles.continuous), [0.5]), frequent_values], 2)
-    modes_ = {r["column"]: int(r["mode"]) if r["column"] in roles.binary else r["mode"] for r in frequent}
+    modes_ = {r["column"]: int(float(r["mode"])) if r["column"] in roles.binary else r["mode"] for r in frequent}
     levels = {r["column"]: sorted(r["levels"]) for r in frequent}
     return FillValues(
         medians={c: medians[None, c][0] for c in roles.continuous if (None, c) in medians},

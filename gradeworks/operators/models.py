@@ -131,13 +131,15 @@ class _TreeParams(TableParams):
 
     def _tree_settings(self) -> dict:
         depth = self.getOrDefault(self.max_depth)
+        if depth is not None and depth > DEEPEST:
+            raise ValueError(f"max_depth {depth} is above {DEEPEST}, the deepest tree that can be grown")
         return dict(
             featuresCol=POINT,
             labelCol=CLASS,
             predictionCol="_prediction",
             probabilityCol="_probability",
             rawPredictionCol="_raw",
-            maxDepth=DEEPEST if depth is None else min(depth, DEEPEST),
+            maxDepth=DEEPEST if depth is None else depth,
             minInstancesPerNode=self.getOrDefault(self.min_samples_leaf),
             maxBins=MAX_BINS,
             seed=self.getOrDefault(self.seed),
@@ -316,6 +318,9 @@ class NeighborsModel(_Fitted):
         self.train, self.n_neighbors, self.weights, self.metric = train, n_neighbors, weights, metric
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        incomplete = F.greatest(*[F.col(f"`{c}`").isNull().cast("int") for c in self.features], F.lit(0), F.lit(0))
+        if not df.where(incomplete == 1).isEmpty():
+            raise ValueError(f"rows without a value in one of {self.features} have no neighbours; fill them first")
         found = knn_join(df, self.train, self.features, self.key, self.n_neighbors, self.metric, self.label)
         votes = knn_votes(found, self.classes, self.weights).withColumnRenamed("query", self.key)
         return df.join(votes, self.key, "inner")

@@ -27,12 +27,12 @@ def standardize(df: DataFrame, moments: Moments) -> DataFrame:
 
 
 def fit_min_range(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """``{column: (minimum, range)}``; a constant column gets range 1."""
+    """``{column: (minimum, range)}``; a constant column gets range 1, one without values is left out."""
     row = df.agg(
         *[F.min(F.col(f"`{c}`")).cast("double").alias(f"lo_{i}") for i, c in enumerate(columns)],
         *[F.max(F.col(f"`{c}`")).cast("double").alias(f"hi_{i}") for i, c in enumerate(columns)],
     ).first()
-    return {c: (row[f"lo_{i}"], (row[f"hi_{i}"] - row[f"lo_{i}"]) or 1.0) for i, c in enumerate(columns)}
+    return {c: (row[f"lo_{i}"], (row[f"hi_{i}"] - row[f"lo_{i}"]) or 1.0) for i, c in enumerate(columns) if row[f"lo_{i}"] is not None}
 
 
 def min_max(column: str, lowest: float, spread: float) -> Column:

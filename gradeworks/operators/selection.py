@@ -179,10 +179,10 @@ def relief_scores(
 
 class AllFeatures(Estimator, TableParams):
     @keyword_only
-    def __init__(self, *, keyCol="key", labelCol="label"):
+    def __init__(self, *, keyCol="key", labelCol="label", seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
-        self._setDefault(keyCol="key", labelCol="label")
+        self._setDefault(keyCol="key", labelCol="label", seed=42)
 
     def _fit(self, df: DataFrame) -> Selection:
         offered = self.features_of(df)
@@ -190,17 +190,27 @@ class AllFeatures(Estimator, TableParams):
 
 
 class MutualInfo(Estimator, TableParams):
+    """The k features with the best scores, by mutual information or the caller's own function.
+
+    ``scores`` is called with the table, the offered features and the label column and returns
+    ``(feature, score)``, one row per feature.
+    """
+
     k = Param(Params._dummy(), "k", "features kept", TypeConverters.toInt)
+    scores = Param(Params._dummy(), "scores", "function that scores features", TypeConverters.identity)
 
     @keyword_only
-    def __init__(self, *, keyCol="key", labelCol="label", k=30, seed=42):
+    def __init__(self, *, keyCol="key", labelCol="label", k=30, scores=mutual_information, seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
-        self._setDefault(keyCol="key", labelCol="label", k=30, seed=42)
+        self._setDefault(keyCol="key", labelCol="label", k=30, scores=mutual_information, seed=42)
 
     def _fit(self, df: DataFrame) -> Selection:
         offered = self.features_of(df)
-        scores = mutual_information(df, offered, self.label)
+        scores = self.getOrDefault(self.scores)(df, offered, self.label)
+        if "ordinal" not in scores.columns:
+            names = F.array(*[F.lit(c) for c in offered])
+            scores = scores.withColumn("ordinal", (F.array_position(names, F.col("feature")) - 1).cast("int"))
         kept = best_in_column_order(scores, min(self.getOrDefault(self.k), len(offered)))
         return Selection("MutualInfo", offered, [r["feature"] for r in kept.collect()], self.key, self.label)
 
