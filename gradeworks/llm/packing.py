@@ -35,8 +35,19 @@ WORD = re.compile(r"[^ \n\t\r]+")
 PIECES_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+# letters that all steps of the tokenizer lower alike, then marks that form a token run of their own
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:*#&%$|]*)\Z")
+WORD_END = "</w>"
+STEMS_AT_ONCE = 1000
+
+
 class WordIds:
-    """Little-endian ids of words, kept in bounded memory, since texts repeat their words."""
+    """Little-endian ids of words, kept in bounded memory, since texts repeat their words.
+
+    A plain word is a stem of letters in lower case and a tail of marks. Both are units to the
+    tokenizer, whatever stands beside them, so they are encoded once for all words that share
+    them, many at a time; the word-end mark tells where the next one begins.
+    """
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -44,19 +55,54 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.stored: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [WORD.findall(t) for t in texts]
         stored = self.stored
-        new = list({w for words in split for w in words if w not in stored})
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            stored[word] = np.array(found.ids, dtype="<u4").tobytes()
+        self.add({w for words in split for w in words if w not in stored})
         out = [b"".join(map(stored.__getitem__, words)) for words in split]
         if len(stored) > MAX_STORED:
             stored.clear()
+        if len(self.units) > MAX_STORED:
+            self.units = {"": b""}
         return out
 
+    def add(self, words: set[str]) -> None:
+        units, parts, odd = self.units, [], []
+        for word in words:
+            m = PLAIN.match(word)
+            if m:
+                parts.append((word, m[1].lower(), m[2]))
+            else:
+                odd.append(word)
+        new = list({u for _, *pair in parts for u in pair if u not in units})
+        for i in range(0, len(new), STEMS_AT_ONCE):
+            self.add_units(new[i : i + STEMS_AT_ONCE])
+        for word, stem, tail in parts:
+            self.stored[word] = units[stem] + units[tail]
+        self.stored.update(self.alone(odd))
+
+    def alone(self, words: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(words, found, strict=True)}
+
+    def add_units(self, units: list[str]) -> None:
+        (found,) = self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        stops = (4 * (np.nonzero(self.ends[ids])[0] + 1)).tolist()
+        if len(stops) != len(units) or (stops and stops[-1] != 4 * len(ids)):
+            # a vocabulary without word ends
+            self.units.update(self.alone(units))
+            return
+        data = ids.tobytes()
+        for unit, start, stop in zip(units, [0, *stops], stops, strict=False):
+            self.units[unit] = data[start:stop]
+
 
 def tokenize(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every whole text of ``docs`` (doc_id, text).
