@@ -9,6 +9,8 @@ from __future__ import annotations
 import json
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -199,6 +201,49 @@ class Tree(Estimator, _TreeParams):
         return self._fit_inner(DecisionTreeClassifier(**self._tree_settings()), df)
 
 
+def tree_paths(tree: DecisionTreeClassificationModel) -> list[tuple[int, float, int, int, float]]:
+    """Nodes of a fitted tree as (feature, threshold, left, right, call); feature -1 marks a leaf.
+
+    Features are all continuous here, so every split is a threshold.
+    """
+    nodes: list[tuple[int, float, int, int, float]] = []
+
+    def visit(node) -> int:
+        at = len(nodes)
+        nodes.append((-1, 0.0, -1, -1, float(node.prediction())))
+        if node.subtreeDepth() > 0:
+            split = node.split()
+            left, right = visit(node.leftChild()), visit(node.rightChild())
+            nodes[at] = (split.featureIndex(), split.threshold(), left, right, float(node.prediction()))
+        return at
+
+    visit(tree._java_obj.rootNode())
+    return nodes
+
+
+def tree_calls(df: DataFrame, trees: list[DecisionTreeClassificationModel]) -> DataFrame:
+    """Add ``_calls``: the class index that each tree calls, all trees in one step over Arrow batches.
+
+    One ``transform`` per tree would make a plan as deep as there are trees.
+    """
+    tables = [tuple(np.array(c) for c in zip(*tree_paths(t), strict=True)) for t in trees]
+
+    @F.pandas_udf("array<double>")
+    def calls(points: pd.Series) -> pd.Series:
+        x = np.array(points.tolist(), dtype=float)
+        out = np.empty((len(x), len(tables)))
+        for i, (feature, threshold, left, right, call) in enumerate(tables):
+            at = np.zeros(len(x), np.int64)
+            rows = np.arange(len(x))
+            while len(rows := rows[feature[at[rows]] >= 0]):
+                node = at[rows]
+                at[rows] = np.where(x[rows, feature[node]] <= threshold[node], left[node], right[node])
+            out[:, i] = call[at]
+        return pd.Series(list(out))
+
+    return df.withColumn("_calls", calls(vector_to_array(POINT)))
+
+
 class BoostedModel(_Fitted):
     """Weighted vote of trees."""
 
@@ -207,34 +252,24 @@ class BoostedModel(_Fitted):
         self.trees = list(trees)
         self.votes = list(votes)
 
-    def _called(self, df: DataFrame, trees) -> DataFrame:
-        """Add one column per tree with the index of the class it calls."""
-        for i, tree in enumerate(trees):
-            tree = tree.copy().setPredictionCol(f"_call{i}").setProbabilityCol("").setRawPredictionCol("")
-            df = tree.transform(df)
-        return df
-
     def _transform(self, df: DataFrame) -> DataFrame:
         k, total = len(self.classes), sum(self.votes)
-        out = self._called(assembled(df, self.features), self.trees)
-        decisions = [
-            sum(
-                (
-                    F.when(F.col(f"_call{i}") == c, F.lit(a / total)).otherwise(F.lit(-a / total / (k - 1)))
-                    for i, a in enumerate(self.votes)
-                ),
-                F.lit(0.0),
-            )
-            for c in range(k)
-        ]
-        powers = F.transform(F.array(*decisions), lambda d: F.exp(d / (k - 1)))
+        # a class gets a tree's vote where the tree calls it and loses 1/(k-1) of it elsewhere
+        out = tree_calls(assembled(df, self.features), self.trees)
+        votes = F.array(*[F.lit(float(v) / total) for v in self.votes])
+        weighed = F.arrays_zip(F.col("_calls").alias("call"), votes.alias("vote"))
+
+        def decision(c: int) -> Column:
+            share = F.aggregate(weighed, F.lit(0.0), lambda s, t: s + F.when(t["call"] == c, t["vote"]).otherwise(-t["vote"] / (k - 1)))
+            return F.exp(share / (k - 1))
+
         shares = F.transform("_powers", lambda p: p / F.aggregate("_powers", F.lit(0.0), lambda s, x: s + x))
         best = F.array_position(F.col("probability"), F.array_max("probability")) - 1
         return (
-            out.withColumn("_powers", powers)
+            out.withColumn("_powers", F.array(*[decision(c) for c in range(k)]))
             .withColumn("probability", shares)
             .withColumn("prediction", class_value(self.classes, best))
-            .drop(POINT, "_powers", *[f"_call{i}" for i in range(len(self.trees))])
+            .drop(POINT, "_powers", "_calls")
         )
 
     def save_to(self, path: str) -> None:
@@ -280,8 +315,11 @@ class BoostedTrees(Estimator, TableParams):
 
     def _boost(self, weights: DataFrame, k: int) -> tuple[list, list[float]]:
         rate = self.getOrDefault(self.learning_rate)
-        trees, votes = [], []
+        trees, votes, held = [], [], []
         for round_ in range(self.getOrDefault(self.n_estimators)):
+            # a round reads its weights several times; once it has them, those of the round before can go
+            weights = weights.persist()
+            held.append(weights)
             tree = DecisionTreeClassifier(
                 featuresCol=POINT, labelCol=CLASS, weightCol=WEIGHT, predictionCol="_call",
                 probabilityCol="_probability", rawPredictionCol="_raw", maxBins=MAX_BINS,
@@ -290,6 +328,9 @@ class BoostedTrees(Estimator, TableParams):
             missed = tree.copy().setProbabilityCol("").setRawPredictionCol("").transform(weights)
             wrong = F.col("_call") != F.col(CLASS)
             sums = missed.agg(F.sum(F.when(wrong, F.col(WEIGHT)).otherwise(0.0)).alias("lost"), F.sum(WEIGHT).alias("all")).first()
+            for old in held[:-1]:
+                old.unpersist()
+            held = held[-1:]
             error = sums["lost"] / sums["all"]
             if error <= 0:
                 trees.append(tree)
@@ -309,6 +350,8 @@ class BoostedTrees(Estimator, TableParams):
             )
             if (round_ + 1) % self.getOrDefault(self.checkpoint_every) == 0:
                 weights = checkpointed(weights)
+        for old in held:
+            old.unpersist()
         return trees, votes
 
 
