@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeworks.functions.hash_order import Cuts, segment
 from gradeworks.operators.sampling import fold_cuts
-from gradeworks.session import stage
+from gradeworks.session import broadcast_if_small, stage
 
 N_FOLDS = 5
 
@@ -25,7 +26,12 @@ def shrunken_mean(n: Column, s: Column, ss: Column, mean: Column, variance: Colu
 
 @dataclass(frozen=True)
 class TargetEncoder:
-    """Statistics per (column, category, fold); a table because categories grow with the data."""
+    """Statistics per (column, category, fold); a table because categories grow with the data.
+
+    ``finished`` holds the encodings made of them: one row per category for tables the encoder
+    never saw, with a null fold, and one per category and fold for the training rows. Applying
+    the encoder only joins it.
+    """
 
     columns: tuple[str, ...]
     label: str
@@ -33,6 +39,15 @@ class TargetEncoder:
     folds: tuple[tuple[int, int, float, float], ...]  # fold, n, s, ss over all rows
     cuts: Cuts
     seed: int = 42
+    finished: DataFrame | None = None  # level, category, fold, encoding
+
+    def finish(self) -> TargetEncoder:
+        """The encoder with its encodings stored."""
+        parts = []
+        for c in self.columns:
+            parts.append(self._all_folds(c).select(F.lit(c).alias("level"), "category", F.lit(None).cast("int").alias("fold"), "encoding"))
+            parts.append(self._other_folds(c).select(F.lit(c).alias("level"), "category", F.col("fold").cast("int").alias("fold"), "encoding"))
+        return replace(self, finished=stage(reduce(DataFrame.unionByName, parts), "target-encodings"))
 
     @property
     def total(self) -> tuple[int, float, float]:
@@ -45,6 +60,13 @@ class TargetEncoder:
 
     def encodings(self, column: str) -> DataFrame:
         """``(category, encoding)`` from all training rows, for tables the encoder never saw."""
+        return self.finished.where((F.col("level") == column) & F.col("fold").isNull()).select("category", "encoding")
+
+    def fold_encodings(self, column: str) -> DataFrame:
+        """``(category, fold, encoding)`` from the rows of the other folds."""
+        return self.finished.where((F.col("level") == column) & F.col("fold").isNotNull()).select("category", "fold", "encoding")
+
+    def _all_folds(self, column: str) -> DataFrame:
         mean, variance = self._moments(*self.total)
         totals = (
             self.statistics.where(F.col("level") == column)
@@ -54,8 +76,7 @@ class TargetEncoder:
         encoding = shrunken_mean(F.col("n"), F.col("s"), F.col("ss"), F.lit(mean), F.lit(variance))
         return totals.select("category", encoding.alias("encoding"))
 
-    def fold_encodings(self, column: str) -> DataFrame:
-        """``(category, fold, encoding)`` from the rows of the other folds."""
+    def _other_folds(self, column: str) -> DataFrame:
         whole = Window.partitionBy("category")
         others = self.statistics.where(F.col("level") == column).select(
             "category",
@@ -93,8 +114,8 @@ class TargetEncoder:
 
 
 def _replace(df: DataFrame, table: DataFrame, on: list[str], column: str, unseen: Column) -> DataFrame:
-    # left join: adaptive execution broadcasts a small table and splits a hot category
-    joined = df.join(table, on, "left")
+    # a hot category stays where its rows are as long as the table's counted rows may be broadcast
+    joined = df.join(broadcast_if_small(table, table.count(), 32), on, "left")
     value = F.coalesce(F.col("encoding"), unseen)
     return joined.select(*[value.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
 
@@ -130,4 +151,4 @@ def fit_target_encoder(
     )
     by_fold = {r["fold"]: (r["n"], r["s"], r["ss"]) for r in rows}
     folds = tuple((f, *by_fold.get(f, (0, 0.0, 0.0))) for f in range(N_FOLDS))
-    return TargetEncoder(tuple(columns), label, statistics, folds, cuts, seed)
+    return TargetEncoder(tuple(columns), label, statistics, folds, cuts, seed).finish()

@@ -65,6 +65,7 @@ class Preparation:
             e = self.encoder
             head["encoder"] = {"columns": e.columns, "label": e.label, "folds": e.folds, "cuts": e.cuts[0], "seed": e.seed}
             e.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
+            e.finished.write.mode("overwrite").parquet(f"{path}/encodings")
         spark.createDataFrame([(json.dumps(head),)], "head string").write.mode("overwrite").parquet(f"{path}/head")
 
     @classmethod
@@ -78,6 +79,7 @@ class Preparation:
             TargetEncoder(
                 tuple(encoder["columns"]), encoder["label"], spark.read.parquet(f"{path}/statistics"),
                 tuple(tuple(f) for f in encoder["folds"]), {0: encoder["cuts"]}, encoder["seed"],
+                spark.read.parquet(f"{path}/encodings"),
             ) if encoder else None,
             {c: tuple(m) for c, m in head["moments"].items()},
             tuple(head["columns"]),
