@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gradeworks.session import stage
+
 MAX_STRATA = 1000
 DIGITS = 3  # hex digits resolved per counting pass: 4096 ranges per stratum
 BEFORE_ALL = ""
@@ -42,9 +44,11 @@ def find_cuts(
     most ``rank_rows`` rows. Every row must have a key, and at most ``MAX_STRATA`` strata
     are cut, since their counts go to the driver.
     """
-    if by is not None and df.select(by).distinct().limit(MAX_STRATA + 1).count() > MAX_STRATA:
-        raise ValueError(f"column {by!r} has more than {MAX_STRATA} values; it cannot be cut by stratum")
+    # several narrow passes read strata and hashes only, so these two columns are stored
     rows = df.select((F.col(by) if by else F.lit(0)).alias("stratum"), row_hash(key, seed).alias("hash"))
+    rows = stage(rows, "hash-order")
+    if by is not None and rows.select("stratum").distinct().limit(MAX_STRATA + 1).count() > MAX_STRATA:
+        raise ValueError(f"column {by!r} has more than {MAX_STRATA} values; it cannot be cut by stratum")
     first = _count_ranges(rows, 1)
     sizes: dict[Stratum, int] = {}
     if any(hash_range is None for _, hash_range in first):

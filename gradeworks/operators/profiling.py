@@ -14,6 +14,7 @@ from gradeworks.functions.blocks import matrix
 from gradeworks.functions.order_stats import exact_quantiles
 from gradeworks.operators.cleaning import null_counts
 from gradeworks.operators.target_encoding import fit_target_encoder
+from gradeworks.session import stage
 from gradeworks.spec import TableSpec
 
 
@@ -55,7 +56,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     keeps the sums well conditioned.
     """
     columns, width = list(columns), len(columns)
-    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # read twice, for the means and for the products, so the needed columns are stored
+    data = stage(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]), "correlated")
     means = data.agg(*[F.coalesce(F.avg(f"c{i}"), F.lit(0.0)) for i in range(width)]).first()
     centered = data.select(F.array(*[F.col(f"c{i}") - F.lit(m) for i, m in enumerate(means)]).alias("v"))
     low, high = np.triu_indices(width, 1)
@@ -128,9 +130,10 @@ def strongest(table: DataFrame, label: str, n: int = 10) -> DataFrame:
 def box_statistics(df: DataFrame, columns: Sequence[str], label: str, direct_rows: int = 500_000) -> DataFrame:
     """``(class, feature, q1, median, q3, low, high)`` with whiskers inside 1.5 box heights.
 
-    Quartiles come first; the whiskers are then conditional extremes of one more scan.
+    Quartiles come first; the whiskers are then conditional extremes of one more scan. The
+    needed columns are stored, since they are read several times.
     """
-    labelled = df.where(F.col(label).isNotNull())
+    labelled = stage(df.where(F.col(label).isNotNull()).select(label, *[F.col(f"`{c}`") for c in columns if c != label]), "boxed")
     quartiles = exact_quantiles(labelled, columns, [0.25, 0.5, 0.75], by=label, direct_rows=direct_rows)
     classes = sorted({g for g, _ in quartiles})
 

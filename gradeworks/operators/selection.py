@@ -20,7 +20,7 @@ from gradeworks.operators.models import CLASS, MAX_BINS, POINT, Tree, assembled,
 from gradeworks.operators.neighbors import nearest_to_anchors
 from gradeworks.operators.sampling import sample_rows, with_stratified_folds
 from gradeworks.operators.scaling import fit_min_range, min_max
-from gradeworks.session import broadcast_if_small, spread
+from gradeworks.session import broadcast_if_small, spread, stage
 
 FALLBACK = 10
 
@@ -87,6 +87,8 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str, bins:
     quantiles, equal values always sharing a bin. All features are counted in one
     scan, and only (feature, bin, class) counts are shuffled.
     """
+    # cuts, class sizes and counts each read the needed columns, so they are stored
+    df = stage(df.select(label, *[F.col(f"`{c}`") for c in features]), "scored")
     types = {f.name: f.dataType for f in df.schema.fields}
     fractional = [c for c in features if isinstance(types[c], (T.DoubleType, T.FloatType))]
     cuts = exact_quantiles(df, fractional, [i / bins for i in range(1, bins)])
@@ -137,7 +139,8 @@ def relief_scores(
     """
     rows = df.where(F.col(label).isNotNull())
     ranges = fit_min_range(rows, features)
-    point = F.array(*[min_max(c, *ranges[c]) for c in features])
+    # a feature without values has no range and no distance
+    point = F.array(*[min_max(c, *ranges.get(c, (0.0, 1.0))) for c in features])
     sizes = class_sizes(rows, label)
     total = sum(sizes.values())
     anchors = [
