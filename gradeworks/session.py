@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -49,10 +53,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     table's real size when it picks a join strategy.
     """
     path = staged_path(df.sparkSession, name)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside the block, by this thread, when the block ends.
+
+    For work whose results are values, such as one trial of a search. Frames that read the
+    tables must not be used afterwards.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Persisted rows in at least one partition per core, for work that is bound by computing.
 

@@ -16,6 +16,7 @@ from gradeworks.operators.imputation import fill, fit_fill_values
 from gradeworks.operators.models import Forest, Neighbors
 from gradeworks.operators.sampling import split_three
 from gradeworks.operators.scaling import fit_min_range, rescale
+from gradeworks.operators.search import SelectionSearch, Trial
 from gradeworks.operators.selection import MutualInfo
 from gradeworks.sources.cases import CASES
 from gradeworks.sources.readers import read_delimited, read_json
@@ -107,3 +108,22 @@ def test_a_score_function_of_the_caller(spark):
         return df.sparkSession.createDataFrame([(f, float(ord(f))) for f in features], "feature string, score double")
 
     assert MutualInfo(k=2, scores=by_name).fit(rows).selected == ["b", "c"]
+
+
+def test_a_search_removes_what_its_trials_stored(spark):
+    from pathlib import Path
+
+    staged = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "staged"
+    before = set(staged.iterdir()) if staged.exists() else set()
+    rows = spark.createDataFrame([(i, float(i % 7), float(i % 3), int(i % 7 > 3)) for i in range(60)], "key int, a double, b double, label int")
+    trials = [
+        Trial("mutual_info", "knn", {"k": 1}, {"n_neighbors": 3}),
+        Trial("mutual_info", "rf", {"k": 2}, {"n_estimators": 2, "max_depth": 40}),
+    ]
+    search = SelectionSearch(cv=2, trials=trials, parallelism=2).fit(rows, "key", "label")
+    assert search.best_score() == 1.0 and search.predict(rows).count() == 60
+    left = sorted(p.name.split("-")[0] for p in set(staged.iterdir()) - before)
+    # the tables of the refitted winner and the order of the folds; none of the two trials and two folds
+    assert left.count("knn") == 1 and left.count("scored") == 1
+    failed = {r["config"]: r["mean_cv_score"] for r in search.results().collect()}
+    assert failed == {0: 1.0, 1: None}
