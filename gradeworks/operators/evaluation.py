@@ -157,14 +157,14 @@ def one_vs_rest(df: DataFrame, true: str, scores: str, classes: Sequence[int], k
 
 
 def roc_curve(
-    df: DataFrame, true: str, scores: str, classes: Sequence[int], direct_rows: int = 2_000_000
+    df: DataFrame, true: str, scores: str, classes: Sequence[int], n_ranges: int | None = None, direct_rows: int = 2_000_000
 ) -> DataFrame:
     """``(class, score, tp, fp, cum_tp, cum_fp, tpr, fpr)``; equal scores make one step.
 
     Rows whose label or score is null or NaN have no place on a curve and are left out,
     score by score. Equal scores are added up and stored once, and all else is taken from
-    these steps. Beyond ``direct_rows`` steps the running totals are cut into score ranges
-    of about a quarter of that, so that no class is one task.
+    these steps. Beyond ``direct_rows`` steps the running totals are cut into score ranges,
+    by default of about a quarter of that, so that no class is one task.
     """
     rows = one_vs_rest(df, true, scores, classes).where("is_positive is not null and score is not null and not isnan(score)")
     steps = rows.groupBy("class", "score").agg(
@@ -175,7 +175,7 @@ def roc_curve(
     n_steps = sum(r["steps"] for r in sums.values())
     ranges = None
     if n_steps > direct_rows:
-        n_ranges = max(2, 4 * n_steps // direct_rows)
+        n_ranges = n_ranges or max(2, 4 * n_steps // direct_rows)
         ranges = Ranges(tuple(steps.agg(Ranges.expression("score", n_ranges)).first()[0]))
     summed = running_totals(steps, "score", ["tp", "fp"], "class", ranges)
     positives, negatives = F.lit(None).cast("bigint"), F.lit(None).cast("bigint")
