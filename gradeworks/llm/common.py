@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from gradeworks.session import broadcast_if_small
 
+BATCH_BYTES = "8MB"
 MAX_HEAVY_KEYS, MIN_HEAVY_ROWS = 1000, 10_000
 
 
@@ -20,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
-    """``mapInArrow`` under a name that says what comes in: batches of bounded size, in order."""
+    """``mapInArrow`` over batches of at most ``BATCH_BYTES``, in order, so that a task's memory is bounded."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf.set(name, BATCH_BYTES)
     return df.mapInArrow(work, schema)
 
 

@@ -28,7 +28,7 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 8192
-MAX_STORED = 400_000
+MAX_STORED = 250_000
 ROWS_AT_ONCE = 500
 # white space to every reader of the vocabulary, so no token crosses it
 WORD = re.compile(r"[^ \n\t\r]+")

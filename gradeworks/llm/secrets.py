@@ -181,7 +181,7 @@ def redact(docs: DataFrame) -> DataFrame:
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    out = docs.mapInArrow(clean, docs.schema)
+    out = map_batches(docs, clean, docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))

@@ -29,7 +29,7 @@ from gradeworks.session import stage
 
 WORD = re.compile(r"[^\W_]+")
 BEGINNINGS = (4, 5, 6)
-MAX_KNOWN_WORDS = 500_000
+MAX_KNOWN_WORDS = 250_000
 WORDS_SCHEMA = "token string, toxic bigint, clean bigint, seen bigint"
 SCORES_SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int, passages array<string>"
 
@@ -259,4 +259,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             keep = [model.probability(model.segments(t or "", scores)[1]) < model.options.threshold for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(work, docs.schema)
+    return map_batches(docs, work, docs.schema)
