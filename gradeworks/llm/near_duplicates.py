@@ -28,7 +28,7 @@ from gradeworks.session import broadcast_if_small, stage
 
 SETS_SCHEMA = "doc_id bigint, node bigint, n_shingles bigint, signature array<bigint>, bands array<bigint>"
 PAIRS_SCHEMA = "a bigint, b bigint"
-MAX_KNOWN_WORDS = 400_000
+MAX_KNOWN_WORDS = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 EVEN_BITS = 0x5555555555555555
 PER_LONG = 32
@@ -50,7 +50,7 @@ class NearDuplicateOptions:
     rows: int = 5
     deviations: float = 5.0
     block_rows: int = 4096
-    block_bytes: int = 32 * 1024 * 1024
+    block_bytes: int = 8 * 1024 * 1024
     seed: int = 1
 
     @property
@@ -228,8 +228,7 @@ def near_duplicates(docs: DataFrame, options: NearDuplicateOptions = NearDuplica
     stars = stage(buckets.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
     candidates = stage(estimated(stars, classes, options), "candidates")
     links = stage(confirmed(candidates, node_texts(docs, classes, candidates.select("a").union(candidates.select("b"))), options), "links")
-    more = settle_buckets(docs, classes, buckets, connected_components(links), options)
-    roots = connected_components(links.unionByName(more))
+    roots = connected_components(settle_buckets(docs, classes, buckets, links, options))
 
     named = classes.join(roots, "node", "left").select("node", "rep", "n", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -260,31 +259,64 @@ def node_texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFra
     return stage(texts_of(docs, wanted), "wanted-texts")
 
 
-def settle_buckets(
-    docs: DataFrame, classes: DataFrame, buckets: DataFrame, roots: DataFrame, options: NearDuplicateOptions
-) -> DataFrame:
-    """Links between members of one bucket that comparing with its smallest member has not joined."""
+def settle_buckets(docs: DataFrame, classes: DataFrame, buckets: DataFrame, links: DataFrame, options: NearDuplicateOptions) -> DataFrame:
+    """``links`` and those that comparing members with the smallest of their bucket has not shown.
+
+    First each member outside its bucket's largest component is compared in one bucket only, its
+    largest. That merges most of them, so that little is left to compare in all other buckets.
+    """
+    done = None
+    for rest in (False, True):
+        members, shapes = open_buckets(classes, buckets, connected_components(links), options, done)
+        if not rest:
+            shaped = split_heavy_join(members, shapes.withColumn("size", F.col("n")), ["key"], "inner", 64).where("root <> largest")
+            first = shaped.groupBy("node").agg(F.max_by("key", F.struct("size", "key")).alias("key")).select("key").distinct()
+            shapes = stage(shapes.join(first, "key", "left_semi"), "first-shapes")
+            done = shapes.select("n", "s")
+        links = links.unionByName(compare_members(docs, classes, members, shapes, options))
+    return links
+
+
+def open_buckets(
+    classes: DataFrame, buckets: DataFrame, roots: DataFrame, options: NearDuplicateOptions, done: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets whose other members lie in several components, and the buckets' shapes.
+
+    ``s`` is a hash of the whole bucket: the same members often meet in several buckets, and one
+    of these stands for all; those in ``done`` (n, s) are left out. A shape has the largest
+    component and the numbers of blocks and of chunks of members outside that component.
+    """
     placed = buckets.join(roots, "node", "left").select("key", "node", "pivot", F.coalesce("root", "node").alias("root"))
     others = placed.where("node <> pivot").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     opened = others.where("low <> high").select("key")
-    # the same members often meet in several buckets; one of these buckets stands for all
-    same = buckets.join(opened, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"))
-    chosen = stage(same.groupBy("n", "s").agg(F.min("key").alias("key")).select("key", "n"), "open-buckets")
-    marked = split_heavy_join(placed, chosen, ["key"], "inner", 16).select("key", "node", "root")
-    sized = stage(marked.join(classes.select("node", "n_shingles", "signature"), "node"), "open-members")
-
-    parts = sized.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    hashed = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+    same = buckets.join(opened, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"), hashed.alias("s"))
+    if done is not None:
+        same = same.join(done, ["n", "s"], "left_anti")
+    chosen = stage(same.groupBy("n", "s").agg(F.min("key").alias("key")), "open-buckets")
+    marked = split_heavy_join(placed, chosen.select("key", "n"), ["key"], "inner", 16).select("key", "node", "root")
+    members = stage(marked.join(classes.select("node", "n_shingles", "signature"), "node"), "open-members")
+
+    parts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    order = F.struct("n", "root")
     total = parts.groupBy("key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), F.sum("s").alias("s"),
-        (F.sum("n") - F.max("n")).alias("guests"), (F.sum("s") - F.max_by("s", F.struct("n", "root"))).alias("guest_s"),
+        F.max_by("root", order).alias("largest"), F.sum("n").alias("m"), F.sum("w").alias("w"),
+        (F.sum("n") - F.max("n")).alias("guests"), (F.sum("w") - F.max_by("w", order)).alias("guest_w"),
     )
 
     def number(rows: str, shingles: str) -> Column:
         by_rows, by_bytes = F.col(rows) / options.block_rows, F.col(shingles) * 8 / options.block_bytes
         return F.greatest(F.ceil(by_rows), F.ceil(by_bytes), F.lit(1)).cast("int")
 
-    shape = total.select("key", "largest", "n", number("n", "s").alias("blocks"), number("guests", "guest_s").alias("chunks"))
-    shaped = split_heavy_join(sized, stage(shape, "open-shapes"), ["key"], "inner", 40)
+    shapes = total.join(chosen, "key").select("key", "largest", "n", "s", number("m", "w").alias("blocks"), number("guests", "guest_w").alias("chunks"))
+    return members, stage(shapes, "open-shapes")
+
+
+def compare_members(
+    docs: DataFrame, classes: DataFrame, members: DataFrame, shapes: DataFrame, options: NearDuplicateOptions
+) -> DataFrame:
+    """Links between members of one bucket and those of them that are outside its largest component."""
+    shaped = split_heavy_join(members, shapes.drop("s"), ["key"], "inner", 48)
 
     def spread(count: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(count), "node"), F.col(count)).cast("int")
