@@ -31,7 +31,7 @@ UNITS = frozenset(
     "kilometres mile miles inch inches foot feet gram grams kilogram kilograms liter liters litre litres second seconds "
     "minute minutes hour hours day days week weeks month months year years degree degrees".split()
 )
-MAX_KNOWN_WORDS = 400_000
+MAX_KNOWN_WORDS = 200_000
 BITMAP_BITS = 22
 BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD, NUMBER, NAME, UNIT, MARK = range(5)
@@ -67,11 +67,12 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
+        # only of words that the reader has not taken over yet
         self.kinds: list[tuple[int, int, int]] = []
         self.hashes: list[tuple[int, int, int]] = []
 
     def __missing__(self, token: str) -> int:
-        number = self[token] = len(self.kinds)
+        number = self[token] = len(self)
         low = token.lower()
         if token in SENTENCE_MARKS:
             kind = MARK
@@ -90,30 +91,38 @@ class Words(dict):
 
 @dataclass(frozen=True)
 class Template:
-    tokens: list[str]
+    """Tokens of a text without sentence marks: ``kept`` are their places in ``read``."""
+
+    read: list[str]
+    kept: np.ndarray
     kinds: np.ndarray
     hashes: np.ndarray
 
+    def token(self, place: int) -> str:
+        return self.read[self.kept[place]]
+
+    @property
+    def tokens(self) -> list[str]:
+        return [self.read[i] for i in self.kept]
+
 
 class Reader:
     """Turns texts into templates; what is known of a token is kept in arrays that grow with it."""
 
     def __init__(self):
         self.words = Words()
-        self.kinds = np.empty((0, 3), np.int8)
-        self.hashes = np.empty((0, 3), np.uint64)
+        self.filled = 0
+        self.kinds = np.zeros((1024, 3), np.int8)
+        self.hashes = np.zeros((1024, 3), np.uint64)
 
     def read(self, text: str) -> Template:
         words = self.words
         if len(words) > MAX_KNOWN_WORDS:
             words.reset()
-            self.kinds, self.hashes = self.kinds[:0], self.hashes[:0]
+            self.filled = 0
         tokens = TOKEN.findall(text)
         numbers = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
-        known = len(self.kinds)
-        if len(words.kinds) > known:
-            self.kinds = np.concatenate([self.kinds, np.array(words.kinds[known:], np.int8)])
-            self.hashes = np.concatenate([self.hashes, np.array(words.hashes[known:], np.uint64)])
+        self.fill()
         marks = self.kinds[numbers, 1] == MARK
         # column 1 holds what a token is at the start of a sentence, where names look like words
         starts = np.ones(len(tokens), np.int64)
@@ -124,7 +133,20 @@ class Reader:
         starts[(self.kinds[numbers, 1] == UNIT) & ~after_number & (self.kinds[numbers, 2] == WORD)] = 2
         keep = np.nonzero(~marks)[0]
         chosen, column = numbers[keep], starts[keep]
-        return Template([tokens[i] for i in keep] if len(keep) < len(tokens) else tokens, self.kinds[chosen, column], self.hashes[chosen, column])
+        return Template(tokens, keep, self.kinds[chosen, column], self.hashes[chosen, column])
+
+    def fill(self) -> None:
+        """Take over what is new in ``words``; the arrays double, so a word is copied a few times at most."""
+        known, n = self.filled, len(self.words)
+        if n > len(self.kinds):
+            self.kinds = np.resize(self.kinds, (2 * n, 3))
+            self.hashes = np.resize(self.hashes, (2 * n, 3))
+        if n > known:
+            self.kinds[known:n] = self.words.kinds
+            self.hashes[known:n] = np.array(self.words.hashes, np.uint64)
+            self.words.kinds.clear()
+            self.words.hashes.clear()
+            self.filled = n
 
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -167,7 +189,7 @@ def window_rows(texts: DataFrame, sizes: list[int], bitmap: np.ndarray | None, s
                     for place in places:
                         at = [j for j in range(size) if t.kinds[place + j] != WORD]
                         # the kind goes with the value, since only names must differ from each other
-                        slots = [f"{'N' if t.kinds[place + j] == NAME else 'V'}{t.tokens[place + j]}" for j in at]
+                        slots = [f"{'N' if t.kinds[place + j] == NAME else 'V'}{t.token(place + j)}" for j in at]
                         out.append((key, text_hash, place, size, int(windows[place]), size - len(at), slots, at))
             yield as_batch(out, schema)
 
