@@ -6,6 +6,11 @@ benchmark, so a question with other numbers or names still meets its item. Windo
 diagonal (place in the text less place in the item) form an alignment, and the values that fill
 its slots must be consistent: one value of the item always stands for one value of the text,
 and two names never for the same one.
+
+Words that may be names or not, capitalised ones at the start of a sentence and those that are
+names inside a sentence of an item, are hashed in both readings, in every combination that
+leaves enough plain words. A window is also hashed with all its values as plain words, so that
+a copy is found whatever its case.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeworks.llm.common import arrow_schema, as_batch, map_batches
@@ -33,17 +38,19 @@ UNITS = frozenset(
 )
 MAX_KNOWN_WORDS = 200_000
 BITMAP_BITS = 22
+CHUNK_TOKENS, CHUNK_PLACES = 20_000, 1 << 16
 BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD, NUMBER, NAME, UNIT, MARK = range(5)
-WINDOWS_SCHEMA = "id bigint, text_hash bigint, place bigint, size int, window bigint, literals int, slots array<string>, at array<int>"
+WINDOWS_SCHEMA = "id bigint, text_hash bigint, place bigint, size int, window bigint, open boolean, slots array<string>"
 
 
 @dataclass(frozen=True)
 class TemplateOptions:
-    """``width`` template tokens make a window, at least ``min_literals`` of them no placeholders.
+    """``width`` template tokens make a window; an item shorter than that is one window.
 
-    An item shorter than that is one window. ``min_share`` is the part of an item's windows
-    that a text must hold.
+    Windows with at least ``min_literals`` plain words are open: other values may stand in their
+    slots. ``min_share`` is the part of an item's
+    windows, or of its open ones, that a text must hold.
     """
 
     width: int = 8
@@ -59,16 +66,20 @@ PLACEHOLDERS = {NUMBER: _hash("<number>"), NAME: _hash("<name>"), UNIT: _hash("<
 
 
 class Words(dict):
-    """Number of a token as written, with its kind and hash inside a sentence, at its start, and as a plain word."""
+    """Number of a token as written, with its kind and hash inside a sentence, at its start, and as a plain word.
+
+    The last kind is 1 for words whose lower form is one of ``names``.
+    """
 
-    def __init__(self):
+    def __init__(self, names: frozenset[int] = frozenset()):
         super().__init__()
+        self.names = names
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         # only of words that the reader has not taken over yet
-        self.kinds: list[tuple[int, int, int]] = []
+        self.kinds: list[tuple[int, int, int, int]] = []
         self.hashes: list[tuple[int, int, int]] = []
 
     def __missing__(self, token: str) -> int:
@@ -84,19 +95,26 @@ class Words(dict):
             kind = WORD
         plain = PLACEHOLDERS.get(kind, 0) or _hash(low)
         named = kind == WORD and len(token) > 1 and token[0].isupper() and not token.isupper()
-        self.kinds.append((NAME if named else kind, kind, UNIT if token in SYMBOLS else WORD))
-        self.hashes.append((PLACEHOLDERS[NAME] if named else plain, plain, _hash(low)))
+        exact = _hash(low)
+        self.kinds.append((NAME if named else kind, kind, UNIT if token in SYMBOLS else WORD, int(exact in self.names)))
+        self.hashes.append((PLACEHOLDERS[NAME] if named else plain, plain, exact))
         return number
 
 
 @dataclass(frozen=True)
 class Template:
-    """Tokens of a text without sentence marks: ``kept`` are their places in ``read``."""
+    """Tokens of a text without sentence marks: ``kept`` are their places in ``read``.
+
+    ``hashes`` read words that may be names, which ``maybe`` marks, as plain words; ``exact``
+    reads every token so.
+    """
 
     read: list[str]
     kept: np.ndarray
     kinds: np.ndarray
     hashes: np.ndarray
+    exact: np.ndarray
+    maybe: np.ndarray
 
     def token(self, place: int) -> str:
         return self.read[self.kept[place]]
@@ -109,10 +127,10 @@ class Template:
 class Reader:
     """Turns texts into templates; what is known of a token is kept in arrays that grow with it."""
 
-    def __init__(self):
-        self.words = Words()
+    def __init__(self, names: frozenset[int] = frozenset()):
+        self.words = Words(names)
         self.filled = 0
-        self.kinds = np.zeros((1024, 3), np.int8)
+        self.kinds = np.zeros((1024, 4), np.int8)
         self.hashes = np.zeros((1024, 3), np.uint64)
 
     def read(self, text: str) -> Template:
@@ -133,13 +151,16 @@ class Reader:
         starts[(self.kinds[numbers, 1] == UNIT) & ~after_number & (self.kinds[numbers, 2] == WORD)] = 2
         keep = np.nonzero(~marks)[0]
         chosen, column = numbers[keep], starts[keep]
-        return Template(tokens, keep, self.kinds[chosen, column], self.hashes[chosen, column])
+        kinds = self.kinds[chosen, column]
+        at_start = (column == 1) & (self.kinds[chosen, 0] == NAME)
+        maybe = (kinds == WORD) & (at_start | (self.kinds[chosen, 3] == 1))
+        return Template(tokens, keep, kinds, self.hashes[chosen, column], self.hashes[chosen, 2], maybe)
 
     def fill(self) -> None:
         """Take over what is new in ``words``; the arrays double, so a word is copied a few times at most."""
         known, n = self.filled, len(self.words)
         if n > len(self.kinds):
-            self.kinds = np.resize(self.kinds, (2 * n, 3))
+            self.kinds = np.resize(self.kinds, (2 * n, 4))
             self.hashes = np.resize(self.hashes, (2 * n, 3))
         if n > known:
             self.kinds[known:n] = self.words.kinds
@@ -149,65 +170,172 @@ class Reader:
             self.filled = n
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` tokens, as signed numbers."""
+def window_sums(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Sum of token hashes times powers of ``BASE`` for each run of ``width`` tokens."""
     n = len(hashes) - width + 1
     if n <= 0:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for j in range(width):
         out = out * BASE + hashes[j : j + n]
-    out ^= out >> np.uint64(31)
+    return out
+
+
+def mixed(sums: np.ndarray) -> np.ndarray:
+    out = sums ^ (sums >> np.uint64(31))
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(29)
     return out.view(np.int64)
 
 
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` tokens, as signed numbers."""
+    return mixed(window_sums(hashes, width))
+
+
 def bit_of(windows: np.ndarray) -> np.ndarray:
     return windows.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
 
 
-def window_rows(texts: DataFrame, sizes: list[int], bitmap: np.ndarray | None, shorter: bool) -> DataFrame:
-    """Windows of ``texts`` (id, text, text_hash), of all ``sizes``, that the bitmap lets through.
+class Chunk:
+    """Templates of some texts on end, whose windows are hashed together."""
+
+    def __init__(self, rows: list[tuple[int | None, int, Template]]):
+        self.rows = rows
+        templates = [t for *_, t in rows]
+        lengths = np.array([len(t.kinds) for t in templates])
+        ends = np.cumsum(lengths)
+        self.starts = ends - lengths
+        self.owner = np.repeat(np.arange(len(rows)), lengths)
+        self.end = np.repeat(ends, lengths)
+        self.kinds = np.concatenate([t.kinds for t in templates])
+        self.hashes = np.concatenate([t.hashes for t in templates])
+        self.exact = np.concatenate([t.exact for t in templates])
+        self.maybe = np.concatenate([t.maybe for t in templates])
+        # what a window's sum gains where a word is read as a name
+        self.gain = np.where(self.maybe, np.uint64(PLACEHOLDERS[NAME]) - self.hashes, np.uint64(0))
+        self.filled = np.concatenate([[0], np.cumsum(self.kinds != WORD)])
+
+    def readings(self, size: int, min_literals: int) -> Iterator[tuple[np.ndarray, np.ndarray, tuple[int, ...] | None]]:
+        """(places, windows, offsets of words read as names); None for offsets: all values are read as plain words."""
+        every = np.nonzero(np.arange(len(self.kinds)) + size <= self.end)[0]
+        sums, exact = window_sums(self.hashes, size), window_sums(self.exact, size)
+        powers = np.array([pow(int(BASE), size - 1 - j, 1 << 64) for j in range(size)], np.uint64)
+
+        def named(places, sums, room, offsets):
+            for j in range(offsets[-1] + 1 if offsets else 0, size):
+                hit = np.nonzero(self.maybe[places + j] & (room > 0))[0]
+                if len(hit):
+                    at = places[hit]
+                    more = sums[hit] + self.gain[at + j] * powers[j]
+                    yield at, mixed(more), (*offsets, j)
+                    yield from named(at, more, room[hit] - 1, (*offsets, j))
+
+        for first in range(0, len(every), CHUNK_PLACES):
+            places = every[first : first + CHUNK_PLACES]
+            slots = self.filled[places + size] - self.filled[places]
+            room = size - min_literals - slots
+            closed = (slots > 0) & (room >= 0)
+            yield places[closed], mixed(exact[places[closed]]), None
+            places, room = places[room >= 0], room[room >= 0]
+            yield places, mixed(sums[places]), ()
+            yield from named(places, sums[places], room, ())
+
+    def windows(self, size: int, min_literals: int, bitmap: np.ndarray | None) -> Iterator[tuple]:
+        """Rows of ``WINDOWS_SCHEMA`` that the bitmap lets through."""
+        for places, windows, names in self.readings(size, min_literals):
+            if bitmap is not None:
+                let = bitmap[bit_of(windows)]
+                places, windows = places[let], windows[let]
+            for at, window in zip(places.tolist(), windows.tolist(), strict=True):
+                owner = self.owner[at]
+                key, text_hash, t = self.rows[owner]
+                place, kinds = at - int(self.starts[owner]), self.kinds[at : at + size]
+                slots = []
+                if names is not None:
+                    # the kind goes with the value, since only names must differ from each other
+                    letters = ["" if k == WORD else "N" if k == NAME else "V" for k in kinds]
+                    for j in names:
+                        letters[j] = "A"
+                    slots = [f"{letter}{t.token(place + j).lower()}" for j, letter in enumerate(letters) if letter]
+                literals = int((kinds == WORD).sum())
+                yield key, text_hash, place, size, window, literals >= min_literals, slots
+
+
+def window_rows(texts: DataFrame, sizes: list[int], names: frozenset[int], min_literals: int, bitmap: np.ndarray | None, shorter: bool) -> DataFrame:
+    """Windows of ``texts`` (id, text, text_hash), of all ``sizes`` and in all readings, that the bitmap lets through.
 
     With ``shorter``, a text of fewer tokens than the only size is one window of its length.
-    Slots carry the values of the placeholders and their places in the window.
+    Slots carry the values of the placeholders, ``N`` before names, ``A`` before words that may
+    be names, ``V`` before others. ``open`` tells that a window has ``min_literals`` plain words.
     """
     schema = arrow_schema(WINDOWS_SCHEMA)
 
+    def cut(rows: list[tuple[int | None, int, Template]]) -> Iterator[pa.RecordBatch]:
+        groups: dict[int, list] = {}
+        for row in rows:
+            for size in [min(sizes[0], len(row[2].kinds))] if shorter else sizes:
+                groups.setdefault(size, []).append(row)
+        chunks = {size: Chunk(group) for size, group in groups.items()} if shorter else dict.fromkeys(groups, Chunk(rows) if rows else None)
+        for size, chunk in chunks.items():
+            out = list(chunk.windows(size, min_literals, bitmap))
+            if out:
+                yield as_batch(out, schema)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader()
+        reader = Reader(names)
+        rows, tokens = [], 0
         for batch in batches:
-            out = []
             for key, text, text_hash in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not text:
+                t = reader.read(text) if text else None
+                if t is None or not len(t.kinds):
                     continue
-                t = reader.read(text)
-                for size in [min(sizes[0], len(t.kinds))] if shorter else sizes:
-                    windows = window_hashes(t.hashes, size) if size else np.empty(0, np.int64)
-                    places = range(len(windows)) if bitmap is None else np.nonzero(bitmap[bit_of(windows)])[0].tolist()
-                    for place in places:
-                        at = [j for j in range(size) if t.kinds[place + j] != WORD]
-                        # the kind goes with the value, since only names must differ from each other
-                        slots = [f"{'N' if t.kinds[place + j] == NAME else 'V'}{t.token(place + j)}" for j in at]
-                        out.append((key, text_hash, place, size, int(windows[place]), size - len(at), slots, at))
-            yield as_batch(out, schema)
+                rows.append((key, text_hash, t))
+                tokens += len(t.kinds)
+                if tokens >= CHUNK_TOKENS:
+                    yield from cut(rows)
+                    rows, tokens = [], 0
+        yield from cut(rows)
 
     return map_batches(texts, work, WINDOWS_SCHEMA)
 
 
+def names_in(texts: DataFrame) -> frozenset[int]:
+    """Hashes of the lower forms of all names inside sentences of ``texts`` (id, text, text_hash)."""
+    ddl = "name bigint"
+    schema = arrow_schema(ddl)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader()
+        for batch in batches:
+            found = set()
+            for t in (reader.read(text) for text in batch.column(1).to_pylist() if text):
+                found.update(t.exact[t.kinds == NAME].view(np.int64).tolist())
+            yield as_batch(((n,) for n in found), schema)
+
+    rows = map_batches(texts, work, ddl).distinct().toPandas()["name"]
+    return frozenset(rows.to_numpy(np.int64).view(np.uint64).tolist())
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, item_windows, share) of texts that hold an item.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Whole texts are read. Windows
     that cannot be in the benchmark are dropped by a bitmap of fixed size; the others are
-    joined by hash. An item without ``min_literals`` words in any window is found by nothing;
-    null and empty texts hold nothing and rows with a null item_id are left out. Equal items
-    are found each; repeated documents give one row; null ids of documents are kept.
+    joined by hash. An item without ``min_literals`` words in any window is found by nothing. Counts and share are those of all
+    windows or of the open ones, whichever share is greater. Null and empty texts hold nothing
+    and rows with a null item_id are left out. Equal items are found each; repeated documents
+    give one row; null ids of documents are kept.
+
+    A word of the item that is surely a name or value and stands for two of the text, or two
+    names for one, tear an alignment; windows in which a word that may be a name does so are
+    not counted in that reading.
     """
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("id"), "text", F.lit(0).cast("bigint").alias("text_hash"))
-    known = stage(window_rows(items, [options.width], None, True).where(F.col("literals") >= options.min_literals), "benchmark-windows")
-    totals = known.groupBy(F.col("id").alias("item_id")).agg(F.countDistinct("place").alias("item_windows"))
+    names = names_in(items)
+    known = stage(window_rows(items, [options.width], names, options.min_literals, None, True), "benchmark-windows")
+    totals = known.select(F.col("id").alias("item_id"), "place", F.col("open").cast("int").alias("open")).distinct()
+    totals = totals.groupBy("item_id").agg(F.count(F.lit(1)).alias("all_windows"), F.sum("open").alias("open_windows"))
     sizes = sorted((r["size"] for r in known.select("size").distinct().collect()), reverse=True) or [options.width]
     bits = known.select(F.shiftrightunsigned("window", 64 - BITMAP_BITS).alias("bit")).distinct().toPandas()["bit"]
     bitmap = np.zeros(1 << BITMAP_BITS, bool)
@@ -215,32 +343,50 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     n_known = known.count()
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", F.xxhash64("text").alias("text_hash"))
-    held = window_rows(texts, sizes, bitmap, False).select(
+    held = window_rows(texts, sizes, names, options.min_literals, bitmap, False).select(
         F.col("id").alias("doc_id"), "text_hash", F.col("place").alias("doc_place"), "size", "window", F.col("slots").alias("doc_slots")
     )
     theirs = known.select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "size", "window", "at", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "size", "window", "open", F.col("slots").alias("item_slots")
     )
     met = held.join(broadcast_if_small(theirs, n_known, 256), ["window", "size"])
     met = met.where(F.size("doc_slots") == F.size("item_slots"))
-    met = stage(met.withColumn("diagonal", F.col("doc_place") - F.col("item_place")).drop("window", "size"), "matched-windows")
+    met = met.withColumn("diagonal", F.col("doc_place") - F.col("item_place"))
+    # slots meet in pairs: the item's value, the text's value, and whether both are sure
+    sure = "s.item_slots not like 'A%' and s.doc_slots not like 'A%'"
+    pair = f"named_struct('ours', regexp_replace(s.item_slots, '^A', 'N'), 'theirs', regexp_replace(s.doc_slots, '^A', 'N'), 'sure', {sure})"
+    met = met.withColumn("pairs", F.expr(f"transform(arrays_zip(item_slots, doc_slots), s -> {pair})"))
+    met = stage(met.drop("window", "size", "doc_place", "item_slots", "doc_slots"), "matched-windows")
 
     line = ["doc_id", "text_hash", "item_id", "diagonal"]
-    pairs = met.select(*line, F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s")).select(
-        *line, F.col("s.item_slots").alias("ours"), F.col("s.doc_slots").alias("theirs")
+    pairs = met.select(*line, F.explode("pairs").alias("s")).groupBy(*line, "s.ours", "s.theirs").agg(F.max("s.sure").alias("sure"))
+    forth, back = Window.partitionBy(*line, "ours"), Window.partitionBy(*line, "theirs")
+    is_name, n_sure = F.col("ours").startswith("N"), F.sum(F.col("sure").cast("int"))
+    pairs = pairs.select(
+        *line,
+        F.struct("ours", "theirs").alias("pair"),
+        "sure",
+        ((F.count(F.lit(1)).over(forth) > 1) | (is_name & (F.count(F.lit(1)).over(back) > 1))).alias("clash"),
+        ((n_sure.over(forth) > 1) | (is_name & (n_sure.over(back) > 1))).alias("sure_clash"),
+    )
+    torn = pairs.where("clash").groupBy(*line).agg(
+        F.max(F.expr("sure and sure_clash")).alias("torn"), F.collect_list(F.expr("if(sure, null, pair)")).alias("unsure")
     )
-    pairs = pairs.distinct()
-    forth = pairs.groupBy(*line, "ours").agg(F.count(F.lit(1)).alias("n"))
-    back = pairs.where("ours like 'N%'").groupBy(*line, "theirs").agg(F.count(F.lit(1)).alias("n"))
-    torn = forth.where("n > 1").select(*line).unionByName(back.where("n > 1").select(*line)).distinct()
     whole = met.alias("m").join(
         torn.alias("t"),
-        F.expr("m.doc_id <=> t.doc_id and m.text_hash = t.text_hash and m.item_id = t.item_id and m.diagonal = t.diagonal"),
+        F.expr(
+            "m.doc_id <=> t.doc_id and m.text_hash = t.text_hash and m.item_id = t.item_id and m.diagonal = t.diagonal"
+            " and (t.torn or exists(m.pairs, s -> array_contains(t.unsure, named_struct('ours', s.ours, 'theirs', s.theirs))))"
+        ),
         "left_anti",
     )
-    found = whole.groupBy("doc_id", "text_hash", "item_id").agg(F.countDistinct("item_place").alias("n_windows"))
+    places = whole.select("doc_id", "text_hash", "item_id", "item_place", F.col("open").cast("int").alias("open")).distinct()
+    found = places.groupBy("doc_id", "text_hash", "item_id").agg(F.count(F.lit(1)).alias("n_all"), F.sum("open").alias("n_open"))
+    found = found.join(totals, "item_id")
+    by_open = F.expr("open_windows > 0 and n_open * all_windows >= n_all * open_windows")
     return (
-        found.join(totals, "item_id")
+        found.withColumn("n_windows", F.when(by_open, F.col("n_open")).otherwise(F.col("n_all")))
+        .withColumn("item_windows", F.when(by_open, F.col("open_windows")).otherwise(F.col("all_windows")))
         .withColumn("share", F.col("n_windows") / F.col("item_windows"))
         .where(F.col("share") >= options.min_share)
         .select("doc_id", "text_hash", "item_id", "n_windows", "item_windows", "share")

@@ -90,3 +90,28 @@ def test_window_hashes_equal_for_equal_runs(width):
     t = dc.Reader().read("one two three four five six seven eight one two three four five six seven eight")
     h = dc.window_hashes(t.hashes, width).tolist()
     assert h[0] == h[8] and len(set(h)) == 8
+
+
+PEARS = "Tom has 3 apples. Anna has 5 pears. How many do they have?"
+RACE = "On Monday Alice Brown and Bob Small ran with Carol Green to Paul White"
+
+
+def test_names_at_sentence_starts_and_in_other_cases(spark):
+    docs = [
+        (1, "Words first. Mary has 4 apples. Peter has 9 pears. How many do they have? More."),
+        (2, "Then Mary has 4 apples. Peter has 9 pears. How many do they have?"),
+        (3, PEARS.upper()),
+        (4, PEARS.lower().replace("3", "8")),
+        (5, "Mary has 4 apples. Mary has 9 pears. How many do they have?"),
+        (6, RACE.upper()),
+        (7, RACE.lower()),
+        (8, "Eve saw four old ships"),
+        (9, "Mary sold 4 melons. Peter ate 9 plums. Why would they not have?"),
+    ]
+    items = [(1, PEARS), (2, RACE), (3, "Max saw four old ships")]
+    assert found(spark, docs, items) == [(1, 1), (2, 1), (3, 1), (4, 1), (6, 2), (7, 2), (8, 3)]
+
+
+def test_clash_of_words_that_may_be_names_leaves_other_readings(spark):
+    item = "Then he went down the long road to town. Now he sleeps and dreams of ships at sea"
+    assert found(spark, [(1, item.replace("Now", "Then"))], [(1, item)], min_share=0.2) == [(1, 1)]
