@@ -10,7 +10,7 @@ and two names never for the same one.
 Words that may be names or not, capitalised ones at the start of a sentence and those that are
 names inside a sentence of an item, are hashed in both readings, in every combination that
 leaves enough plain words. A window is also hashed with all its values as plain words, so that
-a copy is found whatever its case.
+a copy is found whatever its case and however few of its words are plain.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ from pyspark.sql import functions as F
 from gradeworks.llm.common import arrow_schema, as_batch, map_batches
 from gradeworks.session import broadcast_if_small, stage
 
-TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[%$€£°]|[.!?\n]")
-SENTENCE_MARKS, SYMBOLS = frozenset(".!?\n"), frozenset("%$€£°")
+# scripts written without spaces between words, whose characters are tokens of their own
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30fa\u30fc-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+LETTER = rf"[^\W\d_{UNSPACED}]"
+TOKEN = re.compile(rf"{LETTER}+(?:['’]{LETTER}+)*|\d+(?:[.,]\d+)*|[%$€£°]|[.!?。！？\n]|(?=[^\W\d_])[{UNSPACED}]")
+SENTENCE_MARKS, SYMBOLS = frozenset(".!?。！？\n"), frozenset("%$€£°")
 UNITS = frozenset(
     "% $ € £ ° mm cm m km in ft yd mi mg g kg lb oz ml cl l gal ms s sec min h hr hrs kb mb gb tb hz khz mhz ghz w kw kwh v "
     "percent cent cents dollar dollars euro euros pound pounds meter meters metre metres kilometer kilometers kilometre "
@@ -49,7 +52,7 @@ class TemplateOptions:
     """``width`` template tokens make a window; an item shorter than that is one window.
 
     Windows with at least ``min_literals`` plain words are open: other values may stand in their
-    slots. ``min_share`` is the part of an item's
+    slots. The others are met by the same values only. ``min_share`` is the part of an item's
     windows, or of its open ones, that a text must hold.
     """
 
@@ -208,6 +211,7 @@ class Chunk:
         self.starts = ends - lengths
         self.owner = np.repeat(np.arange(len(rows)), lengths)
         self.end = np.repeat(ends, lengths)
+        self.alone = np.repeat(lengths == 1, lengths)
         self.kinds = np.concatenate([t.kinds for t in templates])
         self.hashes = np.concatenate([t.hashes for t in templates])
         self.exact = np.concatenate([t.exact for t in templates])
@@ -235,7 +239,8 @@ class Chunk:
             places = every[first : first + CHUNK_PLACES]
             slots = self.filled[places + size] - self.filled[places]
             room = size - min_literals - slots
-            closed = (slots > 0) & (room >= 0)
+            # a single token is no passage of a longer text
+            closed = ((slots > 0) | (room < 0)) & ((size > 1) | self.alone[places])
             yield places[closed], mixed(exact[places[closed]]), None
             places, room = places[room >= 0], room[room >= 0]
             yield places, mixed(sums[places]), ()
@@ -322,7 +327,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Whole texts are read. Windows
     that cannot be in the benchmark are dropped by a bitmap of fixed size; the others are
-    joined by hash. An item without ``min_literals`` words in any window is found by nothing. Counts and share are those of all
+    joined by hash. Copies of every item are found, of an item of one token only as a whole
+    text; items without a letter or digit have no tokens. Counts and share are those of all
     windows or of the open ones, whichever share is greater. Null and empty texts hold nothing
     and rows with a null item_id are left out. Equal items are found each; repeated documents
     give one row; null ids of documents are kept.

@@ -115,3 +115,21 @@ def test_names_at_sentence_starts_and_in_other_cases(spark):
 def test_clash_of_words_that_may_be_names_leaves_other_readings(spark):
     item = "Then he went down the long road to town. Now he sleeps and dreams of ships at sea"
     assert found(spark, [(1, item.replace("Now", "Then"))], [(1, item)], min_share=0.2) == [(1, 1)]
+
+
+def test_copies_of_items_with_few_plain_words(spark):
+    dense = "12 kg 7 lb 9 oz 14 g 3 km 5 mi 80 % 6 h 2 min"
+    unspaced = "水在标准大气压下的沸点是多少度"
+    docs = [
+        (1, "We ask: what is 12 * 7? Answer it."),
+        (2, "We ask: what is 13 * 7? Answer it."),
+        (3, "table " + dense + " end"),
+        (4, "table " + dense.replace("1", "4").replace("7", "8").replace("3", "5") + " end"),
+        (5, "请问水在标准大气压下的沸点是多少度呢"),
+        (6, "so"),
+        (7, "it is so"),
+        (8, "请问今天的天气怎么样"),
+    ]
+    items = [(1, "What is 12 * 7?"), (2, dense), (3, unspaced), (4, "So."), (5, "Alice Brown Bob Small"), (6, "...")]
+    docs.append((9, "we met alice brown, bob small"))
+    assert found(spark, docs, items) == [(1, 1), (3, 2), (5, 3), (6, 4), (9, 5)]
