@@ -28,7 +28,6 @@ END = "\r\n\r\n"
 CONV_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PAGE_URN = "urn:page:"
 DATE = "2024-01-01T00:00:00Z"
-MAX_HEADER = 64 * 1024
 
 PIECES_SCHEMA = (
     "file string, block bigint, place bigint, size bigint, jump bigint, header bigint, kind string, "
@@ -124,7 +123,7 @@ FIELD = re.compile(rb"^([A-Za-z][A-Za-z0-9-]*):[ \t]*([^\r\n]*)\r?$", re.MULTILI
 
 def parse_piece(piece: bytes) -> tuple | None:
     """(header bytes, block length, fields) of what follows a version line; None if it is no record head."""
-    end = piece.find(b"\r\n\r\n", 0, MAX_HEADER)
+    end = piece.find(b"\r\n\r\n")
     if end < 0:
         return None
     fields = {k.lower(): v.strip() for k, v in FIELD.findall(piece[: end + 2])}
@@ -289,11 +288,17 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the archives under ``path``: id, type, payload digest and length.
 
     Digest and length of a record with a payload are those of the bytes read back; a revisit
-    has those that its headers state. Files without records give no rows.
+    has those that its headers state. Empty files give no rows; a file whose records do not
+    follow each other from its first byte to its last is an error.
     """
     pieces = stage(with_offsets(scan_pieces(spark, path)), "warc-pieces")
     heads = pieces.where("jump is not null and offset >= 0").withColumn("next", F.col("offset") + F.col("jump"))
     records = stage(heads.join(reachable(heads), ["file", "offset"], "left_semi"), "warc-records")
+    ends = pieces.groupBy("file").agg(F.max(F.col("offset") + F.col("size")).alias("bytes")).where("bytes > 0")
+    reached = records.groupBy("file").agg(F.max("next").alias("end"))
+    if broken := ends.join(reached, "file", "left").where("not (bytes <=> end)").head(3):
+        told = "; ".join(f"{r['file']}: {r['bytes']} bytes, records up to {r['end'] or 0}" for r in broken)
+        raise ValueError(f"WARC files whose records do not end with the file: {told}")
     torn = records.where("own_length is null")
     if not torn.isEmpty():
         whole = torn.drop("own_digest", "own_length").join(torn_payloads(spark, path, pieces, torn), ["file", "offset"], "left")

@@ -78,3 +78,18 @@ def test_frequent_payloads_meet_their_digest_without_one_task(spark, monkeypatch
     monkeypatch.setattr("gradeworks.llm.common.MIN_HEAVY_ROWS", 20)
     rows = [(i, "u", "hot" if i % 3 == 0 else f"page {i % 50}") for i in range(100)]
     assert got(warc.round_trip(pages(spark, rows))) == expected(rows)
+
+
+def test_long_headers_and_files_that_are_cut(spark, tmp_path):
+    rows = [(1, "http://h.example/" + "a" * 200_000, "one"), (2, "é " * 40_000, "two"), (3, "u", "three"), (4, "u", "one")]
+    frame = pages(spark, rows).coalesce(1)
+    assert got(warc.round_trip(frame)) == expected(rows)
+    warc.write_archives(warc.classify(frame), f"{tmp_path}/whole")
+    raw = next((tmp_path / "whole").glob("part-*")).read_bytes()
+    for name, content in (("cut", raw[:-6]), ("headless", raw[3:]), ("tail", raw + b"more")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.txt").write_bytes(content)
+        with pytest.raises(ValueError, match="do not end with the file"):
+            warc.read_records(spark, f"{tmp_path}/{name}")
+    (tmp_path / "whole" / "part-empty.txt").write_bytes(b"")
+    assert warc.read_records(spark, f"{tmp_path}/whole").count() == len(rows)
