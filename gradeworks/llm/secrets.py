@@ -42,11 +42,11 @@ PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|your[_-].*|change[_-]?me|exam
 HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer")
 
 # A name that does not start inside a longer one, an operator, and what follows on the line.
-PAIR = re.compile(r"""(?<![\w.$-])["']?([A-Za-z_][\w.-]{0,127})["']?[ \t]{0,8}(?::=|=>|=(?![=>])|:(?![:/]))[ \t]{0,8}(?=\S)""")
+PAIR = re.compile(r"""(?<![\w.$-])["']?([A-Za-z_][\w.-]*+)["']?[ \t]*+(?::=|=>|=(?![=>])|:(?![:/]))[ \t]*+(?=\S)""")
 TERM = re.compile(
     r'''"(?P<double>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<single>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|\$\{?(?P<ref>[A-Za-z_]\w*)\}?|(?P<bare>[A-Za-z0-9_+/.=~!@%^&*-]+)'''
 )
-JOIN = re.compile(r"[ \t]*\+[ \t]*(?=[\"'$A-Za-z_])")
+JOIN = re.compile(r"\s*+\+\s*+(?=[\"'$A-Za-z_])")
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 IDENTIFIER = re.compile(r"[A-Za-z_]\w*\Z")
 MIN_LITERAL, MIN_SCORE = 8, 1.5
@@ -54,6 +54,8 @@ MIN_LITERAL, MIN_SCORE = 8, 1.5
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
 Span = tuple[int, str, int]
+# spans of literals, and the values of names that are part of it, shared and never copied
+Value = list["tuple[int, int] | Value"]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -90,51 +92,84 @@ def literal_strength(value: str) -> float:
     return min(entropy, 4.0) / 4.0 + min(len(value), 32) / 64.0 + 0.1 * (kinds - 1)
 
 
-def assigned_literals(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """(target name, spans of the literals that make up its value), in text order.
+def assigned_literals(text: str) -> Iterator[tuple[str, Value]]:
+    """(target name, its value), in text order.
 
     A name is known by its last assignment before its use. A value joined from literals and
-    names has the spans of all of them.
+    names holds all of them; a join may go on over line breaks, but not into another assignment.
     """
-    known: dict[str, list[tuple[int, int]]] = {}
+    known: dict[str, Value] = {}
     at = 0
     while m := PAIR.search(text, at):
         at = m.end()
-        parts: list[tuple[int, int]] = []
-        place = m.end()
+        parts: Value = []
+        place, broken = m.end(), False
         while t := TERM.match(text, place):
             place = t.end()
             kind = t.lastgroup
             if kind in ("double", "single"):
                 parts.append(t.span(kind))
             elif kind == "ref":
-                parts += known.get(t["ref"], [])
+                if t["ref"] in known:
+                    parts.append(known[t["ref"]])
             elif IDENTIFIER.match(t["bare"]) and t["bare"] in known:
-                parts += known[t["bare"]]
-            else:
+                parts.append(known[t["bare"]])
+            elif not broken:
+                # after a line break a bare word is a name, not a literal
                 parts.append(t.span("bare"))
             if not (j := JOIN.match(text, place)):
                 break
-            place = j.end()
+            place, broken = j.end(), "\n" in j[0] or "\r" in j[0]
+            if broken and PAIR.match(text, place):
+                break
         # a value may itself begin an assignment (a: b=c), so the search goes on right after the operator
-        parts = parts[:64]
         if parts:
             known[m[1]] = parts
             yield m[1], parts
 
 
+def distinct_spans(value: Value, found: set[int]) -> tuple[list[tuple[int, int]], list[Value], bool]:
+    """Spans of a value, each once, the values it is made of, and whether one of these is in ``found`` by id.
+
+    Values in ``found`` are not entered.
+    """
+    spans: dict[tuple[int, int], None] = {}
+    seen, inside, holds = {id(value)}, [value], False
+    stack = [iter(value)]
+    while stack:
+        for part in stack[-1]:
+            if isinstance(part, tuple):
+                spans[part] = None
+            elif id(part) in found:
+                holds = True
+            elif id(part) not in seen:
+                seen.add(id(part))
+                inside.append(part)
+                stack.append(iter(part))
+                break
+        else:
+            stack.pop()
+    return list(spans), inside, holds
+
+
 def literal_spans(text: str) -> list[Span]:
-    """Spans of literals that reach a sensitive name and are strong enough together."""
+    """Spans of literals that reach a sensitive name and are strong enough together, or hold such a value."""
     if not ("=" in text or ":" in text):
         return []
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
     found: set[Span] = set()
-    for name, parts in assigned_literals(text):
+    # values that were found, kept so that their ids stay theirs
+    secret: dict[int, Value] = {}
+    for name, value in assigned_literals(text):
         weight = name_weight(name)
-        if weight and weight + literal_strength("".join(text[s:e] for s, e in parts)) >= MIN_SCORE:
+        if not weight:
+            continue
+        parts, inside, holds = distinct_spans(value, secret.keys())
+        if holds or weight + literal_strength("".join(text[s:e] for s, e in parts)) >= MIN_SCORE:
             found.update((s, "literal", e) for s, e in parts if e > s)
+            secret.update((id(v), v) for v in inside)
     return sorted(found)
 
 

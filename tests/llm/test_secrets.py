@@ -72,3 +72,24 @@ def test_redaction_keeps_rows_and_columns(spark):
     got = {r["doc_id"]: r for r in out.collect()}
     assert got[1]["text"] == 'say [SECRET]" now' and got[1]["n_chars"] == len(got[1]["text"])
     assert got[2]["text"] == "clean" and got[None]["text"] is None and got[None]["n_chars"] is None
+
+
+def test_aligned_long_continued_and_many_parts(spark):
+    blanks = " " * 40
+    assert literals(f'db_pwd{blanks}= "Zx81Kq72mmQw"') == ["Zx81Kq72mmQw"]
+    assert literals(f'db_pwd:{blanks}"Zx81Kq72mmQw"') == ["Zx81Kq72mmQw"]
+    assert literals("a" * 300 + '_passphrase = "Zx81Kq72mmQw"') == ["Zx81Kq72mmQw"]
+    assert literals('passphrase = "Zx81Kq" +\n    "72mm"\n    + "Qw"') == ["Zx81Kq", "72mm", "Qw"]
+    assert literals("+db_pwd = Zx81Kq72mmQw\n+other = 'plain words'") == ["Zx81Kq72mmQw"]
+    secret = "Zx81Kq72mmQw" * 10
+    one_by_one = "db_pwd = " + " + ".join(f'"{c}"' for c in secret)
+    assert literals(one_by_one) == list(secret)
+    frame = spark.createDataFrame([(1, one_by_one, "en", "s", 5, "x")], DOCS)
+    assert not set(secret) & set(secrets.redact(frame).first()["text"].replace("db_pwd", "").replace("SECRET", ""))
+
+
+def test_constants_are_shared_not_copied():
+    doubling = 'a0 = "Zx81Kq72mmQw"\n' + "".join(f"a{k + 1} = a{k} + a{k}\n" for k in range(3000)) + "db_pwd = a3000"
+    assert literals(doubling) == ["Zx81Kq72mmQw"]
+    chain = 'db_pwd = "Zx81Kq72mmQw"\n' + 'db_pwd = db_pwd + "k"\n' * 5000
+    assert literals(chain) == ["Zx81Kq72mmQw"] + ["k"] * 5000
