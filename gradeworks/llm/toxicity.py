@@ -96,6 +96,10 @@ class ToxicityModel:
                 total -= math.log(e_value)
         return out, math.log1p(total)
 
+    def is_toxic(self, segments: list, evidence: float) -> bool:
+        """Whether a text holds a significant passage and scores at the threshold or above."""
+        return bool(segments) and self.probability(evidence) >= self.options.threshold
+
     def probability(self, evidence: float) -> float:
         return float(np.interp(evidence, self.knots, self.heights))
 
@@ -157,7 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityO
 
     The driver gets the telling tokens, whose number is bounded by the sample's texts and the
     z-score, and one number per sampled row. Without rows of both classes the model knows no
-    token and answers the share of toxic rows, 0 without any.
+    token and its score is the share of toxic rows, 0 without any; it finds no passage, so
+    every text is predicted clean.
     """
     sample = labelled_sample(docs, labels, "toxic", options.max_rows, options.max_bytes)
     rows = stage(keep_one_per_text(sample), "toxicity-sample")
@@ -241,8 +246,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             ids, held, texts = (c.to_pylist() for c in batch.columns)
             for i, h, t in zip(ids, held, texts, strict=True):
                 segments, evidence = model.segments(t or "", scores)
-                score = model.probability(evidence)
-                out.append((i, h, score, int(score >= model.options.threshold), [f"{s}:{e}" for s, e, _ in segments]))
+                passages = [f"{s}:{e}" for s, e, _ in segments]
+                out.append((i, h, model.probability(evidence), int(model.is_toxic(segments, evidence)), passages))
             yield as_batch(out, schema)
 
     doc_id = F.col("doc_id").cast("bigint")
@@ -250,13 +255,16 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Rows of ``docs`` whose text is not predicted toxic, all columns kept."""
+    """Rows of ``docs`` whose text is not predicted toxic, all columns kept.
+
+    A model without evidence, for want of labels of both classes or of telling tokens, keeps all.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(model.tokens)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            keep = [model.probability(model.segments(t or "", scores)[1]) < model.options.threshold for t in texts]
+            keep = [not model.is_toxic(*model.segments(t or "", scores)) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return map_batches(docs, work, docs.schema)

@@ -128,3 +128,14 @@ def test_token_counts_against_brute_force(spark, sf_dir, monkeypatch):
     total = token_counts.corpus_totals(got).first()
     assert total["n_docs"] == len(rows) and total["n_tokens"] == sum(w[2] for w in want)
     assert token_counts.count_tokens(docs.limit(0), vocabulary).count() == 0
+
+
+@pytest.mark.parametrize("toxic", [lambda i: 1, lambda i: int(i % 2 == 0)])
+def test_toxicity_without_evidence_rejects_nothing(spark, toxic):
+    rows = [(i, f"calm words {i}") for i in range(8)] + [(8, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, 1, "x", 0, 0) for i, t in rows], DOCS)
+    labels = spark.createDataFrame([(i, toxic(i)) for i in range(8)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.probability(0.0) >= model.options.threshold
+    assert toxicity.drop_toxic(docs, model).count() == len(rows)
+    assert {r["predicted"] for r in toxicity.score_documents(docs, model).collect()} == {0}
