@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from gradeworks.llm import decontamination, packing, quality, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
+from gradeworks.llm.filter_audit import audit
 from gradeworks.llm.near_duplicates import near_duplicates
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
@@ -142,6 +143,66 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LLM_ORACLES["op12_filter_audit"] = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+facts AS (
+    SELECT words.doc_id, part,
+           len(w) < 200 AS a,
+           100 * len(list_distinct(w)) < 50 * len(w) AS b,
+           100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(t) AS c,
+           regexp_matches(t, '[#$%&*|]') AS d,
+           coalesce(words.doc_id > min(words.doc_id) OVER (PARTITION BY t), false) AS e
+    FROM words
+),
+known AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+    SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails,
+           count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM facts LEFT JOIN known USING (doc_id) GROUP BY ALL
+),
+orders AS (
+    SELECT v.x || w.x || x.x || y.x || z.x AS filter_order
+    FROM (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(x), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) w(x),
+         (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) x(x), (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) y(x),
+         (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) z(x)
+    WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5
+),
+steps AS (
+    SELECT filter_order, CAST(k AS INTEGER) AS step, filter_order[k] AS f, string_split(filter_order[1:k - 1], '') AS before
+    FROM orders, range(1, 6) AS r(k)
+),
+told AS (
+    SELECT *, fails[f] AS failing, len(list_filter(before, lambda x: x <> '' AND fails[x])) > 0 AS gone,
+           len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: fails[x])) AS n_fails
+    FROM cells, steps
+),
+figures AS (
+    SELECT part, filter_order, step, f,
+           sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN gone AND failing THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN failing AND n_fails = 1 THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END) AS toxic_lost
+    FROM told GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM figures
+"""
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
