@@ -9,6 +9,7 @@ from gradeworks.llm import decontamination, packing, quality, token_counts, toxi
 from gradeworks.llm.common import table
 from gradeworks.llm.filter_audit import audit
 from gradeworks.llm.near_duplicates import near_duplicates
+from gradeworks.llm.periodic_runs import find_periodic_runs
 from gradeworks.llm.secrets import find_secrets
 from gradeworks.llm.sharding import shard_documents
 
@@ -143,6 +144,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_periodic_runs(table(spark, sf_dir, "documents"))
+
+
 @_register
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
