@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from gradeworks.llm import decontamination, packing, quality, token_counts, toxicity, vectors, warc
+from gradeworks.llm import decontamination, packing, quality, recurrent_lm, token_counts, toxicity, vectors, warc
 from gradeworks.llm.common import table
 from gradeworks.llm.filter_audit import audit
 from gradeworks.llm.near_duplicates import near_duplicates
@@ -209,6 +209,11 @@ FROM figures
 """
 
 
+@_register
+def op13_gated_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
