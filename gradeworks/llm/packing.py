@@ -13,10 +13,12 @@ import math
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +30,9 @@ TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 8192
-MAX_STORED = 250_000
-ROWS_AT_ONCE = 500
+MAX_STORED = 500_000
+ROWS_AT_ONCE = 10_000
+WORDS_AT_ONCE = 1_000_000
 # white space to every reader of the vocabulary, so no token crosses it
 WORD = re.compile(r"[^ \n\t\r]+")
 PIECES_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -41,8 +44,24 @@ WORD_END = "</w>"
 STEMS_AT_ONCE = 1000
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after another, and how many each text has; a null text has none."""
+    texts = pc.fill_null(texts, "")
+    # two kinds of white space are parts of words here, so texts with them are split apart
+    if pc.any(pc.match_substring_regex(texts, "[\x0b\x0c]")).as_py():
+        split = [WORD.findall(t) for t in texts.to_pylist()]
+        return pa.array(chain.from_iterable(split), pa.string()), np.array([len(w) for w in split], np.int64)
+    parts = pc.ascii_split_whitespace(texts)
+    ends = parts.offsets.to_numpy().astype(np.int64)
+    words = parts.flatten()
+    held = pc.binary_length(words).to_numpy() > 0
+    before = np.concatenate([[0], np.cumsum(held)])
+    ends -= ends[0]
+    return words.filter(pa.array(held)), before[ends[1:]] - before[ends[:-1]]
+
+
 class WordIds:
-    """Little-endian ids of words, kept in bounded memory, since texts repeat their words.
+    """Little-endian ids of words; those of their parts are kept in bounded memory, since texts repeat them.
 
     A plain word is a stem of letters in lower case and a tail of marks. Both are units to the
     tokenizer, whatever stands beside them, so they are encoded once for all words that share
@@ -58,34 +77,39 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.stored: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {"": b""}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [WORD.findall(t) for t in texts]
-        stored = self.stored
-        self.add({w for words in split for w in words if w not in stored})
-        out = [b"".join(map(stored.__getitem__, words)) for words in split]
-        if len(stored) > MAX_STORED:
-            stored.clear()
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and how many each text has."""
+        words, sizes = split_words(texts)
+        coded = words.dictionary_encode()
+        # each distinct word is looked at once; the ids of all words are then copied together
+        held = self.ids_of(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        starts = np.cumsum(lengths) - lengths
+        table = np.frombuffer(b"".join(held), "<u4")
+        number = coded.indices.to_numpy()
+        out = []
+        for part in (number[i : i + WORDS_AT_ONCE] for i in range(0, len(number), WORDS_AT_ONCE)):
+            n = lengths[part]
+            ends = np.cumsum(n)
+            out.append(table[np.arange(ends[-1]) + np.repeat(starts[part] - (ends - n), n)])
+        counts = np.concatenate([[0], np.cumsum(lengths[number])])[np.concatenate([[0], np.cumsum(sizes)])]
+        return np.concatenate(out) if out else table[:0], np.diff(counts)
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words as bytes."""
         if len(self.units) > MAX_STORED:
             self.units = {"": b""}
-        return out
-
-    def add(self, words: set[str]) -> None:
-        units, parts, odd = self.units, [], []
-        for word in words:
-            m = PLAIN.match(word)
-            if m:
-                parts.append((word, m[1].lower(), m[2]))
-            else:
-                odd.append(word)
-        new = list({u for _, *pair in parts for u in pair if u not in units})
+        units, out = self.units, []
+        split = [m and (m[1].lower(), m[2]) for m in map(PLAIN.match, words)]
+        new = list({u for pair in split if pair for u in pair if u not in units})
         for i in range(0, len(new), STEMS_AT_ONCE):
             self.add_units(new[i : i + STEMS_AT_ONCE])
-        for word, stem, tail in parts:
-            self.stored[word] = units[stem] + units[tail]
-        self.stored.update(self.alone(odd))
+        odd = self.alone([w for w, pair in zip(words, split, strict=True) if not pair])
+        for word, pair in zip(words, split, strict=True):
+            out.append(units[pair[0]] + units[pair[1]] if pair else odd[word])
+        return out
 
     def alone(self, words: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -119,16 +143,17 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZ
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(tokenizer)
         for batch in batches:
-            for part in (batch.slice(i, ROWS_AT_ONCE) for i in range(0, batch.num_rows, ROWS_AT_ONCE)):
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                out = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), words.encode(texts), strict=True):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        row = (doc_id, piece, at // 4, len(own) // 4, crc32(own))
-                        out.append((*row, np.frombuffer(own, "<u4").astype("i4").tolist()) if keep_ids else row)
-                yield as_batch(out, schema)
+            ids, counts = words.encode(batch.column(1))
+            out, first = [], 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):
+                data = ids[first : first + n].tobytes() + end
+                first += n
+                for piece, at in enumerate(range(0, len(data), 4 * capacity)):
+                    own = data[at : at + 4 * capacity]
+                    row = (doc_id, piece, at // 4, len(own) // 4, crc32(own))
+                    out.append((*row, np.frombuffer(own, "<u4").astype("i4").tolist()) if keep_ids else row)
+            for i in range(0, len(out), ROWS_AT_ONCE):
+                yield as_batch(out[i : i + ROWS_AT_ONCE], schema)
 
     return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), work, ddl)
 
