@@ -47,6 +47,18 @@ def as_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like those wanted that ``df`` does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def is_training_row(doc_id: Column) -> Column:
     """Rows whose labels may be learned: crc32 of the id as text, modulo 4, is not 2."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeworks.llm.common import arrow_schema, as_batch, map_batches
+from gradeworks.llm.common import arrow_schema, as_batch, free_names, map_batches
 from gradeworks.session import broadcast_if_small, stage
 
 # scripts written without spaces between words, whose characters are tokens of their own
@@ -68,26 +68,42 @@ def _hash(token: str) -> int:
 PLACEHOLDERS = {NUMBER: _hash("<number>"), NAME: _hash("<name>"), UNIT: _hash("<unit>")}
 
 
+# a hash that no token has in practice, for tokens that no item holds
+FOREIGN = _hash("\0")
+
+
 class Words(dict):
     """Number of a token as written, with its kind and hash inside a sentence, at its start, and as a plain word.
 
-    The last kind is 1 for words whose lower form is one of ``names``.
+    The last kind is 1 for words whose lower form is one of ``names``. With a ``vocabulary``, the
+    hash bits of the items' tokens, a token that cannot be in an item needs no hash, so all plain
+    words of that sort, all names and all numbers share one number each.
     """
 
-    def __init__(self, names: frozenset[int] = frozenset()):
+    def __init__(self, names: frozenset[int] = frozenset(), vocabulary: bytes | None = None):
         super().__init__()
-        self.names = names
+        self.names, self.vocabulary = names, vocabulary
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        # only of words that the reader has not taken over yet
-        self.kinds: list[tuple[int, int, int, int]] = []
-        self.hashes: list[tuple[int, int, int]] = []
+        # only of words that the reader has not taken over yet; the first three are those of tokens in no item
+        self.kinds: list[tuple[int, ...]] = [(WORD, WORD, WORD, 0, 0), (NAME, WORD, WORD, 0, 0), (NUMBER, NUMBER, WORD, 0, 0)]
+        self.hashes: list[tuple[int, int, int]] = [
+            (FOREIGN, FOREIGN, FOREIGN), (PLACEHOLDERS[NAME], FOREIGN, FOREIGN), (PLACEHOLDERS[NUMBER], PLACEHOLDERS[NUMBER], FOREIGN),
+        ]
+        self.n = len(self.kinds)
 
     def __missing__(self, token: str) -> int:
-        number = self[token] = len(self)
         low = token.lower()
+        exact = xxhash.xxh3_64_intdigest(low)
+        named = token != low and len(token) > 1 and token[0].isupper() and not token.isupper()
+        held = self.vocabulary is None or self.vocabulary[exact >> 64 - BITMAP_BITS]
+        if not held and low not in UNITS and token not in SENTENCE_MARKS:
+            number = self[token] = 2 if token[0].isdigit() else 1 if named else 0
+            return number
+        number = self[token] = self.n
+        self.n += 1
         if token in SENTENCE_MARKS:
             kind = MARK
         elif token[0].isdigit():
@@ -96,10 +112,9 @@ class Words(dict):
             kind = UNIT
         else:
             kind = WORD
-        plain = PLACEHOLDERS.get(kind, 0) or _hash(low)
-        named = kind == WORD and len(token) > 1 and token[0].isupper() and not token.isupper()
-        exact = _hash(low)
-        self.kinds.append((NAME if named else kind, kind, UNIT if token in SYMBOLS else WORD, int(exact in self.names)))
+        plain = PLACEHOLDERS.get(kind) or exact
+        named = named and kind == WORD
+        self.kinds.append((NAME if named else kind, kind, UNIT if token in SYMBOLS else WORD, int(exact in self.names), int(held)))
         self.hashes.append((PLACEHOLDERS[NAME] if named else plain, plain, exact))
         return number
 
@@ -109,7 +124,7 @@ class Template:
     """Tokens of a text without sentence marks: ``kept`` are their places in ``read``.
 
     ``hashes`` read words that may be names, which ``maybe`` marks, as plain words; ``exact``
-    reads every token so.
+    reads every token so. ``foreign`` marks plain words that are in no item.
     """
 
     read: list[str]
@@ -118,6 +133,7 @@ class Template:
     hashes: np.ndarray
     exact: np.ndarray
     maybe: np.ndarray
+    foreign: np.ndarray
 
     def token(self, place: int) -> str:
         return self.read[self.kept[place]]
@@ -130,10 +146,10 @@ class Template:
 class Reader:
     """Turns texts into templates; what is known of a token is kept in arrays that grow with it."""
 
-    def __init__(self, names: frozenset[int] = frozenset()):
-        self.words = Words(names)
+    def __init__(self, names: frozenset[int] = frozenset(), vocabulary: bytes | None = None):
+        self.words = Words(names, vocabulary)
         self.filled = 0
-        self.kinds = np.zeros((1024, 4), np.int8)
+        self.kinds = np.zeros((1024, 5), np.int8)
         self.hashes = np.zeros((1024, 3), np.uint64)
 
     def read(self, text: str) -> Template:
@@ -157,13 +173,14 @@ class Reader:
         kinds = self.kinds[chosen, column]
         at_start = (column == 1) & (self.kinds[chosen, 0] == NAME)
         maybe = (kinds == WORD) & (at_start | (self.kinds[chosen, 3] == 1))
-        return Template(tokens, keep, kinds, self.hashes[chosen, column], self.hashes[chosen, 2], maybe)
+        foreign = (kinds == WORD) & ~maybe & (self.kinds[chosen, 4] == 0)
+        return Template(tokens, keep, kinds, self.hashes[chosen, column], self.hashes[chosen, 2], maybe, foreign)
 
     def fill(self) -> None:
         """Take over what is new in ``words``; the arrays double, so a word is copied a few times at most."""
-        known, n = self.filled, len(self.words)
+        known, n = self.filled, self.words.n
         if n > len(self.kinds):
-            self.kinds = np.resize(self.kinds, (2 * n, 4))
+            self.kinds = np.resize(self.kinds, (2 * n, 5))
             self.hashes = np.resize(self.hashes, (2 * n, 3))
         if n > known:
             self.kinds[known:n] = self.words.kinds
@@ -173,14 +190,11 @@ class Reader:
             self.filled = n
 
 
-def window_sums(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Sum of token hashes times powers of ``BASE`` for each run of ``width`` tokens."""
-    n = len(hashes) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+def sums_at(hashes: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """Sums of ``width`` token hashes from each place on, times powers of ``BASE``."""
+    out = np.zeros(len(places), np.uint64)
     for j in range(width):
-        out = out * BASE + hashes[j : j + n]
+        out = out * BASE + hashes[places + j]
     return out
 
 
@@ -193,7 +207,7 @@ def mixed(sums: np.ndarray) -> np.ndarray:
 
 def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` tokens, as signed numbers."""
-    return mixed(window_sums(hashes, width))
+    return mixed(sums_at(hashes, np.arange(max(0, len(hashes) - width + 1)), width))
 
 
 def bit_of(windows: np.ndarray) -> np.ndarray:
@@ -216,6 +230,7 @@ class Chunk:
         self.hashes = np.concatenate([t.hashes for t in templates])
         self.exact = np.concatenate([t.exact for t in templates])
         self.maybe = np.concatenate([t.maybe for t in templates])
+        self.foreign = np.concatenate([[0], np.cumsum(np.concatenate([t.foreign for t in templates]))])
         # what a window's sum gains where a word is read as a name
         self.gain = np.where(self.maybe, np.uint64(PLACEHOLDERS[NAME]) - self.hashes, np.uint64(0))
         self.filled = np.concatenate([[0], np.cumsum(self.kinds != WORD)])
@@ -223,7 +238,8 @@ class Chunk:
     def readings(self, size: int, min_literals: int) -> Iterator[tuple[np.ndarray, np.ndarray, tuple[int, ...] | None]]:
         """(places, windows, offsets of words read as names); None for offsets: all values are read as plain words."""
         every = np.nonzero(np.arange(len(self.kinds)) + size <= self.end)[0]
-        sums, exact = window_sums(self.hashes, size), window_sums(self.exact, size)
+        # a plain word of no item keeps a window from meeting one in any reading
+        every = every[self.foreign[every + size] == self.foreign[every]]
         powers = np.array([pow(int(BASE), size - 1 - j, 1 << 64) for j in range(size)], np.uint64)
 
         def named(places, sums, room, offsets):
@@ -241,10 +257,11 @@ class Chunk:
             room = size - min_literals - slots
             # a single token is no passage of a longer text
             closed = ((slots > 0) | (room < 0)) & ((size > 1) | self.alone[places])
-            yield places[closed], mixed(exact[places[closed]]), None
+            yield places[closed], mixed(sums_at(self.exact, places[closed], size)), None
             places, room = places[room >= 0], room[room >= 0]
-            yield places, mixed(sums[places]), ()
-            yield from named(places, sums[places], room, ())
+            sums = sums_at(self.hashes, places, size)
+            yield places, mixed(sums), ()
+            yield from named(places, sums, room, ())
 
     def windows(self, size: int, min_literals: int, bitmap: np.ndarray | None) -> Iterator[tuple]:
         """Rows of ``WINDOWS_SCHEMA`` that the bitmap lets through."""
@@ -267,7 +284,9 @@ class Chunk:
                 yield key, text_hash, place, size, window, literals >= min_literals, slots
 
 
-def window_rows(texts: DataFrame, sizes: list[int], names: frozenset[int], min_literals: int, bitmap: np.ndarray | None, shorter: bool) -> DataFrame:
+def window_rows(
+    texts: DataFrame, sizes: list[int], names: frozenset[int], min_literals: int, bitmap: np.ndarray | None, shorter: bool, vocabulary: bytes | None = None
+) -> DataFrame:
     """Windows of ``texts`` (id, text, text_hash), of all ``sizes`` and in all readings, that the bitmap lets through.
 
     With ``shorter``, a text of fewer tokens than the only size is one window of its length.
@@ -288,7 +307,7 @@ def window_rows(texts: DataFrame, sizes: list[int], names: frozenset[int], min_l
                 yield as_batch(out, schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(names)
+        reader = Reader(names, vocabulary)
         rows, tokens = [], 0
         for batch in batches:
             for key, text, text_hash in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -305,21 +324,29 @@ def window_rows(texts: DataFrame, sizes: list[int], names: frozenset[int], min_l
     return map_batches(texts, work, WINDOWS_SCHEMA)
 
 
-def names_in(texts: DataFrame) -> frozenset[int]:
-    """Hashes of the lower forms of all names inside sentences of ``texts`` (id, text, text_hash)."""
-    ddl = "name bigint"
+def words_in(texts: DataFrame) -> tuple[frozenset[int], bytes]:
+    """Hashes of the lower forms of all names inside sentences of ``texts``, and the hash bits of all tokens.
+
+    The bits are a table of fixed size.
+    """
+    ddl = "hash bigint, name boolean"
     schema = arrow_schema(ddl)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            found = set()
+            names, bits = set(), set()
             for t in (reader.read(text) for text in batch.column(1).to_pylist() if text):
-                found.update(t.exact[t.kinds == NAME].view(np.int64).tolist())
-            yield as_batch(((n,) for n in found), schema)
+                names.update(t.exact[t.kinds == NAME].view(np.int64).tolist())
+                bits.update(bit_of(t.exact.view(np.int64)).tolist())
+            yield as_batch([*((n, True) for n in names), *((n, False) for n in bits)], schema)
 
-    rows = map_batches(texts, work, ddl).distinct().toPandas()["name"]
-    return frozenset(rows.to_numpy(np.int64).view(np.uint64).tolist())
+    rows = map_batches(texts, work, ddl).distinct().toPandas()
+    named = rows["name"].to_numpy(bool)
+    hashes = rows["hash"].to_numpy(np.int64)
+    vocabulary = np.zeros(1 << BITMAP_BITS, np.uint8)
+    vocabulary[hashes[~named]] = 1
+    return frozenset(hashes[named].view(np.uint64).tolist()), vocabulary.tobytes()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
@@ -338,7 +365,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     not counted in that reading.
     """
     items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("id"), "text", F.lit(0).cast("bigint").alias("text_hash"))
-    names = names_in(items)
+    names, vocabulary = words_in(items)
     known = stage(window_rows(items, [options.width], names, options.min_literals, None, True), "benchmark-windows")
     totals = known.select(F.col("id").alias("item_id"), "place", F.col("open").cast("int").alias("open")).distinct()
     totals = totals.groupBy("item_id").agg(F.count(F.lit(1)).alias("all_windows"), F.sum("open").alias("open_windows"))
@@ -349,7 +376,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
     n_known = known.count()
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text", F.xxhash64("text").alias("text_hash"))
-    held = window_rows(texts, sizes, names, options.min_literals, bitmap, False).select(
+    held = window_rows(texts, sizes, names, options.min_literals, bitmap, False, vocabulary).select(
         F.col("id").alias("doc_id"), "text_hash", F.col("place").alias("doc_place"), "size", "window", F.col("slots").alias("doc_slots")
     )
     theirs = known.select(
@@ -400,8 +427,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions =
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
-    """Rows of ``docs`` whose text holds no item of the benchmark, all columns kept."""
-    leaks = find_leaks(docs, benchmark, options).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    """Rows of ``docs`` whose text holds no item of the benchmark, all columns kept.
+
+    Null and empty texts hold nothing and are kept. Rows go by id and text, so another text
+    under the same id stays.
+    """
+    id_, hash_ = free_names(docs, "leak_id", "leak_hash")
+    leaks = find_leaks(docs, benchmark, options).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
     leaks = stage(leaks, "leaks")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_))
     return docs.join(broadcast_if_small(leaks, leaks.count(), 16), same, "left_anti")
