@@ -50,12 +50,13 @@ JOIN = re.compile(r"\s*+\+\s*+(?=[\"'$A-Za-z_])")
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 IDENTIFIER = re.compile(r"[A-Za-z_]\w*\Z")
 MIN_LITERAL, MIN_SCORE = 8, 1.5
+BEGIN = 64  # characters kept of a value
+LONGEST = 1 << 50
+LONG_PLACEHOLDER = re.compile(r"(?i)(?:your[_-]|example)")
 
 SCHEMA = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
 
 Span = tuple[int, str, int]
-# spans of literals, and the values of names that are part of it, shared and never copied
-Value = list["tuple[int, int] | Value"]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -82,14 +83,109 @@ def name_weight(name: str) -> float:
     return weight
 
 
-def literal_strength(value: str) -> float:
-    """Entropy in bits per character, up to 4, scaled to 0..1, plus shares for length and kinds of characters."""
-    if len(value) < MIN_LITERAL or PLACEHOLDER.match(value):
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(any(test(c) for c in value) for test in (str.islower, str.isupper, str.isdigit)) + (not value.isalnum())
-    return min(entropy, 4.0) / 4.0 + min(len(value), 32) / 64.0 + 0.1 * (kinds - 1)
+class Tally:
+    """Length, character counts and beginning of a text, as it grows; entropy is read off without the text.
+
+    Characters are counted by their last 12 bits, so that a tally is of bounded size.
+    """
+
+    __slots__ = ("begin", "counts", "kinds", "last", "length", "weighted")
+
+    def __init__(self) -> None:
+        self.counts: dict[int, int] = {}
+        self.length, self.weighted = 0, 0.0  # weighted: the sum of n * log2(n) over the counts
+        self.begin, self.last = "", ""
+        self.kinds = [False] * 4  # lower, upper, digit, none of letters and digits
+
+    def copy(self) -> Tally:
+        out = Tally()
+        out.counts, out.kinds = dict(self.counts), list(self.kinds)
+        out.length, out.weighted, out.begin, out.last = self.length, self.weighted, self.begin, self.last
+        return out
+
+    def _count(self, code: int, more: int) -> None:
+        n = self.counts.get(code, 0)
+        self.counts[code] = n + more
+        self.weighted += (n + more) * math.log2(n + more) - (n * math.log2(n) if n else 0.0)
+
+    def add_text(self, text: str) -> None:
+        for char, more in Counter(text).items():
+            self._count(ord(char) & 4095, more)
+            for i, test in enumerate((str.islower, str.isupper, str.isdigit)):
+                self.kinds[i] |= test(char)
+            self.kinds[3] |= not char.isalnum()
+        self._join(len(text), text[:BEGIN], text[-1:])
+
+    def add(self, other: Tally) -> None:
+        if self.length >= LONGEST:
+            # a value that doubles at every step; its score has long stood still
+            return
+        for code, more in other.counts.items():
+            self._count(code, more)
+        self.kinds = [a or b for a, b in zip(self.kinds, other.kinds, strict=True)]
+        self._join(other.length, other.begin, other.last)
+
+    def _join(self, length: int, begin: str, last: str) -> None:
+        if len(self.begin) == self.length:
+            self.begin = (self.begin + begin)[:BEGIN]
+        self.length += length
+        self.last = last or self.last
+
+    def is_placeholder(self) -> bool:
+        if self.length <= BEGIN:
+            return bool(PLACEHOLDER.match(self.begin))
+        # longer ones are runs of one mark, or told by their ends
+        run = self.counts.keys() <= {ord("x"), ord("X")} or self.counts.keys() in ({ord("*")}, {ord(".")})
+        return run or bool(LONG_PLACEHOLDER.match(self.begin)) or (self.begin[0] == "<" and self.last == ">")
+
+    def strength(self) -> float:
+        """Entropy in bits per character, up to 4, scaled to 0..1, plus shares for length and kinds of characters."""
+        if self.length < MIN_LITERAL or self.is_placeholder():
+            return 0.0
+        entropy = math.log2(self.length) - self.weighted / self.length
+        return min(entropy, 4.0) / 4.0 + min(self.length, 32) / 64.0 + 0.1 * (sum(self.kinds) - 1)
+
+
+class Value:
+    """What a name stands for: spans of literals and values of names, in order.
+
+    ``holds`` tells that a secret is somewhere in it; whoever uses a value learns of it through ``users``.
+    """
+
+    __slots__ = ("holds", "parts", "secret", "tally", "users")
+
+    def __init__(self, parts: list[tuple[int, int] | Value], tally: Tally):
+        self.parts, self.tally = parts, tally
+        self.users: list[Value] = []
+        self.secret = False
+        self.holds = False
+        for part in parts:
+            if isinstance(part, Value):
+                part.users.append(self)
+                self.holds |= part.secret or part.holds
+
+    def reveal(self) -> list[tuple[int, int]]:
+        """Mark the value and all in it as secret, and give the spans that were not so before."""
+        spans, stack = [], [self]
+        self.secret = True
+        while stack:
+            value = stack.pop()
+            value._tell()
+            for part in value.parts:
+                if not isinstance(part, Value):
+                    spans.append(part)
+                elif not part.secret:
+                    part.secret = True
+                    stack.append(part)
+        return spans
+
+    def _tell(self) -> None:
+        stack = [self]
+        while stack:
+            for user in stack.pop().users:
+                if not user.holds:
+                    user.holds = True
+                    stack.append(user)
 
 
 def assigned_literals(text: str) -> Iterator[tuple[str, Value]]:
@@ -102,7 +198,7 @@ def assigned_literals(text: str) -> Iterator[tuple[str, Value]]:
     at = 0
     while m := PAIR.search(text, at):
         at = m.end()
-        parts: Value = []
+        parts: list[tuple[int, int] | Value] = []
         place, broken = m.end(), False
         while t := TERM.match(text, place):
             place = t.end()
@@ -124,52 +220,41 @@ def assigned_literals(text: str) -> Iterator[tuple[str, Value]]:
                 break
         # a value may itself begin an assignment (a: b=c), so the search goes on right after the operator
         if parts:
-            known[m[1]] = parts
-            yield m[1], parts
-
-
-def distinct_spans(value: Value, found: set[int]) -> tuple[list[tuple[int, int]], list[Value], bool]:
-    """Spans of a value, each once, the values it is made of, and whether one of these is in ``found`` by id.
-
-    Values in ``found`` are not entered.
-    """
-    spans: dict[tuple[int, int], None] = {}
-    seen, inside, holds = {id(value)}, [value], False
-    stack = [iter(value)]
-    while stack:
-        for part in stack[-1]:
-            if isinstance(part, tuple):
-                spans[part] = None
-            elif id(part) in found:
-                holds = True
-            elif id(part) not in seen:
-                seen.add(id(part))
-                inside.append(part)
-                stack.append(iter(part))
-                break
+            known[m[1]] = Value(parts, _tally(text, parts, known.get(m[1])))
+            yield m[1], known[m[1]]
+
+
+def _tally(text: str, parts: list[tuple[int, int] | Value], replaced: Value | None) -> Tally:
+    """The tally of all parts on end; that of the value which the new one replaces is taken over, not copied."""
+    first = parts[0]
+    if isinstance(first, Value):
+        own = first is replaced and sum(part is first for part in parts) == 1
+        out, rest = first.tally if own else first.tally.copy(), parts[1:]
+    else:
+        out, rest = Tally(), parts
+    for part in rest:
+        if isinstance(part, Value):
+            out.add(part.tally)
         else:
-            stack.pop()
-    return list(spans), inside, holds
+            out.add_text(text[part[0] : part[1]])
+    return out
 
 
 def literal_spans(text: str) -> list[Span]:
-    """Spans of literals that reach a sensitive name and are strong enough together, or hold such a value."""
+    """Spans of literals that reach a sensitive name and are strong enough together, or hold such a value.
+
+    Takes time in proportion to the text, however values build on each other.
+    """
     if not ("=" in text or ":" in text):
         return []
     low = text.lower()
     if not any(h in low for h in HINTS):
         return []
     found: set[Span] = set()
-    # values that were found, kept so that their ids stay theirs
-    secret: dict[int, Value] = {}
     for name, value in assigned_literals(text):
         weight = name_weight(name)
-        if not weight:
-            continue
-        parts, inside, holds = distinct_spans(value, secret.keys())
-        if holds or weight + literal_strength("".join(text[s:e] for s, e in parts)) >= MIN_SCORE:
-            found.update((s, "literal", e) for s, e in parts if e > s)
-            secret.update((id(v), v) for v in inside)
+        if weight and (value.holds or weight + value.tally.strength() >= MIN_SCORE):
+            found.update((s, "literal", e) for s, e in value.reveal() if e > s)
     return sorted(found)
 
 

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
+
+import pytest
 
 from gradeworks.llm import secrets
 
@@ -93,3 +96,33 @@ def test_constants_are_shared_not_copied():
     assert literals(doubling) == ["Zx81Kq72mmQw"]
     chain = 'db_pwd = "Zx81Kq72mmQw"\n' + 'db_pwd = db_pwd + "k"\n' * 5000
     assert literals(chain) == ["Zx81Kq72mmQw"] + ["k"] * 5000
+
+
+@pytest.mark.parametrize(
+    "line",
+    ['pwd = pwd + "a"\n', "a = b + a\nb = a + b\npwd = a + b\n", 'x = "q" + x\npassword = x\n', 'pwd = "é日本" + pwd + key\nkey = pwd\n'],
+)
+def test_long_chains_take_time_in_proportion(line):
+    text = 'pwd = "a"\na = "x1"\nb = "y"\nx = "z"\nkey = "k"\n' + line * (1_000_000 // len(line))
+    began = time.perf_counter()
+    secrets.scan_text(text)
+    assert time.perf_counter() - began < 15
+
+
+def test_weak_chain_is_no_secret_and_a_strong_end_makes_it_one():
+    weak = 'pwd = "a"\n' + 'pwd = pwd + "a"\n' * 50
+    assert secrets.literal_spans(weak) == []
+    strong = weak + 'pwd = pwd + "Zx81Kq72mmQwP0"\n'
+    assert len(secrets.literal_spans(strong)) == 52
+
+
+def test_a_value_used_before_it_became_secret():
+    text = 'b = "Zx81Kq72mmQw"\nx = b\npassword = b\ntoken = x + "t"\n'
+    start = text.index('"t"') + 1
+    assert secrets.literal_spans(text) == [(5, "literal", 17), (start, "literal", start + 1)]
+
+
+@pytest.mark.parametrize("value", ["x" * 80, "*" * 80, "." * 80, "<" + "aB3" * 30 + ">", "your_" + "aB3" * 30, "EXAMPLE" + "aB3" * 30])
+def test_long_placeholders_are_no_secrets(value):
+    assert secrets.literal_spans(f'pwd = "{value}"') == []
+    assert secrets.literal_spans(f'pwd = "{value[:40]}" + "{value[40:]}"') == []
