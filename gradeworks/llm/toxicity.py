@@ -162,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityO
     The driver gets the telling tokens, whose number is bounded by the sample's texts and the
     z-score, and one number per sampled row. Without rows of both classes the model knows no
     token and its score is the share of toxic rows, 0 without any; it finds no passage, so
-    every text is predicted clean.
+    ``drop_toxic`` keeps every text.
     """
     sample = labelled_sample(docs, labels, "toxic", options.max_rows, options.max_bytes)
     rows = stage(keep_one_per_text(sample), "toxicity-sample")
@@ -233,6 +233,7 @@ def evidence_of(rows: DataFrame, model: ToxicityModel) -> DataFrame:
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): score, prediction and the toxic passages.
 
+    ``predicted`` says whether the score reaches the threshold; of equal scores all or none do.
     Whole texts are scanned. A null text is scored as an empty one; null ids and repeated rows
     are kept; other columns are left out. ``passages`` lists start:end of every significant
     segment in code points. Narrow: no row moves.
@@ -247,7 +248,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             for i, h, t in zip(ids, held, texts, strict=True):
                 segments, evidence = model.segments(t or "", scores)
                 passages = [f"{s}:{e}" for s, e, _ in segments]
-                out.append((i, h, model.probability(evidence), int(model.is_toxic(segments, evidence)), passages))
+                score = model.probability(evidence)
+                out.append((i, h, score, int(score >= model.options.threshold), passages))
             yield as_batch(out, schema)
 
     doc_id = F.col("doc_id").cast("bigint")
@@ -255,9 +257,10 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """Rows of ``docs`` whose text is not predicted toxic, all columns kept.
+    """Rows of ``docs`` without a significant toxic passage or scored below the threshold, all columns kept.
 
-    A model without evidence, for want of labels of both classes or of telling tokens, keeps all.
+    Null and empty texts hold no passage and are kept, as are null ids and repeated rows. A model
+    without evidence, for want of labels of both classes or of telling tokens, keeps all.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
