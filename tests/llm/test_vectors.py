@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 
 from gradeworks.llm import vectors
 
@@ -10,17 +11,16 @@ TABLE = "vec_id bigint, embedding array<float>, label int, score int, query_id s
 
 
 def brute(rows, k, every):
-    known = {}
+    known = []
     for i, x in rows:
         if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
             continue
-        v = tuple(math.floor(256 * float(np.float32(c))) for c in x)
-        known[i] = min(known.get(i, v), v)
+        known.append((i, tuple(math.floor(256 * float(np.float32(c))) for c in x)))
     out = []
-    for q, v in known.items():
+    for own, (q, v) in enumerate(known):
         if q % every:
             continue
-        scores = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in known.items() if i != q and len(w) == len(v)]
+        scores = [(-sum(a * b for a, b in zip(v, w)), i) for at, (i, w) in enumerate(known) if at != own and len(w) == len(v)]
         out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
     return sorted(out)
 
@@ -46,3 +46,14 @@ def test_few_candidates_and_no_rows(spark):
     assert search(spark, [(0, [1.0, 2.0])]) == []
     assert search(spark, [(0, [1.0, 2.0]), (1, [0.5, -1.0])]) == [(0, 1, 1, 256 * 128 - 512 * 256)]
     assert search(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+def test_rows_that_repeat_an_id_are_candidates(spark):
+    got = search(spark, [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (0, [3.0, 0.0])], 5, 2)
+    assert got == brute([(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (0, [3.0, 0.0])], 5, 2)
+    assert (0, 2, 1, 131072) in got
+
+
+def test_scores_that_would_overflow_raise(spark):
+    with pytest.raises(ValueError, match="exactly"):
+        search(spark, [(0, [3e9, 1.0]), (1, [3e9, 2.0])])
