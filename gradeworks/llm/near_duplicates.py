@@ -22,11 +22,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeworks.llm.common import arrow_schema, as_batch, map_batches, split_heavy_join
+from gradeworks.llm.common import arrow_schema, as_batch, free_names, map_batches, split_heavy_join
 from gradeworks.llm.components import connected_components
 from gradeworks.session import broadcast_if_small, stage
 
-SETS_SCHEMA = "doc_id bigint, node bigint, n_shingles bigint, signature array<bigint>, bands array<bigint>"
+SETS_SCHEMA = "doc_id bigint, node bigint, n_shingles bigint, signature array<bigint>, bands array<bigint>, text_hash bigint"
 PAIRS_SCHEMA = "a bigint, b bigint"
 MAX_KNOWN_WORDS = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -141,16 +141,17 @@ def describe_sets(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 out = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for doc_id, text, text_hash in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     shingles = reader.read(text)
                     if not len(shingles):
-                        out.append((doc_id, None, 0, None, None))
+                        out.append((doc_id, None, 0, None, None, text_hash))
                         continue
                     minima = hasher.minima(shingles)
-                    out.append((doc_id, set_hash(shingles), len(shingles), hasher.signature(minima), hasher.bands(minima)))
+                    out.append((doc_id, set_hash(shingles), len(shingles), hasher.signature(minima), hasher.bands(minima), text_hash))
                 yield as_batch(out, schema)
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), work, SETS_SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return map_batches(rows, work, SETS_SCHEMA)
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -161,10 +162,10 @@ def differing(a: Column, b: Column) -> Column:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of one document per wanted class (node, rep)."""
-    small = broadcast_if_small(wanted, wanted.count(), 16)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text")
-    return texts.join(small, "rep").select("node", "text")
+    """(node, text) of one document per wanted class (node, rep, rep_hash); ids may repeat with other texts."""
+    small = broadcast_if_small(wanted, wanted.count(), 24)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), F.xxhash64("text").alias("rep_hash"), "text")
+    return texts.join(small, ["rep", "rep_hash"]).select("node", "text")
 
 
 def is_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -207,17 +208,23 @@ def near_duplicates(docs: DataFrame, options: NearDuplicateOptions = NearDuplica
     nothing; rows without an id too, have no component and are kept. Repeated rows repeat
     their result. Other columns are left out.
     """
+    return grouped(docs, options).drop("text_hash")
+
+
+def grouped(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:
+    """The rows of ``near_duplicates`` with the hash of their text, which tells rows of one id apart."""
     rows = stage(describe_sets(docs, options), "sets")
     classes = stage(
         rows.where("node is not null and doc_id is not null")
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("rep"),
+            F.min(F.struct(F.col("doc_id").alias("rep"), F.col("text_hash").alias("rep_hash"))).alias("own"),
             F.count(F.lit(1)).alias("n"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
-        ),
+        )
+        .select("node", "own.*", "n", "n_shingles", "signature", "bands"),
         "classes",
     )
     members = classes.select("node", F.explode("bands").alias("key"))
@@ -235,8 +242,8 @@ def near_duplicates(docs: DataFrame, options: NearDuplicateOptions = NearDuplica
     ids = named.join(smallest, "root")
     ids = stage(ids.select("node", "component_id", "n"), "component-ids")
     with_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = split_heavy_join(rows.select("doc_id", "node", "n_shingles"), ids, ["node"], "left", 24)
-    return out.select("doc_id", "n_shingles", with_id.alias("component_id")).withColumn(
+    out = split_heavy_join(rows.select("doc_id", "node", "n_shingles", "text_hash"), ids, ["node"], "left", 24)
+    return out.select("doc_id", "n_shingles", with_id.alias("component_id"), "text_hash").withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
@@ -255,7 +262,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, options: NearDuplicateOption
 
 
 def node_texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    wanted = stage(nodes.toDF("node").distinct().join(classes.select("node", "rep"), "node"), "wanted")
+    wanted = stage(nodes.toDF("node").distinct().join(classes.select("node", "rep", "rep_hash"), "node"), "wanted")
     return stage(texts_of(docs, wanted), "wanted-texts")
 
 
@@ -417,16 +424,22 @@ def shingle_sets(texts: DataFrame, options: NearDuplicateOptions) -> DataFrame:
 
 
 def keep_one_per_group(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:
-    """Rows of ``docs`` that stand for their group, all columns kept; of repeated rows one stays."""
-    found = near_duplicates(docs, options)
-    dropped = stage(found.where("not kept").select(F.col("doc_id").alias("__id")).distinct(), "dropped")
-    left = docs.join(broadcast_if_small(dropped, dropped.count(), 8), F.col("doc_id") == F.col("__id"), "left_anti")
+    """Rows of ``docs`` that stand for their group, all columns kept; of repeated rows one stays.
+
+    Rows go by id and text, so another text under the same id stays. Null and empty texts are
+    near copies of nothing; of several under one id one stays.
+    """
+    id_, hash_ = free_names(docs, "group_id", "group_hash")
+    own = (docs["doc_id"].cast("bigint"), F.xxhash64(docs["text"]))
+    is_named = own[0].eqNullSafe(F.col(id_)) & (own[1] == F.col(hash_))
+    found = grouped(docs, options).where("not kept")
+    dropped = stage(found.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct(), "dropped")
+    left = docs.join(broadcast_if_small(dropped, dropped.count(), 16), is_named, "left_anti")
     # rows that repeat id and text are few or none; only they are shuffled
-    same = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")]
+    same = [own[0].alias(id_), own[1].alias(hash_)]
     again = stage(left.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
     if again.isEmpty():
         return left
-    is_again = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
     again = broadcast_if_small(again, again.count(), 16)
-    one_each = left.join(again, is_again, "left_semi").withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
-    return left.join(again, is_again, "left_anti").unionByName(one_each.drop("__hash"))
+    one_each = left.join(again, is_named, "left_semi").withColumn(hash_, own[1]).dropDuplicates(["doc_id", hash_])
+    return left.join(again, is_named, "left_anti").unionByName(one_each.drop(hash_))

@@ -3,6 +3,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
+import numpy as np
+
 from gradeworks.llm import decontamination as dc
 
 DOCS = "doc_id bigint, text string, lang string, item_id bigint, share string, window int"
@@ -133,3 +135,37 @@ def test_copies_of_items_with_few_plain_words(spark):
     items = [(1, "What is 12 * 7?"), (2, dense), (3, unspaced), (4, "So."), (5, "Alice Brown Bob Small"), (6, "...")]
     docs.append((9, "we met alice brown, bob small"))
     assert found(spark, docs, items) == [(1, 1), (3, 2), (5, 3), (6, 4), (9, 5)]
+
+
+def test_clashing_columns_and_a_word_of_no_item(spark):
+    item = "A train leaves the old station at noon and travels north for six hours without a stop"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    texts = [item, item.replace("station", "zzyzx"), item.upper(), "nothing of the sort", None, ""]
+    docs = spark.createDataFrame([(i, t, i, i, i) for i, t in enumerate(texts)], "doc_id bigint, text string, leak_id int, LEAK_HASH int, __id int")
+    left = dc.drop_leaks(docs, bench)
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} >= {3, 4, 5} and not {r["doc_id"] for r in left.collect()} & {0, 2}
+
+
+def test_readers_with_and_without_a_vocabulary_agree(spark):
+    """Words of no item are dropped early; every window that meets an item has to survive."""
+    rng = np.random.default_rng(3)
+    words = ["the", "Anna", "anna", "Tom", "km", "12", "7.5", "run", "Runs", "blue", "ABC", "of", ".", "!", "zq"]
+    texts = [" ".join(rng.choice(words[: rng.integers(4, 16)], rng.integers(1, 40))) for _ in range(300)]
+    names = frozenset(dc._hash(w) for w in ("anna", "tom"))
+    held = np.zeros(1 << dc.BITMAP_BITS, np.uint8)
+    for w in words[:11]:
+        held[dc._hash(w.lower()) >> (64 - dc.BITMAP_BITS)] = 1
+    plain, short = dc.Reader(names), dc.Reader(names, held.tobytes())
+    for t in texts:
+        a, b = plain.read(t), short.read(t)
+        if not len(a.kinds):
+            continue
+        foreign = [w.lower() not in {x.lower() for x in words[:11]} and w[0].isalpha() for w in a.tokens]
+        ours, theirs = ({w for _, ws, _ in dc.Chunk([(1, 0, x)]).readings(3, 1) for w in ws.tolist()} for x in (a, b))
+        assert a.kinds.tolist() == b.kinds.tolist() and theirs <= ours | theirs
+        if not any(foreign):
+            assert ours == theirs
+        for place in range(len(a.kinds) - 2):
+            if not any(foreign[place : place + 3]):
+                only = dc.window_hashes(a.hashes[place : place + 3], 3)[0]
+                assert (only in theirs) == (only in ours)

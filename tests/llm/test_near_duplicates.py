@@ -105,3 +105,13 @@ def test_one_of_each_group_stays(spark):
     kept = nd.keep_one_per_group(frame, nd.NearDuplicateOptions(width=5))
     assert kept.columns == frame.columns
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect() if r["doc_id"]) == [("1", "a b c d e f"), ("2", None)]
+
+
+def test_another_text_under_the_same_id_stays(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " more"), (2, "a text of its own"), (None, text), (3, ""), (4, None)]
+    schema = "doc_id bigint, text string, group_id int, GROUP_HASH string, __id int, __hash int"
+    docs = spark.createDataFrame([(i, t, n, f"h{n}", n, n) for n, (i, t) in enumerate(rows)], schema)
+    left = nd.keep_one_per_group(docs, nd.NearDuplicateOptions(width=5))
+    assert left.columns == docs.columns
+    assert sorted(r["__id"] for r in left.collect()) == [0, 2, 3, 4, 5]

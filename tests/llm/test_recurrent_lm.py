@@ -164,6 +164,7 @@ def test_hard_rows(spark):
     names = ["Alpha", "beta", "ÉPÉE", "x|y", "日本"] + [f"w{i}" for i in range(60)]
     rows = [(i, rng.choice([" ", "\n\t", "\x0b"]).join(rng.choice(names) for _ in range(rng.randrange(40)))) for i in range(300)]
     rows += [(None, "alpha BETA"), (None, None), (7, "only here"), (7, ""), (8, " \r\n"), (9, "y" * 200_000), (900, "z " * 60_000), rows[5], rows[5]]
+    rows += [(950, "Ab\x1cC\x85d e\u2003f\x0c\x0cg "), (951, "\r\nÄbc\t")]
     docs = spark.createDataFrame([(i, t, "x", 1, "y", 0.5, 2) for i, t in rows], DOCS).repartition(3)
     got = score_documents(docs, SMALL).collect()
     check(got, rows)
