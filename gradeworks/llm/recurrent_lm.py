@@ -13,14 +13,13 @@ small groups. As in any such training the weights depend on how the texts are de
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,7 @@ from gradeworks.session import stage
 SMOOTHING = 0.1
 ENDING = 3  # bytes of a word's end that decide its rare class
 END_WORD = b""  # no word is empty, so this stands for the end of a text
+LONG_WORDS = 2048
 MERGED = 32  # sets of weights averaged at once
 
 COUNTS_SCHEMA = "word binary, trained bigint, seen bigint"
@@ -63,9 +63,18 @@ class LanguageModelOptions:
     seed: int = 42
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, with only A-Z lowered."""
-    return (text or "").encode().lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, one after another, and how many each text has.
+
+    Words are what is between ASCII white space, with only A-Z lowered; null is an empty text.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    ends = parts.offsets.to_numpy().astype(np.int64)
+    words = parts.flatten().cast(pa.binary())
+    held = pc.binary_length(words).to_numpy() > 0
+    before = np.concatenate([[0], np.cumsum(held)])
+    ends -= ends[0]
+    return words.filter(pa.array(held)), before[ends[1:]] - before[ends[:-1]]
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -87,16 +96,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trained, held = Counter(), Counter()
-            for out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = held if out else trained
-                counts.update(words_of(text))
-                counts[END_WORD] += 1
-            seen = trained + held
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.binary()), pa.array([trained[w] for w in seen], pa.int64()), pa.array(seen.values(), pa.int64())],
-                schema=schema,
-            )
+            words, sizes = split_words(batch.column(1))
+            trained = ~batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            coded = words.dictionary_encode()
+            number, distinct = coded.indices.to_numpy(), len(coded.dictionary)
+            seen = np.bincount(number, minlength=distinct)
+            learned = np.bincount(number[np.repeat(trained, sizes)], minlength=distinct)
+            ends = [pa.array([END_WORD], pa.binary()), pa.array([int(trained.sum())], pa.int64()), pa.array([len(sizes)], pa.int64())]
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(learned, pa.int64()), pa.array(seen, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays(ends, schema=schema)
 
     rows = docs.select(is_held_out(F.col("doc_id")).alias("held_out"), "text")
     return map_batches(rows, count, COUNTS_SCHEMA).groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
@@ -204,28 +212,28 @@ def encode(docs: DataFrame, known: Vocabulary) -> DataFrame:
         items, has = np.append(v.items, 0).astype(np.uint16), np.append(v.counts > 0, False)
         for batch in batches:
             rows, ids, held, texts = batch.columns
-            words = [words_of(t) for t in texts.to_pylist()]
-            sizes = np.array([len(w) for w in words], dtype=np.int64)
-            flat = list(chain.from_iterable(words))
-            numbers = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+            words, sizes = split_words(texts)
+            coded = words.dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            number_of = np.fromiter(map(number.__getitem__, distinct), np.int64, len(distinct))
+            place = coded.indices.to_numpy()
+            numbers = number_of[place]
+            item_of = items[number_of]
+            others = np.flatnonzero(number_of < 0).tolist()
+            item_of[others] = [first_rare + rare_class(distinct[i], n_rare) for i in others]
+            raw = item_of[place].astype("<u2").tobytes()
             ends = np.cumsum(sizes)
             text = np.repeat(np.arange(len(sizes)), sizes)
-            chosen = items[numbers]
-            others = np.flatnonzero(numbers < 0)
-            rest: list[Counter | None] = [None] * len(sizes)
-            for place, t in zip(others.tolist(), text[others].tolist(), strict=True):
-                word = flat[place]
-                chosen[place] = first_rare + rare_class(word, n_rare)
-                if rest[t] is None:
-                    rest[t] = Counter()
-                rest[t][word] += 1
-            raw = chosen.astype("<u2").tobytes()
+            # each text's words that are not stored, once, with their numbers
+            pairs, times = np.unique(text[numbers < 0] * max(len(distinct), 1) + place[numbers < 0], return_counts=True)
+            offsets = np.searchsorted(pairs, np.arange(len(sizes) + 1) * max(len(distinct), 1)).astype(np.int32)
+            rest = coded.dictionary.take(pa.array(pairs % max(len(distinct), 1)))
             columns = [
-                rows, ids, held, pa.array(sizes),
+                rows, ids, held, pa.array(sizes, pa.int64()),
                 *(pa.array(np.bincount(text, table[numbers], len(sizes)).astype(kind)) for table, kind in ((has, np.int64), (base, float), (inside, float))),
                 pa.array([raw[2 * (e - n) : 2 * e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary()),
-                pa.array([list(r) if r else [] for r in rest], pa.list_(pa.binary())),
-                pa.array([list(r.values()) if r else [] for r in rest], pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(offsets), rest),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(times, pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -269,6 +277,9 @@ def fit(encoded: DataFrame, known: Vocabulary, options: LanguageModelOptions) ->
     begin = starting_network(known, options)
     weights = begin().flat()
     training = encoded.where(~F.col("held_out"))
+    # a part takes as many steps as its longest text has words, so long texts share the last round
+    last = F.lit(options.rounds - 1)
+    turn = F.when(F.col("n_words") > LONG_WORDS, last).otherwise(F.pmod("row", F.lit(options.rounds)))
 
     def mean(table: pa.Table) -> pa.Table:
         total, summed = 0, None
@@ -291,7 +302,7 @@ def fit(encoded: DataFrame, known: Vocabulary, options: LanguageModelOptions) ->
             if n:
                 yield as_batch([(TaskContext.get().partitionId() // MERGED, n, network.flat().astype(np.float32).tobytes())], merge_schema)
 
-        rows = training.where(F.pmod("row", F.lit(options.rounds)) == round_).select("items")
+        rows = training.where(turn == round_).select("items")
         merged = map_batches(rows, learn, MERGE_SCHEMA)
         n_sets = encoded.rdd.getNumPartitions()
         while n_sets > 1:

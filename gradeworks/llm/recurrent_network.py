@@ -17,6 +17,8 @@ END = 0  # ends a text, and is the input before its first word
 NO_WORD = -1e9  # logit of a place of a class that holds no word
 FIRST_SQUARES = 1e-6
 BLOCK = 32
+SCORED_PLACES = 8192
+TABLE_ROWS = 1024
 NAMES = ("embed", "enter", "enter_bias", "turn", "classes", "class_bias", "words", "word_bias")
 
 
@@ -87,64 +89,93 @@ class Network:
                 at += size
         return self
 
-    def forward(self, items: np.ndarray, goes_on: np.ndarray, state: np.ndarray) -> dict[str, np.ndarray]:
-        """States after every step of a window (steps x lanes), and the parts that going back needs."""
-        w, h = self.weights, self.hidden
-        if items.size > len(w["embed"]):
-            entering = (w["embed"] @ w["enter"] + w["enter_bias"])[items]
+    def _by_gate(self, name: str) -> np.ndarray:
+        """A weight table as three tables, one per gate, so that every part of a step lies together."""
+        table = self.weights[name].reshape(-1, 3, self.hidden)
+        return np.ascontiguousarray(table.transpose(1, 0, 2))
+
+    def forward(self, items: np.ndarray, goes_on: np.ndarray, state: np.ndarray, keep: bool = True) -> dict[str, np.ndarray]:
+        """States after every step of a window (steps x lanes), and the parts that going back needs.
+
+        Unless ``keep``, these parts are written over at each step, which stays in the cache.
+        """
+        enter, bias, turn = self._by_gate("enter"), self.weights["enter_bias"].reshape(3, 1, self.hidden), self._by_gate("turn")
+        if items.size > len(self.weights["embed"]):
+            entering = (self.weights["embed"] @ enter + bias)[:, items]
         else:
-            entering = w["embed"][items] @ w["enter"] + w["enter_bias"]
-        shape = (*items.shape, h)
-        out = {n: np.empty(shape, np.float32) for n in ("before", "fresh", "states")}
-        out["turned"], out["gates"] = np.empty((*items.shape, 3 * h), np.float32), np.empty((*items.shape, 2 * h), np.float32)
+            entering = (self.weights["embed"][items.ravel()] @ enter + bias).reshape(3, *items.shape, self.hidden)
+        shape = (len(items) if keep else 1, items.shape[1], self.hidden)
+        out = {n: np.empty(shape, np.float32) for n in ("before", "fresh")}
+        out["states"] = np.empty((*items.shape, self.hidden), np.float32)
+        # the three gates are hold, reset and the fresh state
+        out["turned"], out["gates"] = np.empty((3, *shape), np.float32), np.empty((2, *shape), np.float32)
         for t in range(len(items)):
-            before, turned, gates, fresh, after = (out[n][t] for n in ("before", "turned", "gates", "fresh", "states"))
+            held = t if keep else 0
+            before, fresh, after = out["before"][held], out["fresh"][held], out["states"][t]
+            turned, gates = out["turned"][:, held], out["gates"][:, held]
             np.multiply(state, goes_on[t][:, None], out=before)
-            np.matmul(before, w["turn"], out=turned)
-            np.add(entering[t, :, : 2 * h], turned[:, : 2 * h], out=gates)
+            np.matmul(before, turn, out=turned)
+            np.add(entering[:2, t], turned[:2], out=gates)
             # the logistic function by way of tanh
             gates *= 0.5
             np.tanh(gates, out=gates)
             gates += 1.0
             gates *= 0.5
-            np.multiply(gates[:, h:], turned[:, 2 * h :], out=fresh)
-            fresh += entering[t, :, 2 * h :]
+            np.multiply(gates[1], turned[2], out=fresh)
+            fresh += entering[2, t]
             np.tanh(fresh, out=fresh)
             np.subtract(before, fresh, out=after)
-            after *= gates[:, :h]
+            after *= gates[0]
             after += fresh
             state = after
         return out
 
     def backward(self, items: np.ndarray, goes_on: np.ndarray, held: dict[str, np.ndarray], d_states: np.ndarray) -> None:
         """Step down the gradients of the recurrent part, given those of the states."""
-        w, h = self.weights, self.hidden
-        hold, reset = held["gates"][..., :h], held["gates"][..., h:]
-        # what a state's gradient is multiplied by to give those of the three inputs of a step
-        to_fresh = (1 - hold) * (1 - held["fresh"] ** 2)
-        to_hold = (held["before"] - held["fresh"]) * hold * (1 - hold)
-        to_reset = to_fresh * held["turned"][..., 2 * h :] * reset * (1 - reset)
-        to_turned = np.concatenate([to_hold, to_reset, to_fresh * reset], axis=2)
-        d_turned = np.empty_like(to_turned)
-        d = np.empty_like(d_states)
-        later = np.zeros_like(d_states[0])
-        turn_back = np.ascontiguousarray(w["turn"].T)
+        h = self.hidden
+        (hold, reset), fresh, before = held["gates"], held["fresh"], held["before"]
+        # what a state's gradient is multiplied by to give those of what the state turned into
+        let_go = 1.0 - hold
+        to_fresh = fresh * fresh
+        np.subtract(1.0, to_fresh, out=to_fresh)
+        to_fresh *= let_go
+        to_turned = np.empty_like(held["turned"])
+        np.subtract(before, fresh, out=to_turned[0])
+        to_turned[0] *= hold
+        to_turned[0] *= let_go
+        np.multiply(to_fresh, reset, out=to_turned[2])
+        np.subtract(1.0, reset, out=let_go)
+        np.multiply(to_turned[2], let_go, out=to_turned[1])
+        to_turned[1] *= held["turned"][2]
+        d = d_states
+        back = np.ascontiguousarray(self._by_gate("turn").transpose(0, 2, 1))
         for t in range(len(items) - 1, -1, -1):
-            np.add(d_states[t], later, out=d[t])
-            np.multiply(to_turned[t].reshape(-1, 3, h), d[t][:, None, :], out=d_turned[t].reshape(-1, 3, h))
-            later = d_turned[t] @ turn_back
-            later += d[t] * hold[t]
-            later *= goes_on[t][:, None]
-        d_enter = np.concatenate([d_turned[..., : 2 * h], d * to_fresh], axis=2).reshape(-1, 3 * h)
-        d_embedded = d_enter @ w["enter"].T
+            turned = to_turned[:, t]
+            turned *= d[t]
+            if t:
+                earlier = np.matmul(turned, back)
+                later = earlier[0]
+                later += earlier[1]
+                later += earlier[2]
+                later += d[t] * hold[t]
+                later *= goes_on[t][:, None]
+                d[t - 1] += later
+        to_fresh *= d
+        flat = before.reshape(-1, h).T
+        self.step("turn", np.concatenate([flat @ part.reshape(-1, h) for part in to_turned], axis=1))
+        # the gradients of what entered are those of what turned, but for the fresh state's
+        parts = [to_turned[0].reshape(-1, h), to_turned[1].reshape(-1, h), to_fresh.reshape(-1, h)]
         used = items.ravel()
-        order = np.argsort(used, kind="stable")
-        rows, firsts = np.unique(used[order], return_index=True)
-        d_rows = np.add.reduceat(d_embedded[order], firsts, axis=0)
-        self.step("enter", w["embed"][used].T @ d_enter)
-        self.step("enter_bias", d_enter.sum(axis=0))
-        self.step("turn", held["before"].reshape(-1, h).T @ d_turned.reshape(-1, 3 * h))
-        self.step("embed", d_rows, rows)
+        embedded = self.weights["embed"][used].T
+        enter = self._by_gate("enter")
+        d_embedded = sum(part @ table.T for part, table in zip(parts, enter, strict=True))
+        self.step("enter", np.concatenate([embedded @ part for part in parts], axis=1))
+        self.step("enter_bias", np.concatenate([part.sum(axis=0) for part in parts]))
+        seen = np.bincount(used, minlength=self.layout.n_items)
+        cells = (used.astype(np.int64) * self.width)[:, None] + np.arange(self.width)
+        sums = np.bincount(cells.ravel(), d_embedded.ravel(), self.layout.n_items * self.width)
+        rows = np.flatnonzero(seen)
+        self.step("embed", sums.reshape(-1, self.width)[rows].astype(np.float32), rows)
 
     def step(self, name: str, gradient: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         squares = self.squares[name][rows] + gradient * gradient
@@ -157,16 +188,23 @@ class Network:
         w = self.weights
         share = np.float32(1.0 / max(len(targets), 1))
         goal = self.class_of[targets]
-        every = np.arange(len(targets))
-        table = states @ w["classes"]
-        table += w["class_bias"]
-        out, sums = _softmax(table, every, goal, _reach(w["classes"].T, w["class_bias"]))
-        d_states = None
-        if learn:
-            table *= (share / sums)[:, None]
-            table[every, goal] -= share
-            d_states = table @ w["classes"].T
-            d_classes, d_bias = states.T @ table, table.sum(axis=0)
+        reach = _reach(w["classes"].T, w["class_bias"])
+        out = np.empty(len(targets))
+        d_states = np.empty_like(states) if learn else None
+        d_classes, d_bias = np.zeros_like(w["classes"]), np.zeros_like(w["class_bias"])
+        # some rows at a time, so that their table stays in the cache
+        for rows in (slice(i, i + TABLE_ROWS) for i in range(0, len(targets), TABLE_ROWS)):
+            held, place = states[rows], goal[rows]
+            every = np.arange(len(place))
+            table = held @ w["classes"]
+            table += w["class_bias"]
+            out[rows], sums = _softmax(table, every, place, reach)
+            if learn:
+                table *= (share / sums)[:, None]
+                table[every, place] -= share
+                np.matmul(table, w["classes"].T, out=d_states[rows])
+                d_classes += held.T @ table
+                d_bias += table.sum(axis=0)
         in_words = np.flatnonzero((goal > 0) & (goal <= self.layout.n_word_classes))
         if len(in_words):
             self._word_outputs(states, targets, goal, in_words, out, d_states, share)
@@ -204,9 +242,10 @@ class Network:
         flat[rows, place] -= share
         d_states[order] += (table @ weights).reshape(-1, self.hidden)[rows]
         used = np.flatnonzero(blocks)
-        d_words = np.add.reduceat(table.transpose(0, 2, 1) @ held, first_block[used], axis=0)
-        self.step("word_bias", np.add.reduceat(table.sum(axis=1), first_block[used], axis=0), used)
-        self.step("words", d_words, used)
+        of_kind = (used[:, None] == block_kind).astype(np.float32)
+        d_words = of_kind @ (table.transpose(0, 2, 1) @ held).reshape(len(block_kind), -1)
+        self.step("word_bias", of_kind @ table.sum(axis=1), used)
+        self.step("words", d_words.reshape(len(used), size, self.hidden), used)
 
     def learn(self, lanes: Lanes, window: int) -> None:
         """One pass over the texts, a step of all weights per window."""
@@ -220,10 +259,10 @@ class Network:
             self.backward(part.items, part.goes_on, held, d_states)
 
     def score(self, lanes: Lanes, window: int) -> np.ndarray:
-        """Log probability (natural) of each text."""
+        """Log probability (natural) of each text; the windows are longer where few lanes run."""
         total = np.zeros(lanes.n_texts)
-        for part in lanes.windows(window, self.hidden):
-            states = self.forward(part.items, part.goes_on, part.state)["states"]
+        for part in lanes.windows(window, self.hidden, SCORED_PLACES):
+            states = self.forward(part.items, part.goes_on, part.state, keep=False)["states"]
             part.end_state = states[-1]
             used = part.targets >= 0
             logs, _ = self.outputs(states[used], part.targets[used], learn=False)
@@ -301,11 +340,14 @@ class Lanes:
         self.items[step, lane], self.targets[step, lane], self.texts[step, lane] = inputs, goals, text
         self.goes_on[step[is_first], lane[is_first]] = 0.0
 
-    def windows(self, size: int, hidden: int) -> Iterator[Window]:
+    def windows(self, size: int, hidden: int, places: int = 0) -> Iterator[Window]:
+        """Windows of ``size`` steps, or more where the running lanes would fill fewer than ``places`` places."""
         state = np.zeros((len(self.totals), hidden), np.float32)
-        for at in range(0, len(self.items), size):
+        at = 0
+        while at < len(self.items):
             running = int(np.searchsorted(-self.totals, -at, side="left"))
-            cut = (slice(at, at + size), slice(0, running))
+            end = at + max(size, places // running)
+            cut = (slice(at, end), slice(0, running))
             part = Window(self.items[cut], self.targets[cut], self.goes_on[cut], self.texts[cut], state[:running])
             yield part
-            state = part.end_state
+            state, at = part.end_state, end
