@@ -202,7 +202,7 @@ def encode(docs: DataFrame, known: Vocabulary) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shipped.value
-        number = Numbers((w, i) for i, w in enumerate(v.words))
+        number = Numbers(zip(v.words, range(len(v.words)), strict=True))
         n_rare, first_rare = v.layout.n_rare, 1 + v.layout.n_words
         # the last place of each table is that of words not stored, which are added later
         base = np.append(v.base_log(v.counts), 0.0)

@@ -17,7 +17,7 @@ END = 0  # ends a text, and is the input before its first word
 NO_WORD = -1e9  # logit of a place of a class that holds no word
 FIRST_SQUARES = 1e-6
 BLOCK = 32
-SCORED_PLACES = 8192
+LEARNED_PLACES, SCORED_PLACES = 2048, 8192
 TABLE_ROWS = 1024
 NAMES = ("embed", "enter", "enter_bias", "turn", "classes", "class_bias", "words", "word_bias")
 
@@ -248,8 +248,11 @@ class Network:
         self.step("words", d_words.reshape(len(used), size, self.hidden), used)
 
     def learn(self, lanes: Lanes, window: int) -> None:
-        """One pass over the texts, a step of all weights per window."""
-        for part in lanes.windows(window, self.hidden):
+        """One pass over the texts, a step of all weights per window.
+
+        Where few lanes run, windows are longer, so that a step sees about as many words.
+        """
+        for part in lanes.windows(window, self.hidden, LEARNED_PLACES):
             held = self.forward(part.items, part.goes_on, part.state)
             part.end_state = held["states"][-1]
             used = part.targets >= 0
