@@ -2,31 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000  # rank error of the sketch is at most rows / ACCURACY
+SLACK = 2.0  # how far the first cuts lie from a wanted position, in errors of the sketch
 MAX_PASSES = 40
 
 
 @dataclass
-class _Target:
-    """One wanted position and the value interval known to hold it."""
+class _Zones:
+    """One group's column cut into zones: cut ``i`` itself is zone ``2i + 1``, what lies before it zone ``2i``."""
 
-    group: object
-    column: str
-    probability: float
-    position: float
-    low: float
-    high: float
-    before: int = 0
-    inside: int = 0
-    slack: float = 2.0
+    n: int
+    cuts: np.ndarray
+    before: np.ndarray | None = None  # values in the zones before each zone
+    sizes: np.ndarray | None = None
+
+    def zone_of(self, values: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.cuts, values, side="left")
+        equal = np.zeros(len(values), bool)
+        inner = place < len(self.cuts)
+        equal[inner] = self.cuts[place[inner]] == values[inner]
+        return 2 * place + equal
+
+    def count(self, sizes: dict[int, int]) -> None:
+        self.sizes = np.zeros(2 * len(self.cuts) + 1, dtype=np.int64)
+        for zone, n in sizes.items():
+            self.sizes[zone] = n
+        self.before = np.cumsum(self.sizes) - self.sizes
+
+    def holding(self, rank: int) -> int:
+        """The zone of the value of this rank."""
+        return int(np.searchsorted(self.before, rank, side="right")) - 1
 
 
 def exact_quantiles(
@@ -38,12 +54,11 @@ def exact_quantiles(
 ) -> dict[tuple[object, str], list[float]]:
     """``{(group, column): [quantile, ...]}`` with linear interpolation; null and NaN are left out.
 
-    ``direct_rows`` is how many values one reducer may hold, over all wanted quantiles. If
-    every group has that few, the built-in exact percentile answers. Beyond it, a quantile
-    sketch gives an interval around each wanted position, an exact count checks it, and only
-    the values inside reach the exact percentile; an interval that still holds too many
-    values is narrowed again. Tables are only aggregated; what is shuffled are sketches and
-    the percentiles' value counts.
+    Three scans, whatever the number of quantiles: one sketch per group and column gives cuts
+    close to every wanted position; counts of the values between the cuts, found by binary
+    search, say which zone holds each position; only the values of those zones are fetched. If
+    they are more than ``direct_rows``, the zones are cut again in the same way. No table is
+    sorted or shuffled: sketches, counts per zone and the fetched values are.
     """
     columns = list(columns)
     if not columns:
@@ -52,87 +67,118 @@ def exact_quantiles(
         (F.col(by) if by else F.lit(None).cast("string")).alias("g"),
         *[F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(columns)],
     )
-    names = [f"c{i}" for i in range(len(columns))]
-    sizes = {
-        r["g"]: [r[f"n{i}"] for i in range(len(columns))]
-        for r in data.groupBy("g").agg(*[F.count(c).alias(f"n{c[1:]}") for c in names]).collect()
-    }
-    largest = max((sum(counts) for counts in sizes.values()), default=0)
-    if largest <= direct_rows:
-        rows = (
-            data.groupBy("g")
-            .agg(*[F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities])).alias(c) for c in names])
-            .collect()
-        )
-        return {(r["g"], columns[i]): list(r[f"c{i}"]) for r in rows for i in range(len(columns)) if r[f"c{i}"]}
-
-    targets = [
-        _Target(g, c, float(p), p * (counts[i] - 1), float("-inf"), float("inf"), 0, counts[i])
-        for g, counts in sizes.items()
-        for i, c in enumerate(names)
-        if counts[i]
-        for p in probabilities
-    ]
-    _narrow(data, targets, max(direct_rows // max(len(targets), 1), 1))
-    values = _positions(data, targets)
+    reach = SLACK / ACCURACY
+    ends = sorted({min(1.0, max(0.0, p + r)) for p in probabilities for r in (-reach, reach)})
+    state: dict[tuple[object, int], _Zones] = {}
+    sketches = [F.struct(F.count(f"c{i}").alias("n"), F.percentile_approx(f"c{i}", ends, ACCURACY).alias("q")).alias(f"s{i}") for i in range(len(columns))]
+    for row in data.groupBy("g").agg(*sketches).collect():
+        for i in range(len(columns)):
+            if row[f"s{i}"]["n"]:
+                state[row["g"], i] = _Zones(row[f"s{i}"]["n"], np.unique(np.array(row[f"s{i}"]["q"], dtype=float)))
+    ranks = {key: sorted({r for p in probabilities for r in _ranks(p, zones.n)}) for key, zones in state.items()}
+    for _ in range(MAX_PASSES):
+        _count_zones(data, state)
+        # a zone that is a cut holds one value, which is the cut
+        wanted = {(*key, zone) for key, zones in state.items() for r in ranks[key] if not (zone := zones.holding(r)) % 2}
+        if sum(state[g, i].sizes[zone] for g, i, zone in wanted) <= direct_rows:
+            break
+        _cut_again(data, state, ranks, wanted)
+    else:
+        raise RuntimeError(f"no exact quantiles of {columns} after {MAX_PASSES} passes")
+    values = _values_in(data, state, wanted)
     found: dict[tuple[object, str], list[float]] = {}
-    for target, value in zip(targets, values, strict=True):
-        found.setdefault((target.group, columns[int(target.column[1:])]), []).append(value)
+    for (g, i), zones in state.items():
+        at: dict[int, float] = {}
+        for r in ranks[g, i]:
+            zone = zones.holding(r)
+            at[r] = float(zones.cuts[zone // 2] if zone % 2 else values[g, i, zone][r - zones.before[zone]])
+        found[g, columns[i]] = [_between(p, zones.n, at) for p in probabilities]
     return found
 
 
-def _inside(t: _Target) -> Column:
-    return F.col("g").eqNullSafe(F.lit(t.group)) & F.col(t.column).between(t.low, t.high)
-
-
-def _narrow(data: DataFrame, targets: list[_Target], direct_rows: int) -> None:
-    pending = [t for t in targets if t.inside > direct_rows]
-    passes = 0
-    while pending:
-        passes += 1
-        if passes > MAX_PASSES:
-            raise RuntimeError(f"no exact quantile of {[t.column for t in pending]} after {MAX_PASSES} passes")
-        sketches = []
-        for i, t in enumerate(pending):
-            share = (t.position - t.before) / (t.inside - 1)
-            reach = t.slack / ACCURACY + 2.0 / t.inside
-            ends = F.array(F.lit(max(0.0, share - reach)), F.lit(min(1.0, share + reach)))
-            sketches.append(
-                F.percentile_approx(F.when(_inside(t), F.col(t.column)), ends, F.lit(ACCURACY)).alias(f"t{i}")
-            )
-        intervals = data.agg(*sketches).first()
-        checks = []
-        for i, t in enumerate(pending):
-            low, high = intervals[f"t{i}"]
-            mine = F.col("g").eqNullSafe(F.lit(t.group))
-            checks.append(F.count_if(mine & (F.col(t.column) < low)).alias(f"b{i}"))
-            checks.append(F.count_if(mine & F.col(t.column).between(low, high)).alias(f"m{i}"))
-        counted = data.agg(*checks).first()
-        again = []
-        for i, t in enumerate(pending):
-            low, high = intervals[f"t{i}"]
-            before, inside = counted[f"b{i}"], counted[f"m{i}"]
-            last = min(int(t.position) + 1, t.before + t.inside - 1)
-            if before > int(t.position) or before + inside <= last:
-                t.slack *= 4
-                again.append(t)
-                continue
-            shrunk = inside < t.inside
-            t.low, t.high, t.before, t.inside = low, high, before, inside
-            # heavy ties stop the shrinking; the percentile then holds few distinct values
-            if inside > direct_rows and low < high and shrunk:
-                again.append(t)
-        pending = again
-
-
-def _positions(data: DataFrame, targets: list[_Target]) -> list[float]:
-    exact = []
-    for i, t in enumerate(targets):
-        share = (t.position - t.before) / (t.inside - 1) if t.inside > 1 else 0.0
-        values = F.when(_inside(t), F.col(t.column))
-        exact.append(F.percentile(values, F.lit(min(1.0, max(0.0, share)))).alias(f"t{i}"))
-    row = data.agg(*exact).first()
-    return [row[f"t{i}"] for i in range(len(targets))]
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    low = int(p * (n - 1))
+    return low, min(low + 1, n - 1)
+
+
+def _between(p: float, n: int, at: dict[int, float]) -> float:
+    low, high = _ranks(p, n)
+    part = p * (n - 1) - low
+    return at[low] if part == 0 or at[low] == at[high] else at[low] * (1 - part) + at[high] * part
+
+
+def _per_group(batches: Iterator[pa.RecordBatch], keys: Sequence[tuple[object, int]]) -> Iterator[tuple[tuple[object, int], np.ndarray]]:
+    """The values of every (group, column) in each batch."""
+    groups = {g for g, _ in keys}
+    for batch in batches:
+        held = batch.column("g")
+        for g in groups:
+            mask = held.is_null() if g is None else pc.equal(held, pa.scalar(g, held.type))
+            part = batch.filter(mask)
+            for i in (i for h, i in keys if h == g):
+                yield (g, i), part.column(f"c{i}").drop_null().to_numpy(zero_copy_only=False)
+
+
+def _count_zones(data: DataFrame, state: dict[tuple[object, int], _Zones]) -> None:
+    """Count the values in every zone: one scan, one small aggregation."""
+    keys, cuts = list(state), list(state.values())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros(2 * len(z.cuts) + 1, dtype=np.int64) for z in cuts]
+        number = {key: k for k, key in enumerate(keys)}
+        for key, values in _per_group(batches, keys):
+            k = number[key]
+            totals[k] += np.bincount(cuts[k].zone_of(values), minlength=len(totals[k]))
+        rows = [(k, z, int(total[z])) for k, total in enumerate(totals) for z in np.flatnonzero(total).tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else ([], [], []))], names=["k", "zone", "n"])
+
+    sizes: dict[int, dict[int, int]] = {}
+    for r in data.mapInArrow(count, "k bigint, zone bigint, n bigint").groupBy("k", "zone").agg(F.sum("n").alias("n")).collect():
+        sizes.setdefault(r["k"], {})[r["zone"]] = r["n"]
+    for k, zones in enumerate(cuts):
+        zones.count(sizes.get(k, {}))
+
+
+def _inside(data: DataFrame, state: dict[tuple[object, int], _Zones], wanted: set[tuple[object, int, int]]) -> DataFrame:
+    """``(k, value)``: the values that lie in the wanted zones, ``k`` their number in order of the zones."""
+    order = sorted(wanted, key=lambda w: (str(w[0]), *w[1:]))
+    keys = list(dict.fromkeys(w[:2] for w in order))
+    zones = {key: state[key] for key in keys}
+    numbers = {key: {w[2]: k for k, w in enumerate(order) if w[:2] == key} for key in keys}
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, values in _per_group(batches, keys):
+            place = zones[key].zone_of(values)
+            for zone, k in numbers[key].items():
+                held = values[place == zone]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), k, np.int64)), pa.array(held)], names=["k", "value"])
+
+    return data.mapInArrow(pick, "k bigint, value double")
+
+
+def _values_in(data: DataFrame, state: dict[tuple[object, int], _Zones], wanted: set[tuple[object, int, int]]) -> dict[tuple[object, int, int], np.ndarray]:
+    """The sorted values of the wanted zones, whose number is bounded."""
+    if not wanted:
+        return {}
+    order = sorted(wanted, key=lambda w: (str(w[0]), *w[1:]))
+    fetched = _inside(data, state, wanted).toPandas()
+    return {w: np.sort(fetched["value"].to_numpy()[fetched["k"].to_numpy() == k]) for k, w in enumerate(order)}
+
+
+def _cut_again(data: DataFrame, state: dict[tuple[object, int], _Zones], ranks: dict, wanted: set[tuple[object, int, int]]) -> None:
+    """Add cuts inside the wanted zones, around the positions that they hold: one sketch per zone."""
+    order = sorted(wanted, key=lambda w: (str(w[0]), *w[1:]))
+    shares = []
+    for g, i, zone in order:
+        zones = state[g, i]
+        size, first = int(zones.sizes[zone]), int(zones.before[zone])
+        inside = [(r - first) / max(size - 1, 1) for r in ranks[g, i] if first <= r < first + size]
+        shares.append(sorted({min(1.0, max(0.0, s + e)) for s in inside for e in (-SLACK / ACCURACY, SLACK / ACCURACY)}))
+    # a sketch answers for all positions of all zones, as its shares have to be the same for every zone
+    every = sorted({s for part in shares for s in part})
+    for r in _inside(data, state, wanted).groupBy("k").agg(F.percentile_approx("value", every, ACCURACY).alias("q")).collect():
+        g, i, _ = order[r["k"]]
+        state[g, i].cuts = np.union1d(state[g, i].cuts, np.array(r["q"], dtype=float))
 
 
 @dataclass(frozen=True)
