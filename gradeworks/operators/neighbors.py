@@ -1,34 +1,33 @@
-"""Exact nearest neighbours as equi-joins of bounded blocks.
-
-Neither side is collected and no cross product of rows is formed. Training rows are
-grouped into cells around a few pivots; the triangle inequality tells which cells can
-hold a neighbour of which queries (Lu et al., "Efficient processing of k nearest
-neighbor joins using MapReduce", 2012). Inside a cell both sides are cut into blocks
-of bounded size by key hash, so a crowded cell becomes many join keys. A block pair
-yields only its k best rows per query, and a grouped limit merges those.
+"""Exact nearest neighbours by cells along a space-filling curve.
+
+Both sides are cut into blocks of rows that follow each other on a z-order curve, each with
+its bounding box. A query block meets its nearest cells first, which bounds the distance of its
+neighbours; then it meets the cells whose boxes are not farther, in order of their least
+possible distance, and skips what the kth neighbour found so far rules out. A query block moves
+once, a cell moves to the query blocks that need it, and neither side is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Accumulator, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeworks.functions.blocks import DECIMALS, TABLE, distances, matrix, nearest, nearest_rows
-from gradeworks.operators.sampling import sample_rows
 from gradeworks.session import stage
 
 METRICS = ("euclidean", "manhattan")
-BLOCK_BYTES = 8 * 1024 * 1024
-
-
-def _block_rows(n_rows: int, width: int, cores: int) -> int:
-    return max(256, min(BLOCK_BYTES // (8 * width), -(-n_rows // (4 * cores))))
+CURVE_FEATURES = 16  # the curve goes through the features of widest spread, some bits of each
+SLACK = 10.0**-DECIMALS * 10  # distances are rounded, so bounds are taken a little wider
+ANCHOR_BYTES = 64 * 1024 * 1024
+TASK_BUCKETS = 512
 
 
 def vector(columns: Sequence[str]) -> Column:
@@ -50,153 +49,260 @@ def knn_join(
     k: int,
     metric: str = "euclidean",
     label: str | None = None,
-    block_rows: int | None = None,
-    cell_rows: int = 250_000,
-    max_cells: int = 1024,
+    block_rows: int = 1024,
+    cell_rows: int = 4096,
+    max_cells: int = 50_000,
+    compared: Accumulator | None = None,
 ) -> DataFrame:
-    """``(query, neighbor, distance, rank[, label])``: the k nearest training rows per query.
+    """``(query, neighbor, distance, rank[, label])``: the k nearest training rows per query, ties to the smaller id.
 
-    Blocks hold up to ``BLOCK_BYTES`` of values; a small table is cut finer, so that
-    every core gets some.
+    Queries come in blocks of about ``block_rows`` rows, training rows in at most ``max_cells``
+    cells of at least about ``cell_rows`` rows; both are neighbours on a curve through space.
+    ``compared`` is an accumulator that counts the pairs of rows whose distance is computed.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    width = len(features)
-    q = queries.select(F.col(key).alias("id"), vector(features).alias("v"))
     class_ = F.col(label) if label else F.lit(None).cast("int")
+    q = queries.select(F.col(key).alias("id"), vector(features).alias("v"))
     t = train.select(F.col(key).alias("id"), class_.alias("label"), vector(features).alias("v"))
-
-    n_train = t.count()
-    cells = min(max_cells, -(-n_train // cell_rows))
-    if cells <= 1:
-        n_queries = q.count()
-        q, t = q.withColumn("cell", F.lit(0)), t.withColumn("cell", F.lit(0))
-        query_rows, train_rows = {0: n_queries}, {0: n_train}
-    else:
-        q, t, query_rows, train_rows = _into_cells(q, t, train, features, key, k, metric, cells)
-
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    t_size = block_rows or _block_rows(sum(train_rows.values()), width, cores)
-    q_size = block_rows or _block_rows(sum(query_rows.values()), width, cores)
-    blocks = {c: max(1, -(-train_rows.get(c, 0) // t_size)) for c in query_rows}
-    q_blocks = {c: max(1, -(-n // q_size)) for c, n in query_rows.items()}
-    packed_queries = (
-        _packed(q, q_blocks, with_label=False)
-        .withColumn("block", F.explode(F.sequence(F.lit(0), _per_cell(blocks) - 1)))
-        .select("cell", "block", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    )
-    # both sides move to the block pairs: with a broadcast the pairs would stay in the
-    # few tasks that hold the packed queries, and the work is in the pairs
-    packed_train = _packed(t, blocks, with_label=True).hint("merge")
-    pairs = packed_queries.join(packed_train, ["cell", "block"]).select(
-        "q_ids", "q_values", "ids", "labels", "values"
-    )
-
+    curve = _curve(train, features)
+    q_blocks, _ = _along_curve(q, curve, block_rows, None, "query-blocks")
+    cells, n_train = _along_curve(t, curve, cell_rows, max_cells, "train-cells")
+    boxes = _boxes(cells, len(features))
     id_type, label_type = t.schema["id"].dataType, t.schema["label"].dataType
+    visit = _Visit(len(features), k, metric, compared)
+
+    # first the nearest cells with k rows, which bound the distance of every query's neighbours
+    probes = _candidates(q_blocks, boxes, metric, F.lit(None).cast("double"), min(k, max(n_train, 1)))
+    bounds = visit.run(_meet(q_blocks, cells, probes), "block bigint, bound double", bounds_only=True)
+    bounded = q_blocks.join(bounds, "block", "left")
+    # then every cell that can hold something nearer
+    pairs = _candidates(bounded, boxes, metric, F.col("bound"), k)
     schema = T.StructType(
         [
             T.StructField("query", id_type),
             T.StructField("neighbor", id_type),
             T.StructField("distance", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
             T.StructField("label", label_type),
         ]
     )
+    found = visit.run(_meet(q_blocks, cells, pairs), schema, bounds_only=False)
+    return found if label else found.drop("label")
 
-    def best_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            for i in range(batch.num_rows):
-                q_ids, ids, labels = (columns[n][i].values for n in ("q_ids", "ids", "labels"))
-                a, b = (matrix_of(columns[n][i].values, width) for n in ("q_values", "values"))
-                id_values = ids.to_numpy(zero_copy_only=False)
-                for rows, cols, dist in nearest_rows(a, b, id_values, k, metric):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            q_ids.take(pa.array(rows)),
-                            ids.take(pa.array(cols)),
-                            pa.array(dist),
-                            labels.take(pa.array(cols)),
-                        ],
-                        names=["query", "neighbor", "distance", "label"],
-                    )
-
-    best = Window.partitionBy("query").orderBy("distance", "neighbor")
-    found = (
-        pairs.mapInArrow(best_of_pairs, schema)
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
+
+def _curve(train: DataFrame, features: Sequence[str]):
+    """A column of places on a z-order curve through the features of widest spread, for both sides."""
+    columns = [F.col(f"`{f}`").cast("double") for f in features]
+    row = train.agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.stddev_pop(c).alias("sd")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    ranges = [row[f"c{i}"] for i in range(len(features))]
+    widest = sorted(range(len(features)), key=lambda i: -(ranges[i]["sd"] or 0.0))[:CURVE_FEATURES]
+    low = np.array([ranges[i]["lo"] or 0.0 for i in widest])
+    width = np.array([(ranges[i]["hi"] or 0.0) - (ranges[i]["lo"] or 0.0) for i in widest])
+    bits = 62 // len(widest)
+
+    @F.pandas_udf("bigint")
+    def place(v: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype="int64")
+        x = (np.stack(v.to_numpy())[:, widest] - low) / np.where(width > 0, width, 1.0)
+        steps = np.clip(np.nan_to_num(x) * (1 << bits), 0, (1 << bits) - 1).astype(np.int64)
+        out = np.zeros(len(x), np.int64)
+        for bit in range(bits - 1, -1, -1):
+            for i in range(len(widest)):
+                out = (out << 1) | ((steps[:, i] >> bit) & 1)
+        return pd.Series(out)
+
+    return place
+
+
+def _along_curve(rows: DataFrame, curve, size: int, most: int | None, name: str) -> tuple[DataFrame, int]:
+    """One row per block of about ``size`` rows that follow each other on the curve, and the number of rows.
+
+    A block is a range of the curve. Where very many rows have one place, the range is several
+    blocks by hash of the id.
+    """
+    placed = stage(rows.withColumn("z", curve("v")), f"{name}-rows")
+    n = placed.count()
+    n_blocks = max(1, -(-n // max(1, size)))
+    if most is not None:
+        n_blocks = min(n_blocks, most)
+    size = max(1, -(-n // n_blocks))
+    shares = [i / n_blocks for i in range(1, n_blocks)]
+    cuts = np.unique(np.array(placed.agg(F.percentile_approx("z", shares, max(10_000, 4 * n_blocks)).alias("q")).first()["q"] or [], np.int64)) if shares else np.array([], np.int64)
+
+    @F.pandas_udf("bigint")
+    def range_of(z: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, z.to_numpy(), side="left"))
+
+    ranged = placed.withColumn("range", range_of("z"))
+    full = {r["range"]: -(-r["n"] // size) for r in ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * size).collect()}
+    starts = np.ones(len(cuts) + 1, np.int64)
+    starts[list(full)] = list(full.values())
+    starts = np.concatenate([[0], np.cumsum(starts)])
+
+    @F.pandas_udf("bigint")
+    def block_of(range_: pd.Series, code: pd.Series) -> pd.Series:
+        at = range_.to_numpy()
+        return pd.Series(starts[at] + code.to_numpy() % (starts[at + 1] - starts[at]))
+
+    code = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    fields = [c for c in ("id", "label", "v") if c in rows.columns]
+    packed = (
+        ranged.withColumn("block", block_of("range", code))
+        .groupBy("block")
+        .agg(F.collect_list(F.struct(*fields)).alias("rows"))
+        .select(
+            "block",
+            F.col("rows.id").alias("ids"),
+            *([F.col("rows.label").alias("labels")] if "label" in fields else []),
+            F.flatten(F.col("rows.v")).alias("values"),
+        )
     )
-    return found if label else found.drop("label")
+    return stage(packed, name), n
 
 
-def matrix_of(values: pa.Array, width: int) -> np.ndarray:
-    return values.to_numpy(zero_copy_only=False).reshape(-1, width)
+@dataclass(frozen=True)
+class _Boxes:
+    """Least and greatest value per feature, and number of rows, of every cell."""
 
+    cells: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    sizes: np.ndarray
 
-def _per_cell(numbers: dict[int, int]) -> Column:
-    return F.get(F.array(*[F.lit(numbers.get(c, 1)) for c in range(max(numbers, default=0) + 1)]), F.col("cell"))
+    def least_distance(self, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
+        """How near a row of each cell can be to a point of the box [low, high]."""
+        gap = np.maximum(0.0, np.maximum(self.low - high, low - self.high))
+        return gap.sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
 
 
-def _packed(rows: DataFrame, blocks: dict[int, int], with_label: bool) -> DataFrame:
-    """One row per (cell, block) with the ids, labels and values of its rows as arrays."""
-    block = F.pmod(F.xxhash64("id"), _per_cell(blocks)).cast("int")
-    fields = ["id", "label", "v"] if with_label else ["id", "v"]
-    grouped = rows.groupBy("cell", block.alias("block")).agg(F.collect_list(F.struct(*fields)).alias("rows"))
-    return grouped.select(
-        "cell",
-        "block",
-        F.col("rows.id").alias("ids"),
-        *([F.col("rows.label").alias("labels")] if with_label else []),
-        F.flatten(F.col("rows.v")).alias("values"),
-    )
+def _boxes(cells: DataFrame, width: int) -> _Boxes:
+    """The boxes of all cells, whose number is bounded."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [matrix_of(batch.column("values")[i].values, width) for i in range(batch.num_rows)]
+            data = [[x.min(axis=0) for x in held], [x.max(axis=0) for x in held], [len(x) for x in held]]
+            types = [pa.list_(pa.float64()), pa.list_(pa.float64()), pa.int64()]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), *(pa.array(d, t) for d, t in zip(data, types, strict=True))], names=["block", "low", "high", "n"])
+
+    rows = cells.select("block", "values").mapInArrow(work, "block bigint, low array<double>, high array<double>, n bigint").toPandas()
+    shape = (len(rows), width)
+    return _Boxes(
+        rows["block"].to_numpy(np.int64), np.array(rows["low"].tolist(), float).reshape(shape),
+        np.array(rows["high"].tolist(), float).reshape(shape), rows["n"].to_numpy(np.int64),
+    )
+
+
+def _candidates(q_blocks: DataFrame, boxes: _Boxes, metric: str, bound: Column, k: int) -> DataFrame:
+    """``(block, cell, least)``: per query block the cells not farther than ``bound``; without one, the nearest with ``k`` rows."""
+    shipped = q_blocks.sparkSession.sparkContext.broadcast(boxes)
+    width = boxes.low.shape[1]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                points = matrix_of(batch.column("values")[i].values, width)
+                least = known.least_distance(points.min(axis=0), points.max(axis=0), metric)
+                limit = batch.column("bound")[i].as_py()
+                if limit is None:
+                    order = np.argsort(least, kind="stable")
+                    chosen = order[: int(np.searchsorted(np.cumsum(known.sizes[order]), k)) + 1]
+                else:
+                    chosen = np.flatnonzero(least <= limit + SLACK)
+                columns = [np.full(len(chosen), batch.column("block")[i].as_py(), np.int64), known.cells[chosen], least[chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "cell", "least"])
+
+    return q_blocks.select("block", "values", bound.alias("bound")).mapInArrow(work, "block bigint, cell bigint, least double")
+
+
+def _meet(q_blocks: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Every query block, once, followed by its cells from the nearest on."""
+    sides = pairs.join(cells.withColumnRenamed("block", "cell"), "cell").select("block", "least", "ids", "labels", "values")
+    labels = F.lit(None).cast(cells.schema["labels"].dataType).alias("labels")
+    own = q_blocks.select("block", F.lit(-1.0).alias("least"), "ids", labels, "values")
+    return own.unionByName(sides).repartition("block").sortWithinPartitions("block", "least")
+
+
+class _Visit:
+    """Reads a query block and then its cells, keeping the k nearest rows of every query."""
+
+    def __init__(self, width: int, k: int, metric: str, compared: Accumulator | None):
+        self.width, self.k, self.metric, self.compared = width, k, metric, compared
+
+    def run(self, met: DataFrame, schema: str | T.StructType, bounds_only: bool) -> DataFrame:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nearest_ = None
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    least, ids = batch.column("least")[i].as_py(), batch.column("ids")[i].values
+                    points = matrix_of(batch.column("values")[i].values, self.width)
+                    if least < 0:
+                        if nearest_ is not None:
+                            yield nearest_.result(bounds_only)
+                        nearest_ = _Nearest(batch.column("block")[i].as_py(), ids, points, self, batch.schema)
+                    else:
+                        nearest_.add(least, ids, batch.column("labels")[i].values, points)
+            if nearest_ is not None:
+                yield nearest_.result(bounds_only)
+
+        return met.mapInArrow(work, schema)
+
+
+class _Nearest:
+    """The k nearest rows seen so far of each query of a block, as flat arrays in order of query, distance and id."""
+
+    def __init__(self, block: int, ids: pa.Array, points: np.ndarray, visit: _Visit, schema: pa.Schema):
+        self.block, self.ids, self.points, self.visit = block, ids, points, visit
+        self.id_type, self.label_type = schema.field("ids").type.value_type, schema.field("labels").type.value_type
+        self.rows, self.dist = np.zeros(0, np.int64), np.zeros(0)
+        self.found = ids.to_numpy(zero_copy_only=False)[:0]
+        self.labels = np.zeros(0, object)
+        self.kth = np.full(len(points), np.inf)
+
+    def add(self, least: float, ids: pa.Array, labels: pa.Array, values: np.ndarray) -> None:
+        if least > self.kth.max() + SLACK:
+            return
+        box = _Boxes(np.zeros(0), self.points, self.points, np.zeros(0))
+        # a query looks only into cells that can hold a nearer row than its kth
+        active = np.flatnonzero(box.least_distance(values.min(axis=0), values.max(axis=0), self.visit.metric) <= self.kth + SLACK)
+        if not len(active):
+            return
+        if self.visit.compared is not None:
+            self.visit.compared.add(len(active) * len(values))
+        numbers, classes = ids.to_numpy(zero_copy_only=False), np.array(labels.to_pylist(), dtype=object)
+        parts = list(nearest_rows(self.points[active], values, numbers, self.visit.k, self.visit.metric))
+        rows = np.concatenate([self.rows, *(active[r] for r, _, _ in parts)])
+        dist = np.concatenate([self.dist, *(d for _, _, d in parts)])
+        found = np.concatenate([self.found, *(numbers[c] for _, c, _ in parts)])
+        held = np.concatenate([self.labels, *(classes[c] for _, c, _ in parts)])
+        order = np.lexsort((found, dist, rows))
+        rank = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+        order, rank = order[rank < self.visit.k], rank[rank < self.visit.k]
+        self.rows, self.dist, self.found, self.labels = rows[order], dist[order], found[order], held[order]
+        last = np.flatnonzero(rank == self.visit.k - 1)
+        self.kth[self.rows[last]] = self.dist[last]
+
+    def result(self, bounds_only: bool) -> pa.RecordBatch:
+        if bounds_only:
+            return pa.RecordBatch.from_arrays([pa.array([self.block], pa.int64()), pa.array([float(self.kth.max())])], names=["block", "bound"])
+        rank = (np.arange(len(self.rows)) - np.searchsorted(self.rows, self.rows) + 1).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                self.ids.take(pa.array(self.rows)),
+                pa.array(self.found, self.id_type),
+                pa.array(self.dist),
+                pa.array(rank),
+                pa.array(self.labels, self.label_type),
+            ],
+            names=["query", "neighbor", "distance", "rank", "label"],
+        )
 
-def _into_cells(q, t, train, features, key, k, metric, cells):
-    """Assign rows to pivot cells and send each training row where it may be a neighbour."""
-    width = len(features)
-    chosen = sample_rows(train.select(key, *features), key, cells).select(vector(features).alias("v"))
-    pivots = np.array([r["v"] for r in chosen.collect()])
-    shipped = q.sparkSession.sparkContext.broadcast(pivots)
-
-    @F.pandas_udf("cell int, radius double")
-    def nearest_pivot(v: pd.Series) -> pd.DataFrame:
-        gaps = distances(np.stack(v.to_numpy()).reshape(-1, width), shipped.value, metric)
-        cell = gaps.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "radius": gaps[np.arange(len(gaps)), cell]})
-
-    # written once: the counts and bounds below read only cell and radius
-    q = stage(q.withColumn("at", nearest_pivot("v")).select("*", "at.cell", "at.radius").drop("at"), "knn-queries")
-    t = stage(t.withColumn("at", nearest_pivot("v")).select("*", "at.cell", "at.radius").drop("at"), "knn-train")
-
-    reach = {r["cell"]: (r["n"], r["radius"]) for r in q.groupBy("cell").agg(F.count("id").alias("n"), F.max("radius").alias("radius")).collect()}
-    inner = Window.partitionBy("cell").orderBy("radius")
-    smallest: dict[int, list[float]] = {}
-    for r in t.select("cell", "radius", F.row_number().over(inner).alias("n")).where(F.col("n") <= k).collect():
-        smallest.setdefault(r["cell"], []).append(r["radius"])
-
-    n = len(pivots)
-    apart = distances(pivots, pivots, metric)
-    slack = 10.0**-DECIMALS * 10
-    lowest, highest = np.full((n, n), np.inf), np.full((n, n), -np.inf)
-    for i, (_, radius) in reach.items():
-        upper = np.sort(np.concatenate([radius + apart[i, j] + np.array(s) for j, s in smallest.items()]))
-        # every query of cell i has its k nearest rows within this distance
-        bound = upper[min(k, len(upper)) - 1]
-        lowest[:, i] = apart[i] - radius - bound - slack
-        highest[:, i] = apart[i] + radius + bound + slack
-    limits = q.sparkSession.sparkContext.broadcast((lowest, highest))
-
-    @F.pandas_udf("array<int>")
-    def candidate_cells(cell: pd.Series, radius: pd.Series) -> pd.Series:
-        low, high = limits.value
-        r = radius.to_numpy()[:, None]
-        hit = (low[cell] <= r) & (r <= high[cell])
-        return pd.Series([np.flatnonzero(h).astype("int32") for h in hit])
-
-    targets = candidate_cells("cell", "radius")
-    sent = {r["to"]: r["n"] for r in t.select(F.explode(targets).alias("to")).groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}
-    t = t.select("id", "label", "v", F.explode(targets).alias("cell"))
-    return q.select("id", "v", "cell"), t, {c: n for c, (n, _) in reach.items()}, sent
+
+def matrix_of(values: pa.Array, width: int) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 def nearest_to_anchors(
@@ -211,11 +317,14 @@ def nearest_to_anchors(
 ) -> DataFrame:
     """``(anchor, label, neighbor, distance, rank)``: per anchor the k nearest rows of each class.
 
-    The anchors are a sample of fixed size, so they travel to the rows. A task keeps
-    k rows per anchor and class while it reads its partition and emits only those;
-    the anchor itself is never its own neighbour.
+    The anchors are a sample of bounded size, so they travel to the rows. A task keeps
+    k rows per anchor and class while it reads its partition and emits only those; they are
+    merged in two steps, first those of some tasks, so that no group holds the rows of all.
+    The anchor itself is never its own neighbour.
     """
     width = len(features)
+    if len(anchors) * (8 * width + 8) > ANCHOR_BYTES:
+        raise ValueError(f"{len(anchors)} anchors of {width} features are more than tasks can hold")
     rows = df.select(
         F.col(key).alias("id"), F.col(label).alias("label"), (scaled if scaled is not None else vector(features)).alias("v")
     ).where(F.col("label").isNotNull())
@@ -228,6 +337,7 @@ def nearest_to_anchors(
             T.StructField("label", rows.schema["label"].dataType),
             T.StructField("neighbor", rows.schema["id"].dataType),
             T.StructField("distance", T.DoubleType()),
+            T.StructField("bucket", T.IntegerType()),
         ]
     )
 
@@ -258,16 +368,17 @@ def nearest_to_anchors(
                     pa.array([c] * len(kept), type=types["label"]),
                     pa.array(kept["neighbor"].to_numpy(), type=types["id"]),
                     pa.array(kept["distance"].to_numpy()),
+                    pa.array(np.full(len(kept), TaskContext.get().partitionId() % TASK_BUCKETS, np.int32)),
                 ],
-                names=["anchor", "label", "neighbor", "distance"],
+                names=["anchor", "label", "neighbor", "distance", "bucket"],
             )
 
-    order = Window.partitionBy("anchor", "label").orderBy("distance", "neighbor")
-    return (
-        rows.mapInArrow(best_of_partition, schema)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-    )
+    def best(found: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy("distance", "neighbor")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    some = best(rows.mapInArrow(best_of_partition, schema), "anchor", "label", "bucket").drop("bucket", "rank")
+    return best(some, "anchor", "label")
 
 
 def knn_votes(neighbors: DataFrame, classes: Sequence[int], weights: str = "uniform") -> DataFrame:

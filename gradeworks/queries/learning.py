@@ -359,13 +359,13 @@ RELIEF_SQL = """WITH flat AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS
   FROM embeddings),
 spans AS (SELECT dim, min(raw) AS lo, max(raw) - min(raw) AS width FROM flat GROUP BY dim),
 scaled AS (SELECT vec_id, label, flat.dim, (raw - lo) / CASE WHEN width = 0 THEN 1 ELSE width END AS x FROM flat JOIN spans ON flat.dim = spans.dim),
-anchors AS (SELECT vec_id FROM embeddings ORDER BY md5(concat('42|', CAST(vec_id AS VARCHAR))) LIMIT 50),
+anchors AS (SELECT vec_id FROM embeddings ORDER BY md5(concat('42|', CAST(vec_id AS VARCHAR))) LIMIT 500),
 picked AS (SELECT s.* FROM scaled s JOIN anchors a ON s.vec_id = a.vec_id),
 gaps AS (SELECT p.vec_id AS anchor, p.label AS y, s.vec_id AS neighbor, s.label, round(sum(abs(p.x - s.x)), 9) AS distance
   FROM picked p JOIN scaled s ON p.dim = s.dim AND p.vec_id <> s.vec_id GROUP BY ALL),
-near AS (SELECT *, row_number() OVER (PARTITION BY anchor, label ORDER BY distance, neighbor) AS rank FROM gaps QUALIFY rank <= 5),
+near AS (SELECT *, row_number() OVER (PARTITION BY anchor, label ORDER BY distance, neighbor) AS rank FROM gaps QUALIFY rank <= 10),
 priors AS (SELECT label, count(*)::DOUBLE / sum(count(*)) OVER () AS p FROM embeddings GROUP BY label),
-weights AS (SELECT anchor, neighbor, CASE WHEN y = near.label THEN -1.0 ELSE c.p / (1 - o.p) END / 250 AS w
+weights AS (SELECT anchor, neighbor, CASE WHEN y = near.label THEN -1.0 ELSE c.p / (1 - o.p) END / (10 * (SELECT count(*) FROM anchors)) AS w
   FROM near JOIN priors c ON near.label = c.label JOIN priors o ON near.y = o.label),
 relief AS (SELECT CAST(a.dim AS INTEGER) AS ordinal, concat('e', a.dim) AS feature, sum(w * abs(a.x - b.x)) AS score
   FROM weights JOIN scaled a ON a.vec_id = anchor JOIN scaled b ON b.vec_id = neighbor AND b.dim = a.dim GROUP BY a.dim)
@@ -375,7 +375,7 @@ relief AS (SELECT CAST(a.dim AS INTEGER) AS ordinal, concat('e', a.dim) AS featu
 def _anchors(rows: DataFrame) -> list[tuple[int, list[float]]]:
     ranges = scaling.fit_min_range(rows, DIMENSIONS)
     point = F.array(*[scaling.min_max(c, *ranges[c]) for c in DIMENSIONS])
-    chosen = sample_rows(rows, "vec_id", 50).select("vec_id", point.alias("v"))
+    chosen = sample_rows(rows, "vec_id", 500).select("vec_id", point.alias("v"))
     return point, [(r["vec_id"], r["v"]) for r in chosen.collect()]
 
 
@@ -386,7 +386,7 @@ def _anchors(rows: DataFrame) -> list[tuple[int, list[float]]]:
 def near_hits_and_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vectors(spark, sf_dir)
     point, anchors = _anchors(rows)
-    return rounded(neighbors.nearest_to_anchors(rows, DIMENSIONS, "vec_id", "label", anchors, 5, scaled=point))
+    return rounded(neighbors.nearest_to_anchors(rows, DIMENSIONS, "vec_id", "label", anchors, 10, scaled=point))
 
 
 @query(
@@ -399,7 +399,7 @@ def nearest_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _relief(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.relief_scores(vectors(spark, sf_dir), DIMENSIONS, "vec_id", "label", 5, 50)
+    return selection.relief_scores(vectors(spark, sf_dir), DIMENSIONS, "vec_id", "label")
 
 
 @query("ml06_relief_scores", RELIEF_SQL + "SELECT feature, ordinal, round(score, 6) AS score FROM relief")
