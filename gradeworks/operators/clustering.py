@@ -1,25 +1,28 @@
-"""K-means cluster features."""
+"""K-means cluster features.
+
+All starts and all numbers of clusters are moved by the same scans of the rows.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeworks.operators.learner import in_parallel
+from gradeworks.functions.blocks import matrix
 from gradeworks.operators.neighbors import row_distance, vector
 from gradeworks.operators.sampling import sample_rows
-from gradeworks.session import spread
-
-POINT = "_point"
-
+from gradeworks.session import scratch, stage
 
-def _assembled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol=POINT, handleInvalid="error").transform(df)
+START_ROWS = 10_000
+MAX_STEPS = 300
+TOLERANCE = 1e-4
+STEP_ROWS = 4096
 
 
 def nearest_centroid(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
@@ -69,32 +72,104 @@ class Clusters:
         return cluster_dummies(self.assign(df).drop("distance"), self.k)
 
 
-def _fit_once(points: DataFrame, k: int, seed: int) -> KMeansModel:
-    return KMeans(k=k, featuresCol=POINT, initMode="k-means||", seed=seed, maxIter=300, tol=1e-4).fit(points)
-
-
-def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42, parallelism: int = 4) -> Clusters:
-    """K-means from several starts; the one with the least cost is kept."""
-    points = spread(_assembled(df.select(*columns), columns).select(POINT))
+def _first_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ on sampled rows: each next center is drawn by squared distance to those before it."""
+    draw = np.random.default_rng(seed)
+    centers = [sample[draw.integers(len(sample))]]
+    nearest = ((sample - centers[0]) ** 2).sum(axis=1)
+    while len(centers) < k:
+        total = nearest.sum()
+        # once every sampled row is a center, further centers repeat some
+        at = draw.choice(len(sample), p=nearest / total) if total > 0 else draw.integers(len(sample))
+        centers.append(sample[at])
+        nearest = np.minimum(nearest, ((sample - centers[-1]) ** 2).sum(axis=1))
+    return np.array(centers)
+
+
+def _step(points: DataFrame, starts: Mapping[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """For every set of centers the rows and sums of each cluster and the cost: one scan for all sets."""
+    width = next(iter(starts.values())).shape[1]
+    held = dict(starts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {s: np.zeros((len(c), width + 2)) for s, c in held.items()}
+        for batch in batches:
+            values = matrix(batch.column(0), width)
+            for x in (values[i : i + STEP_ROWS] for i in range(0, len(values), STEP_ROWS)):
+                for s, centers in held.items():
+                    squares = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+                    at = squares.argmin(axis=1)
+                    totals[s][:, 0] += np.bincount(at, minlength=len(centers))
+                    totals[s][:, 1] += np.bincount(at, squares[np.arange(len(x)), at], len(centers))
+                    for j in range(width):
+                        totals[s][:, 2 + j] += np.bincount(at, x[:, j], len(centers))
+        for s, table in totals.items():
+            columns = [np.full(len(table), s), np.arange(len(table)), *table.T]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    sums = ["n", "cost", *(f"s{j}" for j in range(width))]
+    names = ["start", "center", *sums]
+    schema = "start bigint, center bigint, " + ", ".join(f"{c} double" for c in sums)
+    rows = points.mapInArrow(work, schema).groupBy("start", "center").agg(*[F.sum(c).alias(c) for c in sums]).toPandas()
+    out = {}
+    for s, centers in held.items():
+        mine = rows[rows["start"] == s].sort_values("center")
+        n, cost = mine["n"].to_numpy(), float(mine["cost"].sum())
+        total = mine[sums[2:]].to_numpy()
+        # a center without rows stays where it is
+        moved = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centers)
+        out[s] = (n, moved, cost)
+    return out
+
+
+def _fit_all(df: DataFrame, columns: Sequence[str], sizes: Mapping[int, int], seeds: Mapping[int, int]) -> dict[int, tuple[np.ndarray, float]]:
+    """Centers and cost of every start (number of clusters in ``sizes``), all moved by the same scans.
+
+    First centers come from a sample of ``START_ROWS`` rows, in hash order. A start whose
+    centers have settled takes no further part; the last scan gives the costs of all.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in columns])
+    order = F.xxhash64(F.lit(min(seeds.values(), default=0)), *[F.col(f"`{c}`") for c in df.columns])
+    points = stage(df.select(vector(columns).alias("v"), order.alias("o"), missing.alias("missing")), "cluster-points")
+    if not points.where("missing").isEmpty():
+        raise ValueError(f"rows without a value in one of {list(columns)} cannot be clustered; fill them first")
+    sample = np.array([r["v"] for r in points.orderBy("o").limit(START_ROWS).select("v").collect()], dtype=float).reshape(-1, len(columns))
+    if not len(sample):
+        raise ValueError("there are no rows to cluster")
+    rows = points.select("v").persist()
     try:
-        starts = [lambda s=s: _fit_once(points, k, s) for s in range(seed, seed + restarts)]
-        best = min(in_parallel(starts, parallelism), key=lambda m: m.summary.trainingCost)
-        centers = tuple(tuple(float(x) for x in c) for c in best.clusterCenters())
-        return Clusters(tuple(columns), centers, float(best.summary.trainingCost))
+        centers = {s: _first_centers(sample, k, seeds[s]) for s, k in sizes.items()}
+        moving = dict(centers)
+        for _ in range(MAX_STEPS):
+            done = _step(rows, moving)
+            still = {}
+            for s, (_, moved, _) in done.items():
+                far = ((moved - centers[s]) ** 2).sum(axis=1).max()
+                centers[s] = moved
+                if far > TOLERANCE**2:
+                    still[s] = moved
+            moving = still
+            if not moving:
+                break
+        return {s: (centers[s], cost) for s, (_, _, cost) in _step(rows, centers).items()}
     finally:
-        points.unpersist()
+        rows.unpersist()
+
+
+def fit_clusters(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, seed: int = 42) -> Clusters:
+    """K-means from several starts, moved together; the one with the least cost is kept, of equal ones the first."""
+    with scratch(df.sparkSession):
+        found = _fit_all(df, columns, dict.fromkeys(range(restarts), k), {s: seed + s for s in range(restarts)})
+    centers, cost = min(found.values(), key=lambda x: x[1])
+    return Clusters(tuple(columns), tuple(tuple(float(x) for x in c) for c in centers), float(cost))
 
 
 def elbow(
     df: DataFrame, columns: Sequence[str], key: str, max_k: int = 10, sample_size: int = 30_000, seed: int = 42
 ) -> DataFrame:
-    """``(k, inertia)`` for k = 2 .. max_k, one start each, on a fixed-size sample."""
-    sample = sample_rows(df.select(key, *columns), key, sample_size, seed)
-    points = spread(_assembled(sample, columns).select(POINT))
-    try:
-        costs = []
-        for k in range(2, max_k + 1):
-            costs.append((k, float(_fit_once(points, k, seed).summary.trainingCost)))
-    finally:
-        points.unpersist()
-    return df.sparkSession.createDataFrame(costs, "k int, inertia double")
+    """``(k, inertia)`` for k = 2 .. max_k, one start each, all moved together, on a fixed-size sample."""
+    sizes = {k: k for k in range(2, max_k + 1)}
+    with scratch(df.sparkSession):
+        sample = sample_rows(df.select(key, *columns), key, sample_size, seed)
+        found = _fit_all(sample, columns, sizes, dict.fromkeys(sizes, seed))
+    return df.sparkSession.createDataFrame([(k, float(cost)) for k, (_, cost) in sorted(found.items())], "k int, inertia double")
