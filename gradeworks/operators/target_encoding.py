@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gradeworks.functions.hash_order import Cuts, segment
 from gradeworks.operators.sampling import fold_cuts
-from gradeworks.session import broadcast_if_small, stage
+from gradeworks.session import lookup_join, stage
 
 N_FOLDS = 5
 
@@ -114,8 +114,7 @@ class TargetEncoder:
 
 
 def _replace(df: DataFrame, table: DataFrame, on: list[str], column: str, unseen: Column) -> DataFrame:
-    # a hot category stays where its rows are as long as the table's counted rows may be broadcast
-    joined = df.join(broadcast_if_small(table, table.count(), 32), on, "left")
+    joined = lookup_join(df, table, on, table.count(), 32)
     value = F.coalesce(F.col("encoding"), unseen)
     return joined.select(*[value.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns])
 

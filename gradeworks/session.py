@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MAX_HOT_KEYS, MIN_HOT_ROWS = 1000, 10_000
+SALTS = 64
+SPREAD_PARTS, SPREAD_ROWS = 4096, 2048
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,19 +82,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(conf).delete(path, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Persisted rows in at least one partition per core, for work that is bound by computing.
+def spread(df: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Persisted rows dealt by key to parts whose number follows the rows alone, for work bound by computing.
 
-    A small table often sits in one file and would be trained on by one task.
+    A small table often sits in one file and would be trained on by one task. Rows of a part
+    are in order of the key, so that a seeded fit does not depend on the cluster.
     """
-    rows = df.persist()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    even = rows.repartition(cores).persist()
-    even.count()
-    rows.unpersist()
-    return even
+    parts = max(1, min(SPREAD_PARTS, -(-n_rows // SPREAD_ROWS)))
+    return df.repartition(parts, key).sortWithinPartitions(key).persist()
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
@@ -102,3 +101,25 @@ def broadcast_if_small(df: DataFrame, n_rows: int, row_bytes: int) -> DataFrame:
     if n_rows <= MAX_BROADCAST_ROWS and n_rows * row_bytes <= MAX_BROADCAST_BYTES:
         return F.broadcast(df)
     return df
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], n_right: int, row_bytes: int) -> DataFrame:
+    """Left join with a table of unique keys, safe when a few keys, or null, hold most rows of ``left``.
+
+    A right side of few counted rows is broadcast. Otherwise the rows of the hottest keys, at
+    most ``MAX_HOT_KEYS``, and those without a key are dealt to ``SALTS`` parts, and a hot key's
+    one row on the right is repeated for each part; all other rows meet by hash.
+    """
+    small = broadcast_if_small(right, n_right, row_bytes)
+    if small is not right:
+        return left.join(small, on, "left")
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    counts = left.where(~keyless).groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MIN_HOT_ROWS)
+    hottest = counts.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).drop("n").collect()
+    spark, kinds = left.sparkSession, left.select(*on).schema
+    marks = F.broadcast(spark.createDataFrame(hottest, kinds).withColumn("_hot", F.lit(True)))
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(SALTS)).cast("int")
+    dealt = left.join(marks, on, "left").withColumn("_salt", F.when(F.col("_hot") | keyless, part).otherwise(0)).drop("_hot")
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(marks, on, "left").withColumn("_salt", F.explode(parts)).drop("_hot")
+    return dealt.join(repeated, [*on, "_salt"], "left").drop("_salt")
