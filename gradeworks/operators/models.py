@@ -6,11 +6,8 @@ Each ``transform`` adds ``prediction`` (a class of the label column) and
 
 from __future__ import annotations
 
-import json
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -22,15 +19,29 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeworks.operators.binned import (
+    MAX_BINS,
+    SLIGHT,
+    Binned,
+    GrownTree,
+    bin_cuts,
+    bin_rows,
+    calls_of,
+    grow,
+    store_weights,
+    tree_rows,
+    trees_of,
+)
 from gradeworks.operators.learner import TableParams, class_sizes
 from gradeworks.operators.neighbors import knn_join, knn_votes
-from gradeworks.session import checkpointed, spread, stage
+from gradeworks.operators.persistence import Stateful
+from gradeworks.session import scratch, spread, stage
 
 DEEPEST = 30  # deepest tree Spark ML grows; stands for "no limit"
-MAX_BINS = 128
 POINT, CLASS, WEIGHT = "_point", "_class", "_weight"
 
 
@@ -64,7 +75,7 @@ def balanced_weight(sizes: dict[int, int], label: str) -> Column:
     return weight
 
 
-class _Fitted(Model, TableParams):
+class _Fitted(Model, TableParams, Stateful):
     """Common part of the fitted classifiers."""
 
     def __init__(self, key: str = "key", label: str = "label", features=(), classes=()):
@@ -73,22 +84,12 @@ class _Fitted(Model, TableParams):
         self.features = list(features)
         self.classes = list(classes)
 
-    def _head(self) -> dict:
-        return {
-            "kind": type(self).__name__,
-            "key": self.key,
-            "label": self.label,
-            "features": self.features,
-            "classes": self.classes,
-        }
+    def _state(self) -> dict:
+        return {"key": self.key, "label": self.label, "features": self.features, "classes": [int(c) for c in self.classes]}
 
     def save_to(self, path: str) -> None:
-        raise NotImplementedError
-
-    def _write_head(self, path: str, **more) -> None:
-        spark = SparkSession.getActiveSession()
-        head = json.dumps({**self._head(), **more})
-        spark.createDataFrame([(head,)], "head string").write.mode("overwrite").parquet(f"{path}/head")
+        """Save, over what is there."""
+        self.write().overwrite().save(path)
 
 
 class TreeModel(_Fitted):
@@ -111,19 +112,20 @@ class TreeModel(_Fitted):
         weights = self.inner.featureImportances
         return {f: float(weights[i]) for i, f in enumerate(self.features)}
 
-    def save_to(self, path: str) -> None:
-        forest = isinstance(self.inner, RandomForestClassificationModel)
-        self._write_head(path, forest=forest)
+    def _state(self) -> dict:
+        return super()._state() | {"forest": isinstance(self.inner, RandomForestClassificationModel)}
+
+    def _save_tables(self, spark: SparkSession, path: str) -> None:
         self.inner.write().overwrite().save(f"{path}/trees")
 
     @classmethod
-    def load_from(cls, spark: SparkSession, path: str, head: dict) -> TreeModel:
-        kind = RandomForestClassificationModel if head["forest"] else DecisionTreeClassificationModel
-        return cls(kind.load(f"{path}/trees"), **_common(head))
+    def _of_state(cls, state: dict, spark: SparkSession, path: str) -> TreeModel:
+        kind = RandomForestClassificationModel if state["forest"] else DecisionTreeClassificationModel
+        return cls(kind.load(f"{path}/trees"), **_common(state))
 
 
-def _common(head: dict) -> dict:
-    return {n: head[n] for n in ("key", "label", "features", "classes")}
+def _common(state: dict) -> dict:
+    return {n: state[n] for n in ("key", "label", "features", "classes")}
 
 
 class _TreeParams(TableParams):
@@ -154,17 +156,16 @@ class _TreeParams(TableParams):
         if wanted not in (None, "balanced"):
             raise ValueError("class_weight must be None or 'balanced'")
         rows = assembled(df.where(F.col(self.label).isNotNull()), features)
-        columns = [POINT, class_index(list(sizes), self.label)]
+        columns = [self.key, POINT, class_index(list(sizes), self.label)]
         if wanted:
             columns.append(balanced_weight(sizes, self.label).alias(WEIGHT))
-        return rows.select(*columns), features, list(sizes), bool(wanted)
+        # the count, the split candidates and the growing of the trees each read the rows
+        return spread(rows.select(*columns), self.key, sum(sizes.values())), features, list(sizes), bool(wanted)
 
     def _fit_inner(self, estimator, df: DataFrame) -> TreeModel:
         rows, features, classes, weighted = self._training_rows(df)
         if weighted:
             estimator = estimator.setWeightCol(WEIGHT)
-        # the count, the split candidates and the growing of the trees each read the rows
-        rows = spread(rows)
         try:
             inner = estimator.fit(rows)
         finally:
@@ -201,51 +202,8 @@ class Tree(Estimator, _TreeParams):
         return self._fit_inner(DecisionTreeClassifier(**self._tree_settings()), df)
 
 
-def tree_paths(tree: DecisionTreeClassificationModel) -> list[tuple[int, float, int, int, float]]:
-    """Nodes of a fitted tree as (feature, threshold, left, right, call); feature -1 marks a leaf.
-
-    Features are all continuous here, so every split is a threshold.
-    """
-    nodes: list[tuple[int, float, int, int, float]] = []
-
-    def visit(node) -> int:
-        at = len(nodes)
-        nodes.append((-1, 0.0, -1, -1, float(node.prediction())))
-        if node.subtreeDepth() > 0:
-            split = node.split()
-            left, right = visit(node.leftChild()), visit(node.rightChild())
-            nodes[at] = (split.featureIndex(), split.threshold(), left, right, float(node.prediction()))
-        return at
-
-    visit(tree._java_obj.rootNode())
-    return nodes
-
-
-def tree_calls(df: DataFrame, trees: list[DecisionTreeClassificationModel]) -> DataFrame:
-    """Add ``_calls``: the class index that each tree calls, all trees in one step over Arrow batches.
-
-    One ``transform`` per tree would make a plan as deep as there are trees.
-    """
-    tables = [tuple(np.array(c) for c in zip(*tree_paths(t), strict=True)) for t in trees]
-
-    @F.pandas_udf("array<double>")
-    def calls(points: pd.Series) -> pd.Series:
-        x = np.array(points.tolist(), dtype=float)
-        out = np.empty((len(x), len(tables)))
-        for i, (feature, threshold, left, right, call) in enumerate(tables):
-            at = np.zeros(len(x), np.int64)
-            rows = np.arange(len(x))
-            while len(rows := rows[feature[at[rows]] >= 0]):
-                node = at[rows]
-                at[rows] = np.where(x[rows, feature[node]] <= threshold[node], left[node], right[node])
-            out[:, i] = call[at]
-        return pd.Series(list(out))
-
-    return df.withColumn("_calls", calls(vector_to_array(POINT)))
-
-
 class BoostedModel(_Fitted):
-    """Weighted vote of trees."""
+    """Weighted vote of trees, all evaluated in one step over Arrow batches."""
 
     def __init__(self, trees, votes, **common):
         super().__init__(**common)
@@ -255,7 +213,7 @@ class BoostedModel(_Fitted):
     def _transform(self, df: DataFrame) -> DataFrame:
         k, total = len(self.classes), sum(self.votes)
         # a class gets a tree's vote where the tree calls it and loses 1/(k-1) of it elsewhere
-        out = tree_calls(assembled(df, self.features), self.trees)
+        out = assembled(df, self.features).withColumn("_calls", calls_of(self.trees)(vector_to_array(POINT)))
         votes = F.array(*[F.lit(float(v) / total) for v in self.votes])
         weighed = F.arrays_zip(F.col("_calls").alias("call"), votes.alias("vote"))
 
@@ -272,67 +230,58 @@ class BoostedModel(_Fitted):
             .drop(POINT, "_powers", "_calls")
         )
 
-    def save_to(self, path: str) -> None:
-        self._write_head(path, votes=self.votes)
-        for i, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/tree-{i}")
+    def _state(self) -> dict:
+        return super()._state() | {"votes": self.votes}
+
+    def _save_tables(self, spark: SparkSession, path: str) -> None:
+        spark.createDataFrame(tree_rows(self.trees)).coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
 
     @classmethod
-    def load_from(cls, spark: SparkSession, path: str, head: dict) -> BoostedModel:
-        trees = [DecisionTreeClassificationModel.load(f"{path}/tree-{i}") for i in range(len(head["votes"]))]
-        return cls(trees, head["votes"], **_common(head))
+    def _of_state(cls, state: dict, spark: SparkSession, path: str) -> BoostedModel:
+        return cls(trees_of(spark.read.parquet(f"{path}/trees").toPandas()), state["votes"], **_common(state))
 
 
 class BoostedTrees(Estimator, TableParams):
-    """Multi-class boosting of shallow trees (Zhu et al., "Multi-class AdaBoost", 2009)."""
+    """Multi-class boosting of shallow trees (Zhu et al., "Multi-class AdaBoost", 2009).
+
+    Features are cut into at most ``max_bins`` bins once. A round is one aggregation per level
+    of its tree, over the stored weights times what the rounds since then did to them; every
+    ``checkpoint_every`` rounds the weights are stored anew, so a round's time does not grow.
+    """
 
     n_estimators = _param("n_estimators", "most rounds", TypeConverters.toInt)
     learning_rate = _param("learning_rate", "shrinks every vote", TypeConverters.toFloat)
     base_estimator_max_depth = _param("base_estimator_max_depth", "depth of each tree", TypeConverters.toInt)
-    checkpoint_every = _param("checkpoint_every", "rounds between checkpoints of the weights", TypeConverters.toInt)
+    checkpoint_every = _param("checkpoint_every", "rounds between stored weights", TypeConverters.toInt)
+    max_bins = _param("max_bins", "bins per feature, at most 256", TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, keyCol="key", labelCol="label", n_estimators=300, learning_rate=1.0,
-                 base_estimator_max_depth=1, checkpoint_every=10, seed=42):
+                 base_estimator_max_depth=1, checkpoint_every=10, max_bins=MAX_BINS, seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
         self._setDefault(keyCol="key", labelCol="label", n_estimators=300, learning_rate=1.0,
-                         base_estimator_max_depth=1, checkpoint_every=10, seed=42)
+                         base_estimator_max_depth=1, checkpoint_every=10, max_bins=MAX_BINS, seed=42)
 
     def _fit(self, df: DataFrame) -> BoostedModel:
         features, sizes = self.features_of(df), class_sizes(df, self.label)
-        classes = list(sizes)
-        rows = spread(
-            assembled(df.where(F.col(self.label).isNotNull()), features).select(
-                POINT, class_index(classes, self.label), F.lit(1.0 / sum(sizes.values())).alias(WEIGHT)
-            )
-        )
-        try:
-            trees, votes = self._boost(rows, len(classes))
-        finally:
-            rows.unpersist()
+        classes, bins = list(sizes), self.getOrDefault(self.max_bins)
+        known = df.where(F.col(self.label).isNotNull())
+        with scratch(df.sparkSession):
+            rows = assembled(known, features).select(POINT, class_index(classes, self.label))
+            binned = bin_rows(rows, POINT, CLASS, bin_cuts(known, features, bins), len(classes), bins)
+            trees, votes = self._boost(binned, len(classes))
         return BoostedModel(trees, votes, key=self.key, label=self.label, features=features, classes=classes)
 
-    def _boost(self, weights: DataFrame, k: int) -> tuple[list, list[float]]:
-        rate = self.getOrDefault(self.learning_rate)
-        trees, votes, held = [], [], []
+    def _boost(self, binned: Binned, k: int) -> tuple[list[GrownTree], list[float]]:
+        rate, every = self.getOrDefault(self.learning_rate), self.getOrDefault(self.checkpoint_every)
+        trees: list[GrownTree] = []
+        votes: list[float] = []
+        since: list[tuple[GrownTree, float]] = []  # trees whose factors the stored weights lack
         for round_ in range(self.getOrDefault(self.n_estimators)):
-            # a round reads its weights several times; once it has them, those of the round before can go
-            weights = weights.persist()
-            held.append(weights)
-            tree = DecisionTreeClassifier(
-                featuresCol=POINT, labelCol=CLASS, weightCol=WEIGHT, predictionCol="_call",
-                probabilityCol="_probability", rawPredictionCol="_raw", maxBins=MAX_BINS,
-                maxDepth=self.getOrDefault(self.base_estimator_max_depth), seed=self.getOrDefault(self.seed) + round_,
-            ).fit(weights)
-            missed = tree.copy().setProbabilityCol("").setRawPredictionCol("").transform(weights)
-            wrong = F.col("_call") != F.col(CLASS)
-            sums = missed.agg(F.sum(F.when(wrong, F.col(WEIGHT)).otherwise(0.0)).alias("lost"), F.sum(WEIGHT).alias("all")).first()
-            for old in held[:-1]:
-                old.unpersist()
-            held = held[-1:]
-            error = sums["lost"] / sums["all"]
-            if error <= 0:
+            tree, missed, total = grow(binned, self.getOrDefault(self.base_estimator_max_depth), since)
+            error = missed / total
+            if error <= SLIGHT:
                 trees.append(tree)
                 votes.append(1.0)
                 break
@@ -343,15 +292,9 @@ class BoostedTrees(Estimator, TableParams):
             vote = rate * (math.log((1 - error) / error) + math.log(k - 1))
             trees.append(tree)
             votes.append(vote)
-            # the new total is known from the two sums, so rescaling needs no further scan
-            total = sums["all"] - sums["lost"] + sums["lost"] * math.exp(vote)
-            weights = missed.select(
-                POINT, CLASS, (F.col(WEIGHT) * F.when(wrong, F.lit(math.exp(vote))).otherwise(1.0) / total).alias(WEIGHT)
-            )
-            if (round_ + 1) % self.getOrDefault(self.checkpoint_every) == 0:
-                weights = checkpointed(weights)
-        for old in held:
-            old.unpersist()
+            since.append((tree, math.exp(vote)))
+            if len(since) == every:
+                binned, since = store_weights(binned, since, total - missed + missed * math.exp(vote)), []
         return trees, votes
 
 
@@ -368,14 +311,16 @@ class NeighborsModel(_Fitted):
         votes = knn_votes(found, self.classes, self.weights).withColumnRenamed("query", self.key)
         return df.join(votes, self.key, "inner")
 
-    def save_to(self, path: str) -> None:
-        self._write_head(path, n_neighbors=self.n_neighbors, weights=self.weights, metric=self.metric)
+    def _state(self) -> dict:
+        return super()._state() | {"n_neighbors": self.n_neighbors, "weights": self.weights, "metric": self.metric}
+
+    def _save_tables(self, spark: SparkSession, path: str) -> None:
         self.train.write.mode("overwrite").parquet(f"{path}/train")
 
     @classmethod
-    def load_from(cls, spark: SparkSession, path: str, head: dict) -> NeighborsModel:
+    def _of_state(cls, state: dict, spark: SparkSession, path: str) -> NeighborsModel:
         train = spark.read.parquet(f"{path}/train")
-        return cls(train, head["n_neighbors"], head["weights"], head["metric"], **_common(head))
+        return cls(train, state["n_neighbors"], state["weights"], state["metric"], **_common(state))
 
 
 class Neighbors(Estimator, TableParams):
@@ -401,7 +346,6 @@ class Neighbors(Estimator, TableParams):
 
 
 MODELS = {"rf": Forest, "knn": Neighbors, "ada": BoostedTrees}
-_SAVED = {c.__name__: c for c in (TreeModel, BoostedModel, NeighborsModel)}
 
 
 def build_model(name: str, **settings) -> Estimator:
@@ -412,5 +356,5 @@ def build_model(name: str, **settings) -> Estimator:
 
 
 def load_model(spark: SparkSession, path: str) -> _Fitted:
-    head = json.loads(spark.read.parquet(f"{path}/head").first()["head"])
-    return _SAVED[head["kind"]].load_from(spark, path, head)
+    """A saved classifier of any kind; its metadata name the kind."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)

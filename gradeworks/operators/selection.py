@@ -5,27 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeworks.functions.order_stats import exact_quantiles
-from gradeworks.operators.learner import TableParams, class_sizes, in_parallel
-from gradeworks.operators.models import CLASS, MAX_BINS, POINT, Tree, assembled, class_index
+from gradeworks.operators.binned import Growing, bin_cuts, bin_rows, grow_together, right_calls
+from gradeworks.operators.learner import TableParams, class_sizes
+from gradeworks.operators.models import CLASS, POINT, Tree, assembled, class_index
 from gradeworks.operators.neighbors import nearest_to_anchors
+from gradeworks.operators.persistence import Stateful
 from gradeworks.operators.sampling import sample_rows, with_stratified_folds
 from gradeworks.operators.scaling import fit_min_range, min_max
-from gradeworks.session import broadcast_if_small, spread, stage
+from gradeworks.session import broadcast_if_small, scratch, stage
 
 FALLBACK = 10
 
 
-class Selection(Model, TableParams):
+class Selection(Model, TableParams, Stateful):
     """Projection on the chosen columns."""
 
     def __init__(self, method: str, offered: Sequence[str], selected: Sequence[str], key: str, label: str,
@@ -42,6 +43,14 @@ class Selection(Model, TableParams):
             *([self.label] if ends[self.label] else []),
         )
 
+    def _state(self) -> dict:
+        names = ("method", "offered", "selected", "key", "label", "threshold")
+        return {n: getattr(self, n) for n in names}
+
+    @classmethod
+    def _of_state(cls, state: dict, spark, path: str) -> Selection:
+        return cls(**state)
+
     def info(self, spark) -> DataFrame:
         """One row: method, columns offered and kept, reduction in percent."""
         n_in, n_out = len(self.offered), len(self.selected)
@@ -242,54 +251,42 @@ class Relief(Estimator, TableParams):
 
 
 class Forward(Estimator, TableParams):
-    """Adds the feature that most raises the cross-validated micro F1 of a shallow tree."""
+    """Adds the feature that most raises the cross-validated micro F1 of a shallow tree.
+
+    Features are cut into bins once. All candidates and folds of a step are grown together, a
+    job per level, and tested together in one more, so the jobs do not grow with either.
+    """
 
     k = Param(Params._dummy(), "k", "features kept", TypeConverters.toInt)
     cv = Param(Params._dummy(), "cv", "folds", TypeConverters.toInt)
     max_depth_dt = Param(Params._dummy(), "max_depth_dt", "depth of the scoring tree", TypeConverters.toInt)
-    parallelism = Param(Params._dummy(), "parallelism", "candidates fitted at a time", TypeConverters.toInt)
+    max_bins = Param(Params._dummy(), "max_bins", "bins per feature, at most 256", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, keyCol="key", labelCol="label", k=20, cv=3, max_depth_dt=8, parallelism=4, seed=42):
+    def __init__(self, *, keyCol="key", labelCol="label", k=20, cv=3, max_depth_dt=8, max_bins=32, seed=42):
         super().__init__()
         self._set(**self._input_kwargs)
-        self._setDefault(keyCol="key", labelCol="label", k=20, cv=3, max_depth_dt=8, parallelism=4, seed=42)
+        self._setDefault(keyCol="key", labelCol="label", k=20, cv=3, max_depth_dt=8, max_bins=32, seed=42)
 
     def _fit(self, df: DataFrame) -> Selection:
-        offered, cv = self.features_of(df), self.getOrDefault(self.cv)
+        offered, cv, bins = self.features_of(df), self.getOrDefault(self.cv), self.getOrDefault(self.max_bins)
         k = min(self.getOrDefault(self.k), len(offered))
         rows = df.where(F.col(self.label).isNotNull())
         folded = with_stratified_folds(rows, self.key, self.label, cv, self.getOrDefault(self.seed), "_fold")
-        # classes are counted, folds cut and vectors put together once; candidates slice the vector
         classes = list(class_sizes(rows, self.label))
-        points = spread(assembled(folded, offered).select(POINT, class_index(classes, self.label), "_fold"))
-        try:
-            chosen: list[int] = []
+        chosen: list[int] = []
+        with scratch(df.sparkSession):
+            points = assembled(folded, offered).select(POINT, class_index(classes, self.label), "_fold")
+            binned = bin_rows(points, POINT, CLASS, bin_cuts(rows, offered, bins), len(classes), bins, "_fold")
             while len(chosen) < k:
                 rest = [i for i in range(len(offered)) if i not in chosen]
-                scores = in_parallel(
-                    [lambda i=i: self._score(points, sorted([*chosen, i]), cv) for i in rest],
-                    self.getOrDefault(self.parallelism),
-                )
-                chosen.append(rest[max(range(len(rest)), key=lambda j: scores[j])])
-        finally:
-            points.unpersist()
+                trees = [Growing(sorted([*chosen, i]), fold) for i in rest for fold in range(cv)]
+                grow_together(binned, trees, self.getOrDefault(self.max_depth_dt))
+                # micro F1 is the share of right calls; folds count alike
+                scores = np.round(right_calls(binned, trees).reshape(len(rest), cv).mean(axis=1), 12)
+                chosen.append(rest[int(scores.argmax())])
         return Selection("SFS", offered, [offered[i] for i in sorted(chosen)], self.key, self.label)
 
-    def _score(self, points: DataFrame, picked: list[int], cv: int) -> float:
-        """Mean over the folds of micro F1, which is the share of right calls; all folds are tested in one job."""
-        sliced = VectorSlicer(inputCol=POINT, outputCol="_picked", indices=picked).transform(points)
-        tree = DecisionTreeClassifier(
-            featuresCol="_picked", labelCol=CLASS, predictionCol="_call", probabilityCol="", rawPredictionCol="_raw",
-            maxDepth=self.getOrDefault(self.max_depth_dt), maxBins=MAX_BINS, seed=self.getOrDefault(self.seed),
-        )
-        tested = []
-        for fold in range(cv):
-            fitted = tree.fit(sliced.where(F.col("_fold") != fold))
-            tested.append(fitted.transform(sliced.where(F.col("_fold") == fold)).select("_fold", (F.col("_call") == F.col(CLASS)).alias("right")))
-        shares = reduce(DataFrame.unionByName, tested).groupBy("_fold").agg(F.avg(F.col("right").cast("double")).alias("share"))
-        return sum(r["share"] for r in shares.collect()) / cv
-
 
 class TreeImportance(Estimator, TableParams):
     """Keeps features whose importance in one tree exceeds the mean, the median or a number."""
