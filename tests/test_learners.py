@@ -293,3 +293,166 @@ def test_selector_comparison(points):
     assert done.transform(df).columns == ["id", *done.selection.selected, "y"]
     with pytest.raises(ValueError):
         compare_selectors(df, df, {"pca": {}}, "id", "y")
+
+
+def test_boosting_recovers_what_needs_many_stumps(spark):
+    """A vote of three columns, which no single stump can express."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 2, (3000, 8))
+    x[:, 2] = rng.integers(1, 8, 3000)
+    y = np.where(x[:, 2] + 2 * x[:, 0] + 3 * x[:, 1] >= 5, 2, 1)
+    rows = [(i, *map(float, v), int(c)) for i, (v, c) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"f{i} double" for i in range(8)) + ", y int")
+    fitted = models.BoostedTrees(**ENDS, n_estimators=100).fit(df)
+    assert len(fitted.trees) == 100 and micro_f1(fitted.transform(df), "y", "prediction") == 1.0
+    few = models.BoostedModel(fitted.trees[:20], fitted.votes[:20], key="id", label="y", features=fitted.features, classes=fitted.classes)
+    assert micro_f1(few.transform(df), "y", "prediction") < 1.0
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_boosted_rounds_against_plain_ones(spark, points, depth):
+    """Every round's tree, error and weights against the same rounds on whole columns."""
+    df, x, y = points
+    fitted = models.BoostedTrees(**ENDS, n_estimators=6, base_estimator_max_depth=depth, checkpoint_every=2, max_bins=256).fit(df)
+    classes = np.unique(y)
+    w = np.full(len(y), 1 / len(y))
+    for tree, vote in zip(fitted.trees, fitted.votes):
+        calls = classes[tree.calls(x.T, by_bin=False)]
+        missed = w[calls != y].sum() / w.sum()
+        best = min(_best_stump_impurity(x, y, w)) if depth == 1 else None
+        if best is not None:
+            at = x[:, tree.feature[0]] <= tree.threshold[0]
+            assert _impurity(y, w, at) == pytest.approx(best, abs=1e-9)
+        assert vote == pytest.approx(np.log((1 - missed) / missed) + np.log(len(classes) - 1))
+        w = w * np.where(calls != y, np.exp(vote), 1.0)
+
+
+def _impurity(y, w, left):
+    out = 0.0
+    for side in (left, ~left):
+        total = w[side].sum()
+        out += total - sum(w[side & (y == c)].sum() ** 2 for c in np.unique(y)) / total if total > 0 else 0.0
+    return out
+
+
+def _best_stump_impurity(x, y, w):
+    for f in range(x.shape[1]):
+        for v in np.unique(x[:, f])[:-1]:
+            yield _impurity(y, w, x[:, f] <= v)
+
+
+def test_forward_selection_against_plain_trees(points):
+    """The scores of all candidates of a step against the same trees grown one by one."""
+    from gradeworks.operators.binned import Growing, bin_cuts, bin_rows, grow_together, right_calls
+
+    df, x, y = points
+    folded = df.withColumn("_fold", F.col("id") % 3)
+    rows = models.assembled(folded, FEATURES).select(models.POINT, models.class_index([1, 2, 3], "y"), "_fold")
+    binned = bin_rows(rows, models.POINT, models.CLASS, bin_cuts(df, FEATURES, 256), 3, 256, "_fold")
+    trees = [Growing(features, fold) for features in ([0], [1], [1, 4], [0, 1, 5]) for fold in range(3)]
+    grow_together(binned, trees, 3)
+    shares = right_calls(binned, trees)
+    fold = np.arange(240) % 3
+
+    def grown(rows, features, depth):
+        counts = np.array([(y[rows] == c).sum() for c in (1, 2, 3)])
+        call = int(counts.argmax())
+        options = [
+            (round(_impurity(y[rows], np.ones(len(rows)), x[rows, f] <= v), 9), f, v) for f in features for v in np.unique(x[rows, f])[:-1]
+        ]
+        if not depth or counts.max() == counts.sum() or not options or min(options)[0] >= len(rows) - (counts**2).sum() / len(rows) - 1e-9:
+            return call
+        _, f, v = min(options)
+        return f, v, grown(rows[x[rows, f] <= v], features, depth - 1), grown(rows[x[rows, f] > v], features, depth - 1)
+
+    def call(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if x[row, tree[0]] <= tree[1] else tree[3]
+        return tree + 1
+
+    for g, share in zip(trees, shares, strict=True):
+        plain = grown(np.flatnonzero(fold != g.fold), g.features, 3)
+        own = np.flatnonzero(fold == g.fold)
+        assert share == pytest.approx(np.mean([call(plain, r) == y[r] for r in own]), abs=0.02)
+
+
+def test_pruning_computes_few_of_all_pairs(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(0, 100, (40, 4))
+    x = centers[rng.integers(0, 40, 4000)] + rng.normal(0, 0.5, (4000, 4))
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id int, a double, b double, c double, d double")
+    compared = spark.sparkContext.accumulator(0)
+    found = neighbors.knn_join(df, df, ["a", "b", "c", "d"], "id", 5, block_rows=64, cell_rows=64, compared=compared)
+    rows = found.collect()
+    assert len(rows) == 20_000 and 0 < compared.value < 0.15 * 4000 * 4000
+    by_query = {}
+    for r in rows:
+        by_query.setdefault(r["query"], []).append((r["rank"], r["neighbor"]))
+    for q in range(0, 4000, 97):
+        dist = np.round(np.sqrt(((x - x[q]) ** 2).sum(1)), 9)
+        assert [n for _, n in sorted(by_query[q])] == np.lexsort((np.arange(4000), dist))[:5].tolist()
+
+
+def test_scans_do_not_grow_with_restarts(points, monkeypatch):
+    steps = []
+    plain = clustering._step
+    monkeypatch.setattr(clustering, "_step", lambda rows, starts: steps.append(len(starts)) or plain(rows, starts))
+    clustering.fit_clusters(points[0], ["f1", "f4"], 3, restarts=8)
+    assert max(steps) == 8 and len(steps) < 80
+    with pytest.raises(ValueError, match="fill"):
+        clustering.fit_clusters(points[0].withColumn("f1", F.when(F.col("id") > 3, F.col("f1"))), ["f1", "f4"], 3)
+
+
+@pytest.mark.parametrize("selector", ["all", "mutual_info", "relief", "sfs", "embedded_dt"])
+@pytest.mark.parametrize("model", ["rf", "knn", "ada"])
+def test_pipelines_are_saved_and_read(points, tmp_path, selector, model):
+    from pyspark.ml import PipelineModel
+
+    df = points[0]
+    limits = {"mutual_info": {"k": 3}, "relief": {"k": 3, "n_samples": 20}, "sfs": {"k": 1, "cv": 2, "max_depth_dt": 2}}
+    sizes = {"rf": {"n_estimators": 2, "max_depth": 3}, "ada": {"n_estimators": 3}}
+    fitted = Trial(selector, model, limits.get(selector, {}), sizes.get(model, {})).pipeline("id", "y", 3).fit(df)
+    path = f"file://{tmp_path}/saved"
+    fitted.save(path)
+    read = PipelineModel.load(path)
+    assert [type(s) for s in read.stages] == [type(s) for s in fitted.stages] and [s.uid for s in read.stages] == [s.uid for s in fitted.stages]
+    assert read.stages[0].selected == fitted.stages[0].selected and read.stages[1].classes == [1, 2, 3]
+
+    def rows(m):
+        return sorted((r["id"], r["prediction"], *np.round(r["probability"], 9)) for r in m.transform(df).collect())
+
+    assert rows(read) == rows(fitted)
+
+
+def test_a_search_goes_on_where_it_stopped(points, tmp_path, monkeypatch):
+    train, path = points[0], f"file://{tmp_path}/progress"
+    trials = [Trial("all", "rf", {}, {"n_estimators": n, "max_depth": 2}) for n in (1, 2, 3)]
+    trials += [Trial("all", "rf", {}, {"n_estimators": 1, "class_weight": "heavy"})]
+    plain, fitted = SelectionSearch._score, []
+
+    def stops(self, folded, trial, fold, key, label):
+        if len(fitted) == 3:
+            raise RuntimeError("the cluster went away")
+        fitted.append((trial.params(), fold))
+        return plain(self, folded, trial, fold, key, label)
+
+    monkeypatch.setattr(SelectionSearch, "_score", stops)
+    with pytest.raises(RuntimeError, match="away"):
+        SelectionSearch(cv=2, trials=trials, parallelism=1, progress=path).fit(train, "id", "y")
+    first, fitted2 = list(fitted), []
+
+    def counts(self, folded, trial, fold, key, label):
+        fitted2.append((trial.params(), fold))
+        return plain(self, folded, trial, fold, key, label)
+
+    monkeypatch.setattr(SelectionSearch, "_score", counts)
+    done = SelectionSearch(cv=2, trials=trials, parallelism=1, progress=path).fit(train, "id", "y")
+    assert len(first) == 3 and len(fitted2) == 5 and not set(first) & set(fitted2)
+    monkeypatch.setattr(SelectionSearch, "_score", plain)
+    whole = SelectionSearch(cv=2, trials=trials, parallelism=1).fit(train, "id", "y")
+    assert [tuple(r) for r in done.results().collect()] == [tuple(r) for r in whole.results().collect()]
+    # other rows do not take over these scores
+    fitted2.clear()
+    monkeypatch.setattr(SelectionSearch, "_score", counts)
+    SelectionSearch(cv=2, trials=trials, parallelism=1, progress=path).fit(train.where("id > 3"), "id", "y")
+    assert len(fitted2) == 8
