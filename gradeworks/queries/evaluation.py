@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeworks.operators import evaluation as ops
 from gradeworks.operators.search import ranked, summarize_folds
 from gradeworks.queries.cleaning import SOUND
-from gradeworks.queries.registry import query, rounded
+from gradeworks.queries.registry import long_rows, long_sql, query, rounded
 from gradeworks.session import stage
 from gradeworks.sources.cases import CASES, cases
 from gradeworks.sources.writers import class_table, summary_table
@@ -201,6 +203,48 @@ def evaluation_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SCORE_VALUES = ("tp", "fn", "fp", "tn", "support", "tpr", "tnr", "precision", "f1")
+REPORT_SQL = """SELECT CAST(class AS VARCHAR) AS "row", "precision", tpr AS recall, f1, support FROM scores
+    UNION ALL SELECT 'macro avg', avg("precision"), avg(tpr), avg(f1), sum(support) FROM scores
+    UNION ALL SELECT 'weighted avg', sum("precision" * support) / sum(support), sum(tpr * support) / sum(support),
+      sum(f1 * support) / sum(support), sum(support) FROM scores"""
+COUNTS_SQL = """SELECT c AS class, (SELECT count(*) FROM predicted WHERE grade = c) AS n_true,
+    (SELECT count(*) FROM predicted WHERE called = c) AS n_pred FROM classes"""
+BUNDLE_SQL = [
+    long_sql("confusion", "SELECT y_true, y_pred, n FROM cells", ["y_true", "y_pred"], ["n"]),
+    long_sql("normalized", "SELECT y_true, y_pred, n / sum(n) OVER (PARTITION BY y_true) AS share FROM cells", ["y_true", "y_pred"], ["share"]),
+    long_sql("scores", "SELECT * FROM scores", ["class"], SCORE_VALUES),
+    long_sql("summary", SUMMARY_SQL, [], ["micro_f1", "macro_f1", "accuracy", "g_mean"]),
+    long_sql("report", REPORT_SQL, ['"row"'], ["precision", "recall", "f1", "support"]),
+    long_sql("counts", COUNTS_SQL, ["class"], ["n_true", "n_pred"]),
+    long_sql("long", """SELECT class, 'precision' AS metric, "precision" AS value FROM scores UNION ALL SELECT class, 'recall', tpr FROM scores
+      UNION ALL SELECT class, 'f1', f1 FROM scores""", ["class", "metric"], ["value"]),
+    long_sql("roc", "SELECT class, CAST(round(score * 127) AS BIGINT) AS step, cum_tp, cum_fp, tpr, fpr FROM sides_roc",
+             ["class", "step"], ["cum_tp", "cum_fp", "tpr", "fpr"]),
+    long_sql("auc", "SELECT class, auc FROM areas", ["class"], ["auc"]),
+]
+
+
+@query("ml24_evaluation_tables", PREDICTED + STEPS_SQL + " UNION ALL ".join(BUNDLE_SQL))
+def evaluation_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables of the bundle in long form."""
+    found = ops.evaluate(stage(predictions(spark, sf_dir), "predictions"), "grade", "called", "scores", ["low", "middle", "high"])
+    # scores are whole numbers over 127
+    curve = found.roc.select("class", F.round(F.col("score") * 127).cast("bigint").alias("step"), "cum_tp", "cum_fp", "tpr", "fpr")
+    tables = [
+        ("confusion", found.confusion, ["y_true", "y_pred"]),
+        ("normalized", found.normalized.drop("n"), ["y_true", "y_pred"]),
+        ("scores", found.scores, ["class"]),
+        ("summary", found.summary, []),
+        ("report", found.report, ["row"]),
+        ("counts", found.counts, ["class"]),
+        ("long", found.long, ["class", "metric"]),
+        ("roc", curve, ["class", "step"]),
+        ("auc", found.auc, ["class"]),
+    ]
+    return rounded(reduce(DataFrame.unionByName, [long_rows(*t) for t in tables]), ["value"])
+
+
 def _fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One configuration per priority, four folds by key, share of right calls."""
     rows = predictions(spark, sf_dir).join(cases(spark, sf_dir).select("case_id", "priority"), "case_id")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeworks.operators import profiling as ops
 from gradeworks.queries.cleaning import CONTENT, FLAWED, SOUND
 from gradeworks.queries.learning import cross_fit_sql
-from gradeworks.queries.registry import query, rounded
+from gradeworks.queries.registry import long_rows, long_sql, query, rounded
 from gradeworks.queries.sampling import MD5
+from gradeworks.session import stage
 from gradeworks.sources.cases import CASES, cases, flawed_cases, stored_cases, table
 
 COLUMNS = [x.strip() for x in CONTENT.split(",")]
@@ -233,3 +236,72 @@ def profile_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(rows("skewness", "'total_price'", "skewness"))
         .unionByName(rows("contingency_segment", "segment", "class_1"))
     )
+
+
+PROFILED = CASES.continuous
+ENCODED_CASES = (
+    SOUND
+    + f", folded AS (SELECT *, ntile(5) OVER (ORDER BY {MD5}) - 1 AS fold FROM cases),"
+    + ",".join(cross_fit_sql("folded", c, f"by_{c}") for c in CASES.geo)
+    + """, encoded AS (SELECT f.* REPLACE (r.encoding AS region_id, n.encoding AS nation_id, k.encoding AS customer_id)
+      FROM folded f JOIN by_region_id r ON region_id = r.category AND f.fold = r.fold
+      JOIN by_nation_id n ON nation_id = n.category AND f.fold = n.fold
+      JOIN by_customer_id k ON customer_id = k.category AND f.fold = k.fold), pairs AS ("""
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, corr({a}::DOUBLE, {b}::DOUBLE) AS r FROM encoded" for i, b in enumerate(ENCODED) for a in ENCODED[:i]
+    )
+    + ")"
+)
+GAPS_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) AS null_pct FROM cases""" for c in ("case_id", *COLUMNS, "grade")
+)
+BOXES_SQL = " UNION ALL ".join(
+    f"""SELECT q.grade AS class, '{c}' AS feature, q1, median, q3,
+      least(min(c.{c}) FILTER (WHERE c.{c} >= q1 - 1.5 * (q3 - q1) AND c.{c} <= q3 + 1.5 * (q3 - q1)), q1) AS low,
+      greatest(max(c.{c}) FILTER (WHERE c.{c} >= q1 - 1.5 * (q3 - q1) AND c.{c} <= q3 + 1.5 * (q3 - q1)), q3) AS high
+    FROM (SELECT grade, quantile_cont({c}::DOUBLE, 0.25) AS q1, quantile_cont({c}::DOUBLE, 0.5) AS median,
+      quantile_cont({c}::DOUBLE, 0.75) AS q3 FROM cases GROUP BY grade) q JOIN cases c ON c.grade = q.grade
+    GROUP BY q.grade, q1, median, q3"""
+    for c in PROFILED
+)
+CLASSES = [f"class_{c}" for c in CASES.classes]
+
+
+def _shares_sql(column: str) -> str:
+    shares = ", ".join(f"count(*) FILTER (WHERE grade = {c}) * 100.0 / count(*) AS class_{c}" for c in CASES.classes)
+    return f"SELECT {column}, {shares} FROM cases WHERE {column} IS NOT NULL GROUP BY {column}"
+
+
+TAIL = 300000
+PROFILE_SQL = [
+    long_sql("class_shares", "SELECT grade, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 1) AS share_pct FROM cases GROUP BY grade",
+             ["grade"], ["n", "share_pct"]),
+    long_sql("missing_shares", f"SELECT *, (null_pct > 40)::INT AS flagged FROM ({GAPS_SQL}) WHERE null_pct > 0", ['"column"'], ["null_pct", "flagged"]),
+    long_sql("correlations", "SELECT a, b, r, (abs(r) >= 0.3)::INT AS shown FROM pairs", ["a", "b"], ["r", "shown"]),
+    long_sql("strongest", "SELECT a AS feature, abs(r) AS abs_r FROM pairs WHERE b = 'grade' ORDER BY abs(r) DESC LIMIT 10", ["feature"], ["abs_r"]),
+    long_sql("box_statistics", BOXES_SQL, ["class", "feature"], ["q1", "median", "q3", "low", "high"]),
+    *[long_sql(f"contingency_{c}", _shares_sql(c), [c], CLASSES) for c in CASES.domains],
+    long_sql("region_counts", "SELECT region_id, count(*) AS n FROM cases WHERE region_id IS NOT NULL GROUP BY region_id", ["region_id"], ["n"]),
+    long_sql("region_shares", _shares_sql("region_id"), ["region_id"], CLASSES),
+    long_sql("tail_share", f"""SELECT count(*) FILTER (WHERE total_price <= {TAIL}) AS n_kept,
+      (count(*) - count(*) FILTER (WHERE total_price <= {TAIL})) * 100.0 / count(*) AS excluded_pct FROM cases""", [], ["n_kept", "excluded_pct"]),
+    long_sql("density_histogram", f"""SELECT class, least(floor((x - lo) / w), 39)::INT AS bin, count(*) AS n, count(*) / (total * w) AS density,
+        lo + least(floor((x - lo) / w), 39)::INT * w AS low
+      FROM (SELECT grade AS class, total_price::DOUBLE AS x FROM cases WHERE total_price <= {TAIL}) v
+      JOIN (SELECT grade AS c, min(total_price)::DOUBLE AS lo, (max(total_price) - min(total_price))::DOUBLE / 40 AS w, count(*) AS total
+            FROM cases WHERE total_price <= {TAIL} GROUP BY grade) s ON class = c GROUP BY class, lo, w, total, bin""",
+             ["class", "bin"], ["n", "density", "low"]),
+    long_sql("skewness", "SELECT skewness(total_price) AS skewness FROM cases", [], ["skewness"]),
+]
+PROFILE_KEYS = {
+    "class_shares": ["grade"], "missing_shares": ["column"], "correlations": ["a", "b"], "strongest": ["feature"],
+    "box_statistics": ["class", "feature"], "region_counts": ["region_id"], "region_shares": ["region_id"],
+    "density_histogram": ["class", "bin"], **{f"contingency_{c}": [c] for c in CASES.domains},
+}
+
+
+@query("ml25_profile_tables", ENCODED_CASES + " UNION ALL ".join(PROFILE_SQL))
+def profile_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables of the profile in long form."""
+    tables = ops.profile(stage(cases(spark, sf_dir), "cases"), CASES, age="total_price", tail=TAIL)
+    return rounded(reduce(DataFrame.unionByName, [long_rows(n, t, PROFILE_KEYS.get(n, [])) for n, t in tables.items()]), ["value"])
