@@ -255,10 +255,14 @@ class Network:
         for part in lanes.windows(window, self.hidden, LEARNED_PLACES):
             held = self.forward(part.items, part.goes_on, part.state)
             part.end_state = held["states"][-1]
-            used = part.targets >= 0
-            _, d_used = self.outputs(held["states"][used], part.targets[used], learn=True)
-            d_states = np.zeros_like(held["states"])
-            d_states[used] = d_used
+            if part.targets.min() >= 0:
+                # every place holds a word
+                flat = held["states"].reshape(-1, self.hidden)
+                d_states = self.outputs(flat, part.targets.ravel(), learn=True)[1].reshape(held["states"].shape)
+            else:
+                used = part.targets >= 0
+                d_states = np.zeros_like(held["states"])
+                d_states[used] = self.outputs(held["states"][used], part.targets[used], learn=True)[1]
             self.backward(part.items, part.goes_on, held, d_states)
 
     def score(self, lanes: Lanes, window: int) -> np.ndarray:
@@ -267,9 +271,13 @@ class Network:
         for part in lanes.windows(window, self.hidden, SCORED_PLACES):
             states = self.forward(part.items, part.goes_on, part.state, keep=False)["states"]
             part.end_state = states[-1]
-            used = part.targets >= 0
-            logs, _ = self.outputs(states[used], part.targets[used], learn=False)
-            total += np.bincount(part.texts[used], logs, lanes.n_texts)
+            if part.targets.min() >= 0:
+                logs, _ = self.outputs(states.reshape(-1, self.hidden), part.targets.ravel(), learn=False)
+                total += np.bincount(part.texts.ravel(), logs, lanes.n_texts)
+            else:
+                used = part.targets >= 0
+                logs, _ = self.outputs(states[used], part.targets[used], learn=False)
+                total += np.bincount(part.texts[used], logs, lanes.n_texts)
         return total
 
 
@@ -326,22 +334,25 @@ class Lanes:
         rank[order] = np.arange(n_lanes)
         lane_of = rank[lane_of]
 
-        text = np.repeat(np.arange(self.n_texts), lengths)
         first = np.cumsum(lengths) - lengths
-        step = np.arange(total) - np.repeat(first - start_of, lengths)
-        lane = lane_of[text]
+        # the place of every word in a table of steps x lanes, row by row
+        place = np.arange(total)
+        place *= n_lanes
+        place += np.repeat(n_lanes * (start_of - first) + lane_of, lengths)
         is_last = np.zeros(total, bool)
         is_last[first + sizes] = True
-        is_first = np.zeros(total, bool)
-        is_first[first] = True
         shape = (int(self.totals[0]) if self.n_texts else 0, n_lanes)
-        goals, inputs = np.full(total, END, np.int32), np.full(total, END, np.int32)
+        goals = np.full(total, END, np.int32)
         goals[~is_last] = words
-        inputs[~is_first] = words
+        inputs = np.empty(total, np.int32)
+        inputs[1:] = goals[:-1]
+        inputs[first] = END
         self.items, self.targets = np.full(shape, END, np.int32), np.full(shape, -1, np.int32)
         self.goes_on, self.texts = np.ones(shape, np.float32), np.zeros(shape, np.int32)
-        self.items[step, lane], self.targets[step, lane], self.texts[step, lane] = inputs, goals, text
-        self.goes_on[step[is_first], lane[is_first]] = 0.0
+        self.items.ravel()[place] = inputs
+        self.targets.ravel()[place] = goals
+        self.texts.ravel()[place] = np.repeat(np.arange(self.n_texts, dtype=np.int32), lengths)
+        self.goes_on.ravel()[place[first]] = 0.0
 
     def windows(self, size: int, hidden: int, places: int = 0) -> Iterator[Window]:
         """Windows of ``size`` steps, or more where the running lanes would fill fewer than ``places`` places."""
