@@ -10,6 +10,7 @@ from gradeworks.operators.search import ranked, summarize_folds
 from gradeworks.sources.writers import class_table, summary_table, write_metrics
 
 # Recorded per-class rates and supports of two splits, with their averages.
+# Recorded scores.
 RECORDED = {
     "validation": (
         [(0.4814, 0.9783, 0.7031, 0.5715, 3768), (0.8624, 0.5955, 0.7378, 0.7952, 22239), (0.6210, 0.9081, 0.7726, 0.6885, 13083)],
