@@ -100,6 +100,9 @@ class Network:
         Unless ``keep``, these parts are written over at each step, which stays in the cache.
         """
         enter, bias, turn = self._by_gate("enter"), self.weights["enter_bias"].reshape(3, 1, self.hidden), self._by_gate("turn")
+        # the logistic function of x is that of tanh of x / 2; the two gates are halved here, once a window
+        half = np.array([0.5, 0.5, 1.0], np.float32).reshape(3, 1, 1)
+        enter, bias, turn = enter * half, bias * half, turn * half
         if items.size > len(self.weights["embed"]):
             entering = (self.weights["embed"] @ enter + bias)[:, items]
         else:
@@ -116,8 +119,6 @@ class Network:
             np.multiply(state, goes_on[t][:, None], out=before)
             np.matmul(before, turn, out=turned)
             np.add(entering[:2, t], turned[:2], out=gates)
-            # the logistic function by way of tanh
-            gates *= 0.5
             np.tanh(gates, out=gates)
             gates += 1.0
             gates *= 0.5
@@ -170,18 +171,28 @@ class Network:
         enter = self._by_gate("enter")
         d_embedded = sum(part @ table.T for part, table in zip(parts, enter, strict=True))
         self.step("enter", np.concatenate([embedded @ part for part in parts], axis=1))
-        self.step("enter_bias", np.concatenate([part.sum(axis=0) for part in parts]))
-        seen = np.bincount(used, minlength=self.layout.n_items)
-        cells = (used.astype(np.int64) * self.width)[:, None] + np.arange(self.width)
-        sums = np.bincount(cells.ravel(), d_embedded.ravel(), self.layout.n_items * self.width)
-        rows = np.flatnonzero(seen)
-        self.step("embed", sums.reshape(-1, self.width)[rows].astype(np.float32), rows)
+        self.step("enter_bias", np.concatenate([_ones(len(part)) @ part for part in parts]))
+        used = used.astype(np.intp)
+        rows = np.flatnonzero(np.bincount(used, minlength=self.layout.n_items))
+        sums = [np.bincount(used, column, self.layout.n_items)[rows] for column in np.ascontiguousarray(d_embedded.T)]
+        self.step("embed", np.stack(sums, axis=1).astype(np.float32), rows)
 
     def step(self, name: str, gradient: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
-        squares = self.squares[name][rows] + gradient * gradient
-        self.squares[name][rows] = squares
-        np.sqrt(squares, out=squares)
-        self.weights[name][rows] -= self.rate * gradient / squares
+        root = gradient * gradient
+        if isinstance(rows, slice) or len(rows) == len(self.squares[name]):
+            squares, weights = self.squares[name], self.weights[name]
+            squares += root
+            np.sqrt(squares, out=root)
+            np.divide(gradient, root, out=root)
+            root *= self.rate
+            weights -= root
+            return
+        root += self.squares[name][rows]
+        self.squares[name][rows] = root
+        np.sqrt(root, out=root)
+        np.divide(gradient, root, out=root)
+        root *= self.rate
+        self.weights[name][rows] -= root
 
     def outputs(self, states: np.ndarray, targets: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probabilities of ``targets`` (for a rare item: of its class), and the states' gradients if ``learn``."""
@@ -204,7 +215,7 @@ class Network:
                 table[every, place] -= share
                 np.matmul(table, w["classes"].T, out=d_states[rows])
                 d_classes += held.T @ table
-                d_bias += table.sum(axis=0)
+                d_bias += _ones(len(table)) @ table
         in_words = np.flatnonzero((goal > 0) & (goal <= self.layout.n_word_classes))
         if len(in_words):
             self._word_outputs(states, targets, goal, in_words, out, d_states, share)
@@ -244,7 +255,7 @@ class Network:
         used = np.flatnonzero(blocks)
         of_kind = (used[:, None] == block_kind).astype(np.float32)
         d_words = of_kind @ (table.transpose(0, 2, 1) @ held).reshape(len(block_kind), -1)
-        self.step("word_bias", of_kind @ table.sum(axis=1), used)
+        self.step("word_bias", of_kind @ (_ones(BLOCK) @ table), used)
         self.step("words", d_words.reshape(len(used), size, self.hidden), used)
 
     def learn(self, lanes: Lanes, window: int) -> None:
@@ -283,7 +294,13 @@ class Network:
 
 def _reach(weights: np.ndarray, bias: np.ndarray) -> float:
     """How far logits can be from zero in either direction that matters, as states lie in [-1, 1]."""
-    return float(np.abs(weights).sum(axis=-1).max() + max(bias.max(), -bias.max(axis=-1).min(), 0.0))
+    sums = np.abs(weights).reshape(-1, weights.shape[-1]) @ _ones(weights.shape[-1])
+    return float(sums.max() + max(bias.max(), -bias.max(axis=-1).min(), 0.0))
+
+
+def _ones(n: int) -> np.ndarray:
+    """A product with ones adds up the rows or columns of a table faster than a sum along an axis."""
+    return np.ones(n, np.float32)
 
 
 def _softmax(table: np.ndarray, rows: np.ndarray, goals: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +310,7 @@ def _softmax(table: np.ndarray, rows: np.ndarray, goals: np.ndarray, reach: floa
         table -= table.max(axis=1, keepdims=True)
     at_goal = table[rows, goals].astype(np.float64)
     np.exp(table, out=table)
-    sums = table.sum(axis=1)
+    sums = table @ _ones(table.shape[1])
     return at_goal - np.log(sums[rows].astype(np.float64)), sums
 
 
