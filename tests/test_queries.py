@@ -33,6 +33,11 @@ QUICK = [
     "ml20_prepare_other_table",
     "ml21_cleaning_sequence",
     "io02_delimited_scan",
+    "io04_guarded_open",
+    "pf14_column_roles",
+    "ml26_evaluator_checks",
+    "ext1_caller_scores",
+    "ext3_caller_reader",
 ]
 
 
