@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gradeworks.operators import forest
+from gradeworks.operators import forest, grouped, models
 from gradeworks.operators.models import Forest, Tree, TreeModel
 
 ENDS = {"keyCol": "id", "labelCol": "y"}
@@ -80,3 +80,24 @@ def test_draws_average_one_and_differ_between_trees():
     draws = [forest.draws_of(marks, t, growth) for t in range(2)]
     assert abs(draws[0].mean() - 1) < 0.01 and abs((draws[0] == 0).mean() - np.exp(-1)) < 0.01
     assert abs(np.corrcoef(draws[0], draws[1])[0, 1]) < 0.01
+
+
+@pytest.mark.parametrize("cells", [4_000_000, 6_000])
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_rounds_from_groups_equal_rounds_from_rows(spark, ruled, depth, cells, monkeypatch):
+    monkeypatch.setattr(grouped, "MAX_GROUP_CELLS", cells)
+    fits = []
+    for limit in (3, 0):
+        monkeypatch.setattr(models, "GROUPED_DEPTH", limit)
+        fits.append(models.BoostedTrees(**ENDS, n_estimators=8, base_estimator_max_depth=depth, learning_rate=0.5).fit(ruled))
+    assert [(t.feature, t.cut, t.call) for t in fits[0].trees] == [(t.feature, t.cut, t.call) for t in fits[1].trees]
+    assert fits[0].votes == pytest.approx(fits[1].votes, rel=1e-9)
+
+
+def test_rounds_with_old_cuts_scan_no_rows(spark, ruled):
+    voted = ruled.withColumn("y", F.when(F.col("a") + 3 * F.col("b") >= 5, 2).otherwise(1)).select("id", "a", "b", "y")
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    fitted = models.BoostedTrees(**ENDS, n_estimators=60).fit(voted)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # before, each of the rounds took jobs of its own
+    assert len(fitted.trees) == 60 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")) < 40
