@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gradeworks.operators import forest, grouped, models
+from gradeworks.operators import binned, forest, grouped, models, selection
 from gradeworks.operators.models import Forest, Tree, TreeModel
 
 ENDS = {"keyCol": "id", "labelCol": "y"}
@@ -101,3 +101,49 @@ def test_rounds_with_old_cuts_scan_no_rows(spark, ruled):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     # before, each of the rounds took jobs of its own
     assert len(fitted.trees) == 60 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")) < 40
+
+
+def _folded(ruled, features):
+    rows = models.assembled(ruled.withColumn("_fold", (F.col("id") % 3).cast("int")), features)
+    points = rows.select(models.POINT, models.class_index([1, 2, 3], "y"), "_fold")
+    return binned.bin_rows(points, models.POINT, models.CLASS, binned.bin_cuts(ruled, features, 16), 3, 16, "_fold")
+
+
+def test_joint_counts_give_the_scores_of_trees_grown_by_level(ruled):
+    blocks = _folded(ruled, ["a", "b", "n0", "n1"])
+    sets = [[0], [2], [0, 1], [1, 3], [0, 2, 3]]
+    trees = [binned.Growing(own, fold) for own in sets for fold in range(3)]
+    binned.grow_together(blocks, trees, 4)
+    by_level = binned.right_calls(blocks, trees).reshape(len(sets), 3)
+    assert np.allclose(binned.grow_jointly(blocks, sets, 3, 4), by_level, atol=1e-12)
+
+
+def test_forward_selection_takes_few_jobs_after_a_perfect_step(spark, ruled, monkeypatch):
+    wide = ruled.select("id", "n0", "a", "n1", "b", "n2", "n3", "y")
+    spark.sparkContext.setJobGroup("steps", "steps")
+    fast = selection.Forward(**ENDS, k=6, max_bins=8).fit(wide).selected
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # before, every step took a job per level and one more
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("steps")) <= 30
+    few = selection.Forward(**ENDS, k=4, max_bins=8).fit(wide).selected
+    monkeypatch.setattr(selection, "JOINT_CELLS", 0)
+    monkeypatch.setattr(selection, "_leading", lambda held: 0)
+    assert selection.Forward(**ENDS, k=4, max_bins=8).fit(wide).selected == few == ["n0", "a", "n1", "b"] and len(fast) == 6
+
+
+def test_votes_are_those_of_all_trees(ruled):
+    model = models.BoostedTrees(**ENDS, n_estimators=12, base_estimator_max_depth=2).fit(ruled)
+    x = np.array(ruled.orderBy("id").select(*model.features).collect(), dtype=float)
+    want = np.zeros((len(x), 3))
+    for tree, vote in zip(model.trees, model.votes, strict=True):
+        called = np.eye(3)[tree.calls(x.T, by_bin=False)]
+        want += vote / sum(model.votes) * (called - (1 - called) / 2)
+    want = np.exp(want / 2) / np.exp(want / 2).sum(axis=1, keepdims=True)
+    got = np.array([r["probability"] for r in model.transform(ruled).orderBy("id").collect()])
+    assert np.allclose(got, want, atol=1e-9)
+
+
+def test_cuts_of_few_and_of_many_values(spark):
+    df = spark.range(5000).select((F.col("id") % 5).alias("few"), (F.col("id") % 40).alias("some"), F.col("id").alias("many"), F.lit(None).cast("double").alias("none"))
+    cuts = binned.bin_cuts(df, df.columns, 32)
+    assert cuts[0].tolist() == [0, 1, 2, 3] and len(cuts[1]) == 31 and len(cuts[2]) == 31 and len(cuts[3]) == 0
