@@ -147,3 +147,26 @@ def test_cuts_of_few_and_of_many_values(spark):
     df = spark.range(5000).select((F.col("id") % 5).alias("few"), (F.col("id") % 40).alias("some"), F.col("id").alias("many"), F.lit(None).cast("double").alias("none"))
     cuts = binned.bin_cuts(df, df.columns, 32)
     assert cuts[0].tolist() == [0, 1, 2, 3] and len(cuts[1]) == 31 and len(cuts[2]) == 31 and len(cuts[3]) == 0
+
+
+def test_levels_and_jobs_do_not_grow_with_the_trees(spark, monkeypatch):
+    monkeypatch.setattr(forest, "NODE_ROWS", 300)
+    jobs = []
+    cut, finish = forest._Batch._cut, forest._Batch._finish
+    monkeypatch.setattr(forest._Batch, "_cut", lambda self, *nodes: jobs.append("cut") or cut(self, *nodes))
+    monkeypatch.setattr(forest._Batch, "_finish", lambda self, *nodes: jobs.append("finish") or finish(self, *nodes))
+    # all trees of the first fit together draw more rows than one job may take, their open nodes do not
+    monkeypatch.setattr(forest, "ROWS_AT_ONCE", 6000)
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (1000, 3))
+    df = spark.createDataFrame([(i, *map(float, v), int(v[0] > 2)) for i, v in enumerate(x)], "id int, a double, b double, c double, y int")
+    found = models.Forest(keyCol="id", labelCol="y", n_estimators=12).fit(df)
+    assert len(found.inner.roots) == 12
+    assert jobs.count("finish") <= 1 and jobs.count("cut") <= 8
+
+
+def test_draws_follow_the_limits():
+    growth = forest.Growth(1, 1, 1, np.ones(2), True, 42)
+    marks = forest._mixed(np.arange(300_000, dtype=np.uint64))
+    bits = (forest._mixed(marks ^ forest._salt(42, np.array([3]))) >> np.uint64(32)).astype(np.uint32)
+    assert (forest.draws_of(marks, 3, growth) == (bits[:, None] >= forest.DRAW_LIMITS).sum(axis=1)).all()
