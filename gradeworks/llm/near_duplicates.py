@@ -26,7 +26,7 @@ from gradeworks.llm.common import arrow_schema, as_batch, free_names, map_batche
 from gradeworks.llm.components import connected_components
 from gradeworks.session import broadcast_if_small, stage
 
-SETS_SCHEMA = "doc_id bigint, node bigint, n_shingles bigint, signature array<bigint>, bands array<bigint>, text_hash bigint"
+SETS_SCHEMA = "doc_id bigint, node bigint, n_shingles bigint, signature array<bigint>, bands array<int>, text_hash bigint"
 PAIRS_SCHEMA = "a bigint, b bigint"
 MAX_KNOWN_WORDS = 150_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -124,7 +124,8 @@ class MinHasher:
         for j in range(o.rows):
             out = (out + parts[:, j]) * BASE
             out ^= out >> np.uint64(31)
-        return out.view(np.int64)
+        # half of the bits will do beside the band's number: the few that meet by chance are compared as all others
+        return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
     def signature(self, minima: np.ndarray) -> np.ndarray:
         low = (minima & np.uint32(3)).astype(np.uint64)
@@ -227,7 +228,8 @@ def grouped(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:
         .select("node", "own.*", "n", "n_shingles", "signature", "bands"),
         "classes",
     )
-    members = classes.select("node", F.explode("bands").alias("key"))
+    members = classes.select("node", F.posexplode("bands").alias("band", "hash"))
+    members = members.select("node", F.shiftleft(F.col("band").cast("bigint"), 32).bitwiseOR(F.col("hash").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"))
     shared = members.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stage(shared, "buckets")
     buckets = stage(split_heavy_join(members, shared, ["key"], "inner", 24).select("key", "node", "pivot"), "members")
@@ -338,9 +340,9 @@ def compare_members(
     flagged = stage(
         hosts.unionByName(guests.select(hosts.columns)).groupBy(*cell).applyInArrow(possible_members(options), FLAGGED_SCHEMA), "possible"
     )
-    texts = node_texts(docs, classes, flagged.select("node"))
-    sets = stage(shingle_sets(texts, options), "wanted-sets")
-    return stage(flagged.join(sets, "node").groupBy(*cell).applyInArrow(joining_links(options), PAIRS_SCHEMA), "more-links")
+    texts = one_text_each(node_texts(docs, classes, flagged.select("node")), options)
+    # texts are shorter than their sets, and compress
+    return stage(flagged.join(texts, "node").groupBy(*cell).applyInArrow(joining_links(options), PAIRS_SCHEMA), "more-links")
 
 
 FLAGGED_SCHEMA = "key bigint, block int, chunk int, node bigint, root bigint, guest boolean, signature array<bigint>"
@@ -385,7 +387,8 @@ def joining_links(options: NearDuplicateOptions):
         guest = np.array(table.column("guest").to_pylist(), bool)
         nodes, roots = table.column("node").to_pylist(), table.column("root").to_numpy().copy()
         signatures = packed(table.column("signature"))
-        sets = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
+        reader = ShingleReader(options.width)
+        sets = [reader.read(t.as_py()) for chunk in table.column("text").chunks for t in chunk]
         hosts = np.nonzero(~guest)[0]
         out = []
         if len(hosts):
@@ -409,18 +412,19 @@ def joining_links(options: NearDuplicateOptions):
     return work
 
 
-def shingle_sets(texts: DataFrame, options: NearDuplicateOptions) -> DataFrame:
-    """(node, shingles): the full sets as bytes, of the class that was asked for."""
-    ddl = "node bigint, shingles binary"
+def one_text_each(texts: DataFrame, options: NearDuplicateOptions) -> DataFrame:
+    """(node, text): one text of each class that was asked for."""
+    ddl = "node bigint, text string"
     schema = arrow_schema(ddl)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = ShingleReader(options.width)
         for batch in batches:
-            sets = ((n, reader.read(t)) for n, t in zip(*(c.to_pylist() for c in batch.columns), strict=True))
-            yield as_batch(((n, s.tobytes()) for n, s in sets if set_hash(s) == n), schema)
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            yield as_batch(((n, t) for n, t in rows if set_hash(reader.read(t)) == n), schema)
 
-    return map_batches(texts.select("node", "text"), work, ddl).dropDuplicates(["node"])
+    # ids that repeat with one text repeat it, too
+    return stage(map_batches(texts.select("node", "text"), work, ddl).dropDuplicates(["node"]), "wanted-sets")
 
 
 def keep_one_per_group(docs: DataFrame, options: NearDuplicateOptions) -> DataFrame:

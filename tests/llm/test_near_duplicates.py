@@ -115,3 +115,14 @@ def test_another_text_under_the_same_id_stays(spark):
     left = nd.keep_one_per_group(docs, nd.NearDuplicateOptions(width=5))
     assert left.columns == docs.columns
     assert sorted(r["__id"] for r in left.collect()) == [0, 2, 3, 4, 5]
+
+
+def test_band_keys_take_four_bytes_and_texts_stand_for_sets(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "x y"), (3, "p q")], "doc_id long, text string")
+    options = nd.NearDuplicateOptions()
+    sets = nd.describe_sets(docs, options)
+    assert dict(sets.dtypes)["bands"] == "array<int>"
+    nodes = {r["text_hash"]: r["node"] for r in sets.collect()}
+    assert len(set(nodes.values())) == 3
+    asked = spark.createDataFrame([(n, t) for n in nodes.values() for t in ("a b c d", "x y")], "node long, text string")
+    assert sorted(r["text"] for r in nd.one_text_each(asked, options).collect()) == ["a b c d", "x y"]
