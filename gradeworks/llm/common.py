@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -26,7 +28,21 @@ def map_batches(
     """``mapInArrow`` over batches of at most ``BATCH_BYTES``, in order, so that a task's memory is bounded."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     conf.set(name, BATCH_BYTES)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(giving_back(work), schema)
+
+
+def giving_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` that returns the memory it has freed; Python workers outlive their tasks and would add it up over stages."""
+
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return done
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

@@ -32,7 +32,7 @@ END_ID = 1
 GROUP_ROWS = 8192
 MAX_STORED = 500_000
 ROWS_AT_ONCE = 10_000
-WORDS_AT_ONCE = 1_000_000
+WORDS_AT_ONCE = 250_000
 # white space to every reader of the vocabulary, so no token crosses it
 WORD = re.compile(r"[^ \n\t\r]+")
 PIECES_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"

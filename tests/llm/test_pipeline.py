@@ -91,3 +91,21 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     names = [d[0] for d in cursor.description]
     assert sorted(names) == sorted(got.columns)
     assert rows_of(got.columns, got.collect()) == rows_of(names, cursor.fetchall())
+
+
+def test_workers_give_back_memory_when_a_task_ends(monkeypatch):
+    import pyarrow as pa
+
+    from gradeworks.llm import common
+
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append("released")
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    out = common.giving_back(lambda batches: (b for b in batches))(iter([1, 2]))
+    assert next(out) == 1 and not calls
+    assert list(out) == [2] and calls == ["released"]
+    assert pa.default_memory_pool is Pool
