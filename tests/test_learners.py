@@ -393,6 +393,32 @@ def test_pruning_computes_few_of_all_pairs(spark):
         assert [n for _, n in sorted(by_query[q])] == np.lexsort((np.arange(4000), dist))[:5].tolist()
 
 
+def _neighbours_and_pairs(spark, x, k, metric):
+    names = [f"c{i}" for i in range(x.shape[1])]
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], ["id", *names])
+    compared = spark.sparkContext.accumulator(0)
+    found = {}
+    for r in sorted(neighbors.knn_join(df, df, names, "id", k, metric, compared=compared).collect(), key=lambda r: (r["query"], r["rank"])):
+        found.setdefault(r["query"], []).append(r["neighbor"])
+    assert sorted(found) == list(range(len(x)))
+    for q in range(0, len(x), 97):
+        gap = x - x[q]
+        dist = np.round(np.abs(gap).sum(1) if metric == "manhattan" else np.sqrt((gap**2).sum(1)), 9)
+        assert found[q] == np.lexsort((np.arange(len(x)), dist))[:k].tolist()
+    return compared.value / len(x) ** 2
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_leaves_rule_out_pairs_where_blocks_overlap(spark, metric):
+    x = np.random.default_rng(8).normal(size=(4000, 3))
+    assert 0 < _neighbours_and_pairs(spark, x, 5, metric) < 0.3
+
+
+def test_equal_rows_are_compared_once(spark):
+    x = np.random.default_rng(9).integers(0, 3, (3000, 2)).astype(float)
+    assert 0 < _neighbours_and_pairs(spark, x, 4, "euclidean") < 0.001
+
+
 def test_scans_do_not_grow_with_restarts(points, monkeypatch):
     steps = []
     plain = clustering._step
