@@ -429,6 +429,30 @@ def test_scans_do_not_grow_with_restarts(points, monkeypatch):
         clustering.fit_clusters(points[0].withColumn("f1", F.when(F.col("id") > 3, F.col("f1"))), ["f1", "f4"], 3)
 
 
+@pytest.mark.parametrize("open_rows", [600, 10_000])
+def test_few_scans_move_centers_as_plain_steps_do(spark, monkeypatch, open_rows):
+    x = np.random.default_rng(5).normal(size=(3000, 3))
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id int, a double, b double, c double").cache()
+    monkeypatch.setattr(clustering, "OPEN_BYTES", open_rows * 24)
+    monkeypatch.setattr(clustering, "STEP_ROWS", 50)
+    scans, plain = [], clustering._step
+    monkeypatch.setattr(clustering, "_step", lambda rows, starts: scans.append(0) or plain(rows, starts))
+    started: list[np.ndarray] = []
+    first = clustering._first_centers
+    monkeypatch.setattr(clustering, "_first_centers", lambda *args: started.append(first(*args)) or started[-1])
+    found = clustering.fit_clusters(df, ["a", "b", "c"], 4, restarts=1)
+    centers, steps = started[0], 0
+    while steps < clustering.MAX_STEPS:
+        at = ((x[:, None] - centers) ** 2).sum(2).argmin(1)
+        moved = np.array([x[at == j].mean(0) for j in range(4)])
+        far, centers, steps = ((moved - centers) ** 2).sum(1).max(), moved, steps + 1
+        if far <= clustering.TOLERANCE**2:
+            break
+    assert np.allclose(found.centers, centers, atol=1e-9)
+    assert found.cost == pytest.approx(((x[:, None] - centers) ** 2).sum(2).min(1).sum())
+    assert steps > 20 and len(scans) <= (1 if open_rows > len(x) else steps // 2)
+
+
 @pytest.mark.parametrize("selector", ["all", "mutual_info", "relief", "sfs", "embedded_dt"])
 @pytest.mark.parametrize("model", ["rf", "knn", "ada"])
 def test_pipelines_are_saved_and_read(points, tmp_path, selector, model):
