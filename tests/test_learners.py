@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -419,6 +420,16 @@ def test_equal_rows_are_compared_once(spark):
     assert 0 < _neighbours_and_pairs(spark, x, 4, "euclidean") < 0.001
 
 
+def test_moved_blocks_are_small_and_queries_meet_leaves_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    x = np.concatenate([rng.normal(size=(2000, 2)), np.eye(6)[rng.integers(0, 6, 2000)]], axis=1)
+    moved = neighbors.packed_values(x)
+    assert (neighbors.unpacked(pa.scalar(moved, pa.binary()), 8) == x).all() and len(moved) < 0.3 * x.nbytes
+    assert neighbors.unpacked(pa.scalar(neighbors.packed_values(x[:0]), pa.binary()), 8).shape == (0, 8)
+    monkeypatch.setattr(neighbors, "ACTIVE_ROWS", 100)
+    assert _neighbours_and_pairs(spark, x[:1500, :3], 5, "manhattan") > 0
+
+
 def test_scans_do_not_grow_with_restarts(points, monkeypatch):
     steps = []
     plain = clustering._step
